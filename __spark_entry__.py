@@ -11,12 +11,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from namepulse import schemas
 from namepulse.functions import text, times
 from namepulse.operators import changelog, daily, log, ranking, rolling
 from namepulse.plans import daily as daily_plans
 from namepulse.plans.session import configure
 from namepulse.sinks import daily as daily_sinks
-from namepulse.sources import records, segments, tables
+from namepulse.sources import records, segments, streams, tables
+from namepulse.streaming import lifecycle, storage, topk
+from namepulse.streaming import rolling as stream_rolling
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -31,8 +34,16 @@ Query = Callable[[SparkSession, str], DataFrame]
 # --- input views -------------------------------------------------------------------
 
 
+def _records(spark: SparkSession, sf: str) -> DataFrame:
+    return tables.document_records(tables.documents(spark, sf))
+
+
+def _lines(spark: SparkSession, sf: str) -> DataFrame:
+    return tables.document_lines(tables.documents(spark, sf))
+
+
 def _counts(spark: SparkSession, sf: str, **options) -> DataFrame:
-    found = daily_plans.record_mentions(tables.document_records(spark, sf), **options)
+    found = daily_plans.record_mentions(_records(spark, sf), **options)
     return daily.daily_counts(found)
 
 
@@ -64,7 +75,7 @@ def _time_text(c: str) -> F.Column:
 
 
 def daily_top_names(spark, sf):
-    return daily_plans.top_names_of_records(tables.document_records(spark, sf))
+    return daily_plans.top_names_of_records(_records(spark, sf))
 
 
 def daily_name_counts(spark, sf):
@@ -80,11 +91,11 @@ def daily_top_names_one_per_count(spark, sf):
 
 
 def line_top_names(spark, sf):
-    return daily_plans.top_names_of_lines(tables.document_lines(spark, sf))
+    return daily_plans.top_names_of_lines(_lines(spark, sf))
 
 
 def typed_record_top_names(spark, sf):
-    parsed = records.parse_records(tables.document_lines(spark, sf))
+    parsed = records.parse_records(_lines(spark, sf))
     return daily_plans.top_names_of_records(records.record_view(parsed))
 
 
@@ -317,6 +328,49 @@ def running_increments(spark, sf):
     return changelog.increment_totals(updates)
 
 
+# --- streaming -----------------------------------------------------------------------
+# Each query reads its table as a stream, processes what is there, and returns the table
+# it wrote. The watermark ends at the newest event, so later expiries are still to come.
+
+
+def _stream_changes(spark: SparkSession, sf: str, name: str, folder: str) -> DataFrame:
+    configure(spark, streaming=True)
+    events = streams.table_stream(spark, sf, tables.EVENTS, "events")
+    changes = stream_rolling.rolling_changes(tables.event_mentions(events, name))
+    lifecycle.run_available(
+        lifecycle.file_writer(changes, f"{folder}/changes", f"{folder}/changes-state")
+    )
+    return spark.read.schema(schemas.COUNT_CHANGES).parquet(f"{folder}/changes")
+
+
+def stream_record_mentions(spark, sf):
+    folder = storage.fresh_dir(spark, "mentions")
+    documents = streams.table_stream(spark, sf, tables.DOCUMENTS, "documents")
+    found = stream_rolling.record_mentions(tables.document_lines(documents))
+    lifecycle.run_available(
+        lifecycle.file_writer(found, f"{folder}/mentions", f"{folder}/state")
+    )
+    mentions = spark.read.schema("key string, timestamp timestamp, name string").parquet(
+        f"{folder}/mentions"
+    )
+    return mentions.groupBy("name").agg(F.count(F.lit(1)).alias("count"))
+
+
+def stream_rolling_changelog(spark, sf):
+    folder = storage.fresh_dir(spark, "rolling")
+    return rolling.expand_changes(_stream_changes(spark, sf, "event_type", folder))
+
+
+def stream_topk_snapshot(spark, sf):
+    folder = storage.fresh_dir(spark, "topk")
+    _stream_changes(spark, sf, "user_id", folder)
+    changes = streams.change_stream(spark, f"{folder}/changes")
+    lifecycle.run_available(
+        topk.live_top_k(changes, f"{folder}/topk", f"{folder}/topk-state", K)
+    )
+    return topk.read_snapshot(spark, f"{folder}/topk")[1]
+
+
 QUERIES: tuple[Query, ...] = (
     daily_top_names,
     daily_name_counts,
@@ -357,6 +411,9 @@ QUERIES: tuple[Query, ...] = (
     parsed_messages,
     materialised_changelog,
     running_increments,
+    stream_record_mentions,
+    stream_rolling_changelog,
+    stream_topk_snapshot,
 )
 
 
@@ -571,6 +628,16 @@ ORACLE: dict[str, str] = {
     "running_increments": """SELECT event_type AS name,
           CAST(sum(CAST(floor("value") AS BIGINT)) AS BIGINT) AS "count"
         FROM events GROUP BY 1""",
+    "stream_record_mentions": f"""WITH {_NAMES}
+        SELECT name, count(*) AS "count" FROM names WHERE NOT contains(name, 'Category')
+        GROUP BY name""",
+    "stream_rolling_changelog": f"""WITH {_CHANGES}
+        SELECT name, event_sec, op, "count" FROM changes
+        WHERE op = 'add' OR event_sec <= (SELECT max({_SEC}) FROM events)""",
+    "stream_topk_snapshot": f"""SELECT name, count(*) AS "count" FROM (
+          SELECT CAST(user_id AS VARCHAR) AS name, {_SEC} AS s FROM events)
+        WHERE s > (SELECT max({_SEC}) FROM events) - 3600
+        GROUP BY name ORDER BY 2 DESC, 1 LIMIT {K}""",
 }
 
 

@@ -17,6 +17,8 @@ ORDERS = (
     "o_orderdate timestamp, o_orderpriority string"
 )
 
+DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+
 FIRST_DAY = "2024-01-01"
 DAYS = 30
 NAME_PATTERN = "[A-Z][a-z]+"
@@ -63,14 +65,18 @@ def document_names(text: str = "text") -> Column:
     return F.array_join(entries, ";")
 
 
-def document_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
+
+
+def document_records(documents: DataFrame) -> DataFrame:
     """Documents as records: (record_id, date, all_names), names NULL where there are none."""
     day = F.date_add(
         F.lit(FIRST_DAY).cast("date"), (F.col("doc_id") % DAYS).cast("int")
     )
     # The one-item explode keeps filters on the names from being pushed below, where
     # they would extract the words a second time.
-    named = table(spark, sf_dir, "documents").select(
+    named = documents.select(
         "doc_id",
         day.cast("timestamp").alias("date"),
         F.explode(F.array(document_names())).alias("_names"),
@@ -84,17 +90,15 @@ def document_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as tab-separated record lines of 27 fields: (value)."""
-    records = document_records(spark, sf_dir)
+def document_lines(documents: DataFrame) -> DataFrame:
+    """Documents as keyed, tab-separated record lines of 27 fields: (key, value, timestamp)."""
     fields = {
         "GKGRECORDID": F.col("record_id"),
         "DATE": F.date_format("date", times.RECORD_TIME),
         "SourceCollectionIdentifier": F.lit("1"),
         "AllNames": F.coalesce("all_names", F.lit("")),
     }
-    return records.select(
-        F.concat_ws(
-            "\t", *[fields.get(c, F.lit("")) for c in schemas.RECORD_COLUMNS]
-        ).alias("value")
+    line = F.concat_ws("\t", *[fields.get(c, F.lit("")) for c in schemas.RECORD_COLUMNS])
+    return document_records(documents).select(
+        F.col("record_id").alias("key"), line.alias("value"), F.col("date").alias("timestamp")
     )
