@@ -336,7 +336,8 @@ def running_increments(spark, sf):
 def _stream_changes(spark: SparkSession, sf: str, name: str, folder: str) -> DataFrame:
     configure(spark, streaming=True)
     events = streams.table_stream(spark, sf, tables.EVENTS, "events")
-    changes = stream_rolling.rolling_changes(tables.event_mentions(events, name))
+    mentions = tables.event_mentions(events, name)
+    changes = stream_rolling.rolling_changes(mentions, delay="0 seconds")
     lifecycle.run_available(
         lifecycle.file_writer(changes, f"{folder}/changes", f"{folder}/changes-state")
     )

@@ -12,6 +12,8 @@ from ..operators import daily
 from ..sources.records import positional_records
 from . import state
 
+DELAY = "1 second"
+
 
 def record_mentions(
     records: DataFrame, exclude: Sequence[str] = daily.CATEGORY
@@ -25,7 +27,7 @@ def record_mentions(
 
 def rolling_changes(
     mentions: DataFrame,
-    delay: str = "0 seconds",
+    delay: str = DELAY,
     window: int = times.WINDOW_SECONDS,
     mode: str = "append",
 ) -> DataFrame:
@@ -33,7 +35,8 @@ def rolling_changes(
 
     `mentions` is a stream of (name, timestamp). Mentions are added up per name and second
     before the shuffle, so the task that holds a name's state gets few rows however often
-    the name occurs. Mentions more than `delay` behind the newest are dropped.
+    the name occurs. Mentions `delay` or more behind the newest of earlier batches are
+    dropped; without a delay that includes mentions of the same time.
     """
     buckets = mentions.select(
         "name",
