@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from namepulse import schemas
-from namepulse.functions import text, times
+from namepulse.functions import messages, text, times
 from namepulse.operators import changelog, daily, log, ranking, rolling
 from namepulse.plans import daily as daily_plans
 from namepulse.plans.session import configure
@@ -128,6 +128,23 @@ def ranked_cells(spark, sf):
     return daily.ranked_cells(documents).withColumn("date", F.col("date").cast("string"))
 
 
+def record_name_counts(spark, sf):
+    found = daily.mentions(_records(spark, sf), keep=["record_id"])
+    return daily.record_counts(found, "record_id")
+
+
+def record_name_lists(spark, sf):
+    """The names of each record in their order."""
+    listed = _records(spark, sf).where("all_names IS NOT NULL").select(
+        "record_id", text.name_list("all_names", exclude=("Th",)).alias("names")
+    )
+    return listed.select(
+        "record_id",
+        F.array_join("names", "|").alias("names"),
+        F.size("names").cast("bigint").alias("n"),
+    )
+
+
 def result_bounds(spark, sf):
     return daily.result_bounds(_counts(spark, sf))
 
@@ -311,8 +328,8 @@ def update_messages(spark, sf):
 
 
 def parsed_messages(spark, sf):
-    messages = changelog.update_messages(_user_deltas(spark, sf), "tick")
-    return changelog.parse_messages(messages, "tick")
+    sent = changelog.update_messages(_user_deltas(spark, sf), "tick")
+    return changelog.parse_messages(sent, "tick")
 
 
 def materialised_changelog(spark, sf):
@@ -328,6 +345,17 @@ def running_increments(spark, sf):
     return changelog.increment_totals(updates)
 
 
+def increment_messages(spark, sf):
+    """Increments as single JSON objects, decoded and added up."""
+    increment = F.get_json_object("props", "$.k").cast("bigint").alias("increment")
+    message = F.to_json(F.struct(F.col("event_type").alias("name"), increment))
+    updates = tables.events(spark, sf).select(message.alias("message"))
+    parsed = updates.select(
+        F.inline(messages.parse_increments("message")).alias("name", "increment")
+    )
+    return changelog.increment_totals(parsed)
+
+
 # --- streaming -----------------------------------------------------------------------
 # Each query reads its table as a stream, processes what is there, and returns the table
 # it wrote. The watermark ends at the newest event, so later expiries are still to come.
@@ -385,6 +413,8 @@ QUERIES: tuple[Query, ...] = (
     sorted_name_counts,
     daily_documents,
     ranked_cells,
+    record_name_counts,
+    record_name_lists,
     result_bounds,
     min_fields_filter,
     clean_text,
@@ -412,6 +442,7 @@ QUERIES: tuple[Query, ...] = (
     parsed_messages,
     materialised_changelog,
     running_increments,
+    increment_messages,
     stream_record_mentions,
     stream_rolling_changelog,
     stream_topk_snapshot,
@@ -531,6 +562,22 @@ ORACLE: dict[str, str] = {
     "ranked_cells": (
         f'WITH {_TOP} SELECT day AS "date", "rank" - 1 AS "rank", name AS topic FROM top'
     ),
+    "record_name_counts": """WITH found AS (
+          SELECT strftime(DATE '2024-01-01' + CAST(doc_id % 30 AS INTEGER), '%Y%m%d000000')
+                   || '-' || doc_id AS record_id,
+                 unnest(regexp_extract_all(text, '[A-Z][a-z]+')) AS name
+          FROM documents
+        ) SELECT record_id, name, count(*) AS "count" FROM found GROUP BY ALL""",
+    "record_name_lists": """WITH found AS (
+          SELECT strftime(DATE '2024-01-01' + CAST(doc_id % 30 AS INTEGER), '%Y%m%d000000')
+                   || '-' || doc_id AS record_id,
+                 regexp_extract_all(text, '[A-Z][a-z]+') AS words
+          FROM documents
+        ), kept AS (
+          SELECT record_id, list_filter(words, lambda w: NOT contains(w, 'Th')) AS names
+          FROM found WHERE len(words) > 0
+        ) SELECT record_id, array_to_string(names, '|') AS names, len(names) AS n
+        FROM kept""",
     "result_bounds": f"""WITH {_COUNTS} SELECT min(day) AS first_day,
         max(day) AS last_day, max("count") AS max_count FROM counts""",
     "min_fields_filter": """SELECT doc_id FROM documents
@@ -629,6 +676,10 @@ ORACLE: dict[str, str] = {
     "running_increments": """SELECT event_type AS name,
           CAST(sum(CAST(floor("value") AS BIGINT)) AS BIGINT) AS "count"
         FROM events GROUP BY 1""",
+    "increment_messages": """SELECT event_type AS name,
+          CAST(sum(CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS BIGINT)) AS BIGINT)
+            AS "count"
+        FROM events GROUP BY 1""",
     "stream_record_mentions": f"""WITH {_NAMES}
         SELECT name, count(*) AS "count" FROM names WHERE NOT contains(name, 'Category')
         GROUP BY name""",

@@ -64,6 +64,16 @@ def name_list(
     return F.filter(parts, lambda n: keep_name(n, exclude, drop_empty))
 
 
+def merge_count_maps(left: Column | str, right: Column | str) -> Column:
+    """Two name -> count maps as one; counts of a name in both are added."""
+    zero = F.lit(0).cast("bigint")
+    return F.map_zip_with(
+        as_column(left),
+        as_column(right),
+        lambda _, a, b: F.coalesce(a, zero) + F.coalesce(b, zero),
+    )
+
+
 def drop_malformed_utf8(c: Column | str) -> Column:
     """Drop byte sequences that are not UTF-8 (and the replacement character itself)."""
     return F.replace(F.make_valid_utf8(as_column(c)), F.lit("�"), F.lit(""))

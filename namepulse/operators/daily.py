@@ -45,6 +45,11 @@ def daily_counts(mentions: DataFrame) -> DataFrame:
     return mentions.groupBy("day", "name").agg(F.count("name").alias("count"))
 
 
+def record_counts(mentions: DataFrame, *record: str) -> DataFrame:
+    """(record, name, count): how often each record mentions a name."""
+    return mentions.groupBy(*record, "name").agg(F.count(F.lit(1)).alias("count"))
+
+
 def one_name_per_count(counts: DataFrame) -> DataFrame:
     """Of the names with equal counts on a day, keep the first in name order."""
     return counts.groupBy("day", "count").agg(F.min("name").alias("name"))

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import times
 from ..operators import daily
-from ..sources.records import positional_records
+from ..sinks.daily import write_result_lines
+from ..sources.records import positional_records, read_lines
 
 
 def record_mentions(
@@ -66,3 +68,12 @@ def top_names_of_lines(
     """(day, rank, name, count) of plain lines; a day without names has rank and name NULL."""
     counts = daily.daily_counts(line_mentions(lines, **options))
     return daily.top_names(counts, n, ties)
+
+
+def write_top_names_of_lines(
+    spark: SparkSession, data_path: str | None = None, out_path: str | None = None
+) -> None:
+    """One text line per day; paths default to DATA_PATH and OUT_PATH of the environment."""
+    lines = read_lines(spark, data_path or os.environ["DATA_PATH"])
+    pairs = daily.day_pairs(top_names_of_lines(lines))
+    write_result_lines(pairs, out_path or os.environ["OUT_PATH"])

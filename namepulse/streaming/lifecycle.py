@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..functions import times
 
 STOP_SECONDS = 10
+_STOP_TIMEOUT = "spark.sql.streaming.stopTimeout"
 
 
 def per_second(writer: DataStreamWriter) -> DataStreamWriter:
@@ -39,5 +41,14 @@ def run_available(writer: DataStreamWriter) -> None:
 
 def stop(query: StreamingQuery, seconds: int = STOP_SECONDS) -> bool:
     """Stop a query; False if it has not ended after `seconds`."""
-    query.stop()
-    return bool(query.awaitTermination(seconds))
+    conf = SparkSession.active().conf
+    before = conf.get(_STOP_TIMEOUT)
+    conf.set(_STOP_TIMEOUT, f"{seconds}s")
+    try:
+        query.stop()
+    except Py4JJavaError as e:
+        if "TimeoutException" not in str(e.java_exception):
+            raise
+    finally:
+        conf.set(_STOP_TIMEOUT, before)
+    return not query.isActive

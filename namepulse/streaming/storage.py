@@ -40,18 +40,19 @@ def version_path(root: str, batch_id: int) -> str:
     return f"{root}/{_PREFIX}{batch_id:012d}"
 
 
-def versions(spark: SparkSession, root: str) -> list[int]:
-    """Batch ids of the complete versions below `root`, ascending."""
+def versions(spark: SparkSession, root: str, after: int = -1) -> list[int]:
+    """Batch ids above `after` of the complete versions below `root`, ascending."""
     fs, path, hadoop = _fs(spark, root)
     if not fs.exists(path):
         return []
     found = []
     for status in fs.listStatus(path):
         name = status.getPath().getName()
-        if name.startswith(_PREFIX) and fs.exists(
-            hadoop.Path(status.getPath(), "_SUCCESS")
-        ):
-            found.append(int(name.removeprefix(_PREFIX)))
+        if not name.startswith(_PREFIX):
+            continue
+        batch_id = int(name.removeprefix(_PREFIX))
+        if batch_id > after and fs.exists(hadoop.Path(status.getPath(), "_SUCCESS")):
+            found.append(batch_id)
     return sorted(found)
 
 

@@ -23,23 +23,23 @@ def _deltas(root: str) -> str:
     return f"{root}/deltas"
 
 
-def next_snapshot(old: DataFrame, latest: DataFrame, k: int) -> DataFrame:
+def next_snapshot(old: DataFrame, changes: DataFrame, k: int) -> DataFrame:
     """(name, count): the `k` largest of the held names and the newly counted ones.
 
-    Among equal counts, held names stay; then names go by order.
+    Among equal counts, held names stay; then names go by order. Held names join the
+    changes as their oldest entries, so that the changes are read once.
     """
-    held = old.select("name", F.col("count").alias("_old"))
-    fresh = latest.select("name", F.col("count").alias("_new"))
+    oldest = F.lit(-(2**63)).cast("bigint")
+    entries = changes.select(
+        "name", "count", changelog.change_order().alias("_at"), F.lit(0).alias("_held")
+    ).unionByName(
+        old.select("name", "count", oldest.alias("_at"), F.lit(1).alias("_held"))
+    )
     return (
-        fresh.join(F.broadcast(held), "name", "left")
-        .select("name", F.col("_new").alias("count"), F.col("_old").isNotNull().alias("held"))
-        .unionByName(
-            held.join(fresh, "name", "left_anti").select(
-                "name", F.col("_old").alias("count"), F.lit(True).alias("held")
-            )
-        )
+        entries.groupBy("name")
+        .agg(F.max_by("count", "_at").alias("count"), F.max("_held").alias("_held"))
         .where(F.col("count") > 0)
-        .orderBy(F.col("count").desc(), F.col("held").desc(), "name")
+        .orderBy(F.col("count").desc(), F.col("_held").desc(), "name")
         .limit(k)
         .select("name", "count")
     )
@@ -56,12 +56,16 @@ def snapshot_deltas(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def update_snapshot(
-    changes: DataFrame, batch_id: int, root: str, k: int = changelog.LIVE_ENTRIES
+    changes: DataFrame,
+    batch_id: int,
+    root: str,
+    k: int = changelog.LIVE_ENTRIES,
+    keep_deltas: int | None = None,
 ) -> None:
     """Bring the snapshot below `root` up to date with one batch of count changes.
 
     The newest snapshot of an earlier batch is the base, so a batch that is run again
-    gives the same result.
+    gives the same result. Deltas stay for ever unless `keep_deltas` says how many.
     """
     spark = changes.sparkSession
     earlier = [v for v in storage.versions(spark, _snapshots(root)) if v < batch_id]
@@ -73,7 +77,7 @@ def update_snapshot(
         else spark.createDataFrame([], SNAPSHOT)
     )
     target = storage.version_path(_snapshots(root), batch_id)
-    snapshot = next_snapshot(old, changelog.latest_counts(changes), k)
+    snapshot = next_snapshot(old, changes, k)
     snapshot.coalesce(1).write.mode("overwrite").parquet(target)
 
     new = spark.read.schema(SNAPSHOT).parquet(target)
@@ -82,6 +86,8 @@ def update_snapshot(
         storage.version_path(_deltas(root), batch_id)
     )
     storage.drop_versions(spark, _snapshots(root), SNAPSHOTS_KEPT)
+    if keep_deltas is not None:
+        storage.drop_versions(spark, _deltas(root), keep_deltas)
 
 
 def live_top_k(
@@ -90,6 +96,7 @@ def live_top_k(
     checkpoint: str,
     k: int = changelog.LIVE_ENTRIES,
     mode: str = "update",
+    keep_deltas: int | None = None,
 ) -> DataStreamWriter:
     """Keep snapshots and deltas below `root` for a stream of count changes.
 
@@ -97,7 +104,7 @@ def live_top_k(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        update_snapshot(batch, batch_id, root, k)
+        update_snapshot(batch, batch_id, root, k, keep_deltas)
 
     return (
         changes.writeStream.outputMode(mode)
@@ -119,8 +126,7 @@ def read_deltas(spark: SparkSession, root: str, after: int = -1) -> DataFrame:
     """(batch_id, name, count): the deltas of the batches after `after`."""
     paths = [
         storage.version_path(_deltas(root), v)
-        for v in storage.versions(spark, _deltas(root))
-        if v > after
+        for v in storage.versions(spark, _deltas(root), after)
     ]
     if not paths:
         return spark.createDataFrame([], "batch_id long, " + DELTAS)
