@@ -1,0 +1,68 @@
+"""Daily top names in two plan shapes: this package's, and the plain one it replaces.
+
+The plain shape counts, sorts all counts, gathers every name of a day in one list, and
+cuts the lists to ten after collecting them. Usage: daily_shapes.py [cpus] [runs]
+"""
+
+from __future__ import annotations
+
+import json
+import os
+import statistics
+import sys
+import time
+from pathlib import Path
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+from namepulse.operators import daily  # noqa: E402
+from namepulse.plans import daily as plans  # noqa: E402
+from namepulse.plans.session import configure  # noqa: E402
+from namepulse.sources import tables  # noqa: E402
+
+
+def plain_shape(counts: DataFrame) -> list:
+    days = (
+        counts.sort(F.col("count").desc())
+        .groupBy("day")
+        .agg(F.collect_list(F.struct("name", "count")).alias("pairs"))
+        .collect()
+    )
+    return [(d.day, d.pairs[:10]) for d in days]
+
+
+def our_shape(counts: DataFrame) -> list:
+    return daily.day_pairs(daily.top_names(counts)).collect()
+
+
+def main() -> None:
+    cpus = sys.argv[1] if len(sys.argv) > 1 else "1"
+    runs = int(sys.argv[2]) if len(sys.argv) > 2 else 5
+    sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
+    spark = configure(
+        SparkSession.builder.master(f"local[{cpus}]")
+        .config("spark.driver.memory", "8g")
+        .config("spark.sql.shuffle.partitions", cpus)
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .getOrCreate()
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    records = tables.document_records(tables.documents(spark, sf_dir))
+    counts = daily.daily_counts(plans.record_mentions(records))
+    result = {"cpus": int(cpus)}
+    for shape in (plain_shape, our_shape):
+        taken = []
+        for _ in range(runs + 2):  # two to warm up
+            started = time.perf_counter()
+            shape(counts)
+            taken.append(time.perf_counter() - started)
+        result[shape.__name__] = round(statistics.median(taken[2:]), 3)
+    spark.stop()
+    print(json.dumps(result))
+
+
+if __name__ == "__main__":
+    main()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from ..sources.streams import BROKERS
 
@@ -31,3 +32,14 @@ def kafka_writer_options(
     if checkpoint is not None:
         options["checkpointLocation"] = checkpoint
     return options
+
+
+def write_to_kafka(messages: DataFrame, options: dict[str, str]) -> None:
+    messages.write.format("kafka").options(**options).save()
+
+
+def stream_to_kafka(
+    messages: DataFrame, options: dict[str, str], mode: str = "update"
+) -> DataStreamWriter:
+    """`options` from `kafka_writer_options`, with a checkpoint."""
+    return messages.writeStream.format("kafka").outputMode(mode).options(**options)

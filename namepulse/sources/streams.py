@@ -21,7 +21,11 @@ def kafka_options(
     max_per_trigger: int | None = None,
 ) -> dict[str, str]:
     """Reader options; `starting` is 'earliest', 'latest' or JSON offsets."""
-    options = {"kafka.bootstrap.servers": brokers, "subscribe": topic}
+    options = {
+        "kafka.bootstrap.servers": brokers,
+        "subscribe": topic,
+        "includeHeaders": "true",
+    }
     if starting is not None:
         options["startingOffsets"] = starting
     if max_per_trigger is not None:
@@ -41,15 +45,21 @@ def file_options(
     return options
 
 
-def from_kafka(messages: DataFrame, value: Column, *more: Column) -> DataFrame:
-    return messages.select(F.col("key").cast("string").alias("key"), value, *more)
+def _load(reader, format: str, options: Mapping[str, str], schema, path) -> DataFrame:
+    reader = reader.format(format).options(**options)
+    return reader.load() if format == "kafka" else reader.schema(schema).load(path)
 
 
-def _stream(
-    spark: SparkSession, format: str, options: Mapping[str, str], schema, path
-) -> DataFrame:
-    reader = spark.readStream.format(format).options(**options)
-    return reader.load() if format == "kafka" else reader.schema(schema).load(path)
+def _records(reader, path, format, options) -> DataFrame:
+    if format != "kafka":
+        return _load(reader, format, options or {}, schemas.RECORD_STREAM, path)
+    messages = _load(reader, format, options or kafka_options(RECORD_TOPIC), None, None)
+    return messages.select(
+        F.col("key").cast("string").alias("key"),
+        F.col("value").cast("string").alias("value"),
+        event_time(messages).alias("timestamp"),
+        F.col("offset"),
+    )
 
 
 def record_stream(
@@ -58,17 +68,18 @@ def record_stream(
     format: str = "parquet",
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Keyed lines (key, value, timestamp, offset) from files or Kafka."""
-    if format == "kafka":
-        options = options or kafka_options(RECORD_TOPIC)
-        messages = _stream(spark, format, options, None, None)
-        return from_kafka(
-            messages,
-            F.col("value").cast("string").alias("value"),
-            event_time(messages).alias("timestamp"),
-            F.col("offset"),
-        )
-    return _stream(spark, format, options or {}, schemas.RECORD_STREAM, path)
+    """Keyed lines (key, value, timestamp, offset) as a stream, from files or Kafka."""
+    return _records(spark.readStream, path, format, options)
+
+
+def record_log(
+    spark: SparkSession,
+    path: str | None = None,
+    format: str = "parquet",
+    options: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """The same log as a batch read."""
+    return _records(spark.read, path, format, options)
 
 
 def event_time(messages: DataFrame) -> Column:
@@ -89,9 +100,8 @@ def change_stream(
     """Count changes from files or Kafka; Kafka starts at the newest unless told otherwise."""
     if format == "kafka":
         options = options or kafka_options(COUNT_TOPIC, starting="latest")
-        messages = _stream(spark, format, options, None, None)
-        return parse_changes(messages)
-    return _stream(spark, format, options or {}, schemas.COUNT_CHANGES, path)
+        return parse_changes(_load(spark.readStream, format, options, None, None))
+    return _load(spark.readStream, format, options or {}, schemas.COUNT_CHANGES, path)
 
 
 def parse_changes(messages: DataFrame) -> DataFrame:

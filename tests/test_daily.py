@@ -4,6 +4,7 @@ import golden
 import pytest
 from pyspark.sql import functions as F
 
+from namepulse.functions import text
 from namepulse.operators import daily
 from namepulse.plans import daily as plans
 from namepulse.sinks import daily as sinks
@@ -168,3 +169,36 @@ def test_sensors(spark, tmp_path):
         records.read_sensors(spark, str(tmp_path)), "2014-03-10 01:01:00"
     ).collect()
     assert [tuple(r)[0] for r in rows] == ["s1"] and rows[0].numC == 3
+
+
+def test_job_of_plain_lines(spark, record_dir, tmp_path, monkeypatch):
+    monkeypatch.setenv("DATA_PATH", record_dir)
+    monkeypatch.setenv("OUT_PATH", str(tmp_path / "out"))
+    plans.write_top_names_of_lines(spark)
+    lines = spark.read.text(str(tmp_path / "out"))
+    assert "DateResult(20-02-2015,List())" in {r.value for r in lines.collect()}
+
+
+def test_record_counts_and_merged_maps(spark):
+    lines = spark.createDataFrame([(r,) for r in golden.RECORDS[:2]], "value string")
+    rows = records.positional_records(lines.selectExpr("value", "left(value, 16) AS k"), keep=["k"])
+    counts = daily.record_counts(daily.mentions(rows, keep=["k"]), "k")
+    got = {(r.k[-1], r["name"]): r["count"] for r in counts.collect()}
+    assert got == {
+        ("0", "Alice Ames"): 2,
+        ("0", "Bob Bell"): 1,
+        ("1", "Bob Bell"): 1,
+        ("1", "Cara Cole"): 1,
+    }
+    maps = spark.createDataFrame(
+        [({"a": 1, "b": 2}, {"b": 3, "c": 4})], "l map<string,long>, r map<string,long>"
+    )
+    merged = maps.select(text.merge_count_maps("l", "r").alias("m")).first()["m"]
+    assert merged == {"a": 1, "b": 5, "c": 4}
+
+
+def test_result_bounds(spark):
+    counts = spark.createDataFrame(
+        [("2015-01-02", "a", 3), ("2015-01-01", "b", 7)], "day string, name string, count long"
+    )
+    assert tuple(daily.result_bounds(counts).first()) == ("2015-01-01", "2015-01-02", 7)

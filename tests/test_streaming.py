@@ -227,7 +227,7 @@ def test_from_segment_files_to_live_top_k(spark, tmp_path):
     write_segment(segment_dir, START + timedelta(minutes=30), 3)
     (segment_dir / "20150219000000.gkg.csv").write_text("")
     take_in()
-    log = spark.read.schema(schemas.RECORD_STREAM).parquet(intake.log_glob(f"{folder}/log"))
+    log = streams.record_log(spark, intake.log_glob(f"{folder}/log"))
     assert log.count() == log.select("key").distinct().count() == 42
 
     source = streams.record_stream(spark, intake.log_glob(f"{folder}/log"))
@@ -310,6 +310,7 @@ def test_kafka_rows_and_options(spark):
     assert streams.kafka_options("t", "h:1", "latest", 500) == {
         "kafka.bootstrap.servers": "h:1",
         "subscribe": "t",
+        "includeHeaders": "true",
         "startingOffsets": "latest",
         "maxOffsetsPerTrigger": "500",
     }
@@ -320,5 +321,29 @@ def test_kafka_rows_and_options(spark):
     }
 
 
+def test_increments_of_hot_name_reach_the_state_as_few_rows(spark):
+    """Mentions are added up per batch of rows before the shuffle."""
+    import pyarrow as pa
+
+    from namepulse.streaming.state import combine_buckets
+
+    batch = pa.record_batch(
+        {
+            "name": ["hot"] * 900 + ["b"] * 100,
+            "sec": [1] * 500 + [2] * 500,
+            "n": [1] * 1000,
+            "timestamp": [EPOCH + timedelta(milliseconds=i) for i in range(1000)],
+        }
+    )
+    rows = [r for out in combine_buckets(iter([batch])) for r in out.to_pylist()]
+    assert {(r["name"], r["sec"], r["n"]) for r in rows} == {
+        ("hot", 1, 500),
+        ("hot", 2, 400),
+        ("b", 2, 100),
+    }
+    newest = {(r["name"], r["sec"]): r["timestamp"] for r in rows}
+    assert newest["hot", 2] == EPOCH + timedelta(milliseconds=899)
+
+
 def test_work_dir_is_the_shared_folder(spark):
     assert storage.work_dir(spark) == spark.conf.get("spark.checkpoint.dir")
