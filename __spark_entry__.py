@@ -363,7 +363,7 @@ def increment_messages(spark, sf):
 
 def _stream_changes(spark: SparkSession, sf: str, name: str, folder: str) -> DataFrame:
     configure(spark, streaming=True)
-    events = streams.table_stream(spark, sf, tables.EVENTS, "events")
+    events = streams.table_stream(spark, f"{sf}/events.parquet", tables.EVENTS)
     mentions = tables.event_mentions(events, name)
     changes = stream_rolling.rolling_changes(mentions, delay="0 seconds")
     lifecycle.run_available(
@@ -374,7 +374,9 @@ def _stream_changes(spark: SparkSession, sf: str, name: str, folder: str) -> Dat
 
 def stream_record_mentions(spark, sf):
     folder = storage.fresh_dir(spark, "mentions")
-    documents = streams.table_stream(spark, sf, tables.DOCUMENTS, "documents")
+    documents = streams.table_stream(
+        spark, f"{sf}/documents.parquet", tables.DOCUMENTS
+    )
     found = stream_rolling.record_mentions(tables.document_lines(documents))
     lifecycle.run_available(
         lifecycle.file_writer(found, f"{folder}/mentions", f"{folder}/state")

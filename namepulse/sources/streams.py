@@ -124,8 +124,15 @@ def segment_stream(
 
 
 def table_stream(
-    spark: SparkSession, path: str, schema: T.StructType | str, name: str
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str,
+    options: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """One Parquet file of a folder as a stream."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-    return reader.parquet(path)
+    """A Parquet table, one file or a folder of them, as a stream.
+
+    The path is given as a pattern that only it matches: a plain path must be a folder.
+    """
+    path = path.rstrip("/")
+    pattern = f"{path[:-1]}[{path[-1]}]"
+    return spark.readStream.schema(schema).options(**(options or {})).parquet(pattern)

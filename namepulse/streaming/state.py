@@ -79,23 +79,23 @@ class RollingCount(StatefulProcessor):
         in_order = deque(live)  # stored in time order
         waiting_for = in_order[0] if in_order else None
         total = sum(live.values())
-        out: list[Row] = []
+        changed = False
 
-        def change(sec: int, op: str, delta: int) -> None:
-            nonlocal total
-            total += delta
-            out.append(
-                Row(name=name, event_sec=sec, op=op, prev_count=total - delta, count=total)
+        def change(sec: int, op: str, delta: int) -> Row:
+            nonlocal total, changed
+            total, changed = total + delta, True
+            return Row(
+                name=name, event_sec=sec, op=op, prev_count=total - delta, count=total
             )
 
-        def expire(now: int) -> None:
+        def expired(now: int) -> Iterator[Row]:
             while in_order and in_order[0] <= now - self.window:
                 sec = in_order.popleft()
-                change(sec + self.window, "expire", -live.pop(sec))
+                yield change(sec + self.window, "expire", -live.pop(sec))
 
         for sec in sorted(added):
             latest = sec if latest is None else max(latest, sec)
-            expire(latest)
+            yield from expired(latest)
             if sec <= latest - self.window:
                 continue  # so late that it would have expired already
             if sec not in live:
@@ -104,19 +104,18 @@ class RollingCount(StatefulProcessor):
                 if late:
                     in_order = deque(sorted(in_order))
             live[sec] = live.get(sec, 0) + added[sec]
-            change(sec, "add", added[sec])
+            yield change(sec, "add", added[sec])
         if until is not None:
-            expire(until)
+            yield from expired(until)
 
         self._wait(
             waiting_for, in_order[0] if in_order else None, fired=until is not None
         )
         if not live:
             self.live.clear()
-        elif out:
+        elif changed:
             secs = list(in_order)
             self.live.update((latest, secs, [live[s] for s in secs]))
-        return iter(out)
 
     def _wait(self, before: int | None, now: int | None, fired: bool) -> None:
         """Move the timer from the second waited for `before` to the oldest one `now`."""

@@ -345,5 +345,15 @@ def test_increments_of_hot_name_reach_the_state_as_few_rows(spark):
     assert newest["hot", 2] == EPOCH + timedelta(milliseconds=899)
 
 
+@pytest.mark.parametrize("path", ["table.parquet", "table.parquet/part.parquet"])
+def test_table_as_stream(spark, tmp_path, path):
+    folder = folder_of(spark)
+    (tmp_path / path).parent.mkdir(exist_ok=True)
+    spark.range(5).toPandas().to_parquet(tmp_path / path)
+    stream = streams.table_stream(spark, str(tmp_path / "table.parquet"), "id long")
+    lifecycle.run_available(lifecycle.file_writer(stream, f"{folder}/out", f"{folder}/state"))
+    assert spark.read.parquet(f"{folder}/out").count() == 5
+
+
 def test_work_dir_is_the_shared_folder(spark):
     assert storage.work_dir(spark) == spark.conf.get("spark.checkpoint.dir")
