@@ -99,6 +99,10 @@ def typed_record_top_names(spark, sf):
     return daily_plans.top_names_of_records(records.record_view(parsed))
 
 
+def line_view_top_names(spark, sf):
+    return daily_plans.top_names_of_records(records.line_view(_lines(spark, sf)))
+
+
 def daily_result_lines(spark, sf):
     return daily_sinks.result_lines(daily.day_pairs(line_top_names(spark, sf)))
 
@@ -170,7 +174,9 @@ def union_segments(spark, sf):
     names = ("documents", "conversations", "benchmark")
     rows = spark.read.schema("text string").parquet(*[f"{sf}/{n}.parquet" for n in names])
     lines = rows.select(
-        F.col("_metadata.file_name").alias("file_name"),
+        F.regexp_extract(F.col("_metadata.file_path"), r"/([a-z]+\.parquet)(/|$)", 1).alias(
+            "file_name"
+        ),
         F.explode(F.split("text", "\n")).alias("line"),
     )
     return lines.groupBy("file_name").agg(
@@ -409,6 +415,7 @@ QUERIES: tuple[Query, ...] = (
     daily_top_names_one_per_count,
     line_top_names,
     typed_record_top_names,
+    line_view_top_names,
     daily_result_lines,
     daily_display_lines,
     daily_counts_keep_empty,
@@ -537,6 +544,7 @@ ORACLE: dict[str, str] = {
         f'WITH {_TOP_ONE} SELECT {_DAY_FIRST} AS day, "rank", name, "count" FROM top'
     ),
     "typed_record_top_names": f'WITH {_TOP} SELECT day, "rank", name, "count" FROM top',
+    "line_view_top_names": f'WITH {_TOP} SELECT day, "rank", name, "count" FROM top',
     "daily_result_lines": f"""WITH {_TOP_ONE}
         SELECT 'DateResult(' || {_DAY_FIRST} || ',List('
             || string_agg('(' || name || ',' || "count" || ')', ',' ORDER BY "rank")

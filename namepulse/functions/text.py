@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import or_
 
@@ -15,23 +15,58 @@ def as_column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _pattern(sep: str) -> str:
+    if len(sep) != 1:
+        raise ValueError("sep must be a single character")
+    return "\\" + sep if sep in _REGEX_META else sep
+
+
 def split_trimmed(c: Column | str, sep: str) -> Column:
     """Split at a one-character separator, dropping trailing empty items.
 
     An empty string gives one empty item, a string of separators none, NULL gives NULL.
     """
-    if len(sep) != 1:
-        raise ValueError("sep must be a single character")
-    c = as_column(c)
+    c, pattern = as_column(c), _pattern(sep)
+    # Trimming is slow next to the split itself, so only what needs it is trimmed.
     trimmed = F.rtrim(c, F.lit(sep))
-    pattern = "\\" + sep if sep in _REGEX_META else sep
-    # The cheap test comes first: most strings are trimmed only once.
-    only_separators = c.startswith(F.lit(sep)) & (trimmed == "")
-    return F.when(only_separators, F.array().cast("array<string>")).otherwise(
-        F.split(trimmed, pattern)
+    return (
+        F.when(~c.endswith(F.lit(sep)), F.split(c, pattern))
+        .when(trimmed == "", F.array().cast("array<string>"))
+        .otherwise(F.split(trimmed, pattern))
+    )
+
+
+def pick_fields(
+    c: Column | str,
+    pick: Callable[[Callable[[int], Column]], Column],
+    sep: str = "\t",
+    more_than: int | None = None,
+) -> Column:
+    """The fields of a line that `pick` takes, as an array of at most one item.
+
+    `pick` gets a function from a position to the field there (NULL past the end), with
+    what `split` has put in the place of malformed UTF-8 dropped. With `more_than`, lines with at most that many fields give
+    an empty array; trailing empty fields do not count. To be exploded: the line is split
+    once, and only what is picked is kept.
+    """
+    lines = F.array(F.split(as_column(c), _pattern(sep)))
+    if more_than is not None:
+        lines = F.filter(
+            lines,
+            lambda f: F.exists(
+                F.slice(f, F.lit(more_than + 1), F.size(f)),
+                lambda x: _without_replacements(x) != "",
+            ),
+        )
+    return F.transform(
+        lines, lambda f: pick(lambda i: _without_replacements(F.get(f, F.lit(i))))
     )
 
 
+def _without_replacements(c: Column) -> Column:
+    return F.replace(c, F.lit("\ufffd"), F.lit(""))
+
+
 def before_first(c: Column | str, sep: str = ",") -> Column:
     """The text before the first `sep`; the whole text where there is none."""
     return F.substring_index(as_column(c), sep, 1)
@@ -75,8 +110,14 @@ def merge_count_maps(left: Column | str, right: Column | str) -> Column:
 
 
 def drop_malformed_utf8(c: Column | str) -> Column:
-    """Drop byte sequences that are not UTF-8 (and the replacement character itself)."""
-    return F.replace(F.make_valid_utf8(as_column(c)), F.lit("�"), F.lit(""))
+    """Drop byte sequences that are not UTF-8.
+
+    Text that needs no repair is passed on as it is; from other text the replacement
+    character goes as well.
+    """
+    c = as_column(c)
+    repaired = _without_replacements(F.make_valid_utf8(c))
+    return F.when(F.is_valid_utf8(c), c).otherwise(repaired)
 
 
 def record_key(c: Column | str) -> Column:

@@ -1,7 +1,8 @@
 """Batch form of the rolling one-hour count per name.
 
 A mention in second s counts from s to s + window - 1. In a second, expiries come before
-new mentions. Input everywhere: one row per mention with `name` and `timestamp`.
+new mentions. Input everywhere: one row per mention with `name` and `timestamp`; a row
+without either is no mention.
 """
 
 from __future__ import annotations
@@ -68,10 +69,16 @@ def _running(
     )
 
 
+def complete(mentions: DataFrame) -> DataFrame:
+    """Mentions with a name and a time; batch or streaming."""
+    return mentions.where(F.col("name").isNotNull() & F.col("timestamp").isNotNull())
+
+
 def second_buckets(mentions: DataFrame) -> DataFrame:
     """(name, sec, n): mentions per name and second."""
     return (
-        mentions.select("name", times.whole_seconds("timestamp").alias("sec"))
+        complete(mentions)
+        .select("name", times.whole_seconds("timestamp").alias("sec"))
         .groupBy("name", "sec")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -152,7 +159,7 @@ def rolling_adds(
 
     `order` is a unique integer column that orders the mentions of a second.
     """
-    rows = mentions.select(
+    rows = complete(mentions).select(
         "name",
         times.whole_seconds("timestamp").alias("sec"),
         F.col(order),
@@ -190,7 +197,8 @@ def histogram_as_of(
     after = moment - F.make_dt_interval(secs=F.lit(window - 1))
     before = moment + F.make_dt_interval(secs=F.lit(1))
     return (
-        mentions.where((F.col("timestamp") >= after) & (F.col("timestamp") < before))
+        complete(mentions)
+        .where((F.col("timestamp") >= after) & (F.col("timestamp") < before))
         .groupBy("name")
         .agg(F.count(F.lit(1)).alias("count"))
     )
@@ -209,7 +217,7 @@ def histogram_by_tick(
     if window % step:
         raise ValueError("step must divide the window")
     first = F.ceil(times.whole_seconds("timestamp") / step) * step
-    ticks = mentions.select("name", first.alias("_first")).select(
+    ticks = complete(mentions).select("name", first.alias("_first")).select(
         "name",
         F.explode(
             F.array(*[F.col("_first") + later for later in range(0, window, step)])

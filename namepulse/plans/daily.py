@@ -74,6 +74,6 @@ def write_top_names_of_lines(
     spark: SparkSession, data_path: str | None = None, out_path: str | None = None
 ) -> None:
     """One text line per day; paths default to DATA_PATH and OUT_PATH of the environment."""
-    lines = read_lines(spark, data_path or os.environ["DATA_PATH"])
+    lines = read_lines(spark, data_path or os.environ["DATA_PATH"], clean=False)
     pairs = daily.day_pairs(top_names_of_lines(lines))
     write_result_lines(pairs, out_path or os.environ["OUT_PATH"])

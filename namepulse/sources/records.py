@@ -41,10 +41,16 @@ def record_view(records: DataFrame) -> DataFrame:
     )
 
 
-def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """All lines of all files (duplicates kept), with malformed UTF-8 dropped."""
+def read_lines(
+    spark: SparkSession, paths: str | Sequence[str], clean: bool = True
+) -> DataFrame:
+    """All lines of all files (duplicates kept).
+
+    Malformed UTF-8 is dropped; with clean=False that is left to `positional_records` and
+    `line_view`, which then repair only the fields they take.
+    """
     lines = spark.read.text(paths if isinstance(paths, str) else list(paths))
-    return lines.select(text.drop_malformed_utf8("value").alias("value"))
+    return lines.select(text.drop_malformed_utf8("value").alias("value")) if clean else lines
 
 
 def read_positioned_lines(
@@ -69,24 +75,35 @@ def with_line_order(lines: DataFrame) -> DataFrame:
     )
 
 
-def line_fields(value: Column | str = "value") -> Column:
-    """Fields of a record line; trailing empty fields do not count."""
-    return text.split_trimmed(value, "\t")
-
-
 def positional_records(
     lines: DataFrame, value: str = "value", keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Lines with more than 23 fields as (date digits, all_names), by position."""
-    # Filtered inside the generator: as a plain filter it would be pushed below the
-    # projection and split every line twice.
-    long_enough = F.filter(
-        F.array(line_fields(value)), lambda f: F.size(f) > schemas.NAMES_FIELD
+    """Lines with more than 23 fields as (date_digits, all_names), by position."""
+    picked = text.pick_fields(
+        value,
+        lambda field: F.struct(
+            field(schemas.DATE_FIELD).alias("date_digits"),
+            field(schemas.NAMES_FIELD).alias("all_names"),
+        ),
+        more_than=schemas.NAMES_FIELD,
+    )
+    return lines.select(*keep, F.inline(picked))
+
+
+def line_view(lines: DataFrame, value: str = "value") -> DataFrame:
+    """The columns of `record_view`, cut out of plain lines without parsing the others."""
+    picked = text.pick_fields(
+        value,
+        lambda field: F.struct(
+            field(0).alias("record_id"),
+            field(schemas.DATE_FIELD).alias("_date"),
+            field(schemas.NAMES_FIELD).alias("_names"),
+        ),
     )
-    return lines.select(*keep, F.explode(long_enough).alias("_fields")).select(
-        *keep,
-        F.get("_fields", F.lit(schemas.DATE_FIELD)).alias("date_digits"),
-        F.get("_fields", F.lit(schemas.NAMES_FIELD)).alias("all_names"),
+    return lines.select(F.inline(picked)).select(
+        "record_id",
+        times.parse_record_time("_date").alias("date"),
+        F.nullif("_names", F.lit("")).alias("all_names"),
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from .. import schemas
 from ..functions import times
 from ..operators import daily
+from ..operators.rolling import complete
 from ..sources.records import positional_records
 from . import state
 
@@ -38,7 +39,7 @@ def rolling_changes(
     the name occurs. Mentions `delay` or more behind the newest of earlier batches are
     dropped; without a delay that includes mentions of the same time.
     """
-    buckets = mentions.select(
+    buckets = complete(mentions).select(
         "name",
         times.whole_seconds("timestamp").alias("sec"),
         F.lit(1).cast("bigint").alias("n"),

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+CHANGE = Row("name", "event_sec", "op", "prev_count", "count")
 BUCKET_COLUMNS = "name string, sec long, n long, timestamp timestamp"
 
 
@@ -84,9 +85,7 @@ class RollingCount(StatefulProcessor):
         def change(sec: int, op: str, delta: int) -> Row:
             nonlocal total, changed
             total, changed = total + delta, True
-            return Row(
-                name=name, event_sec=sec, op=op, prev_count=total - delta, count=total
-            )
+            return CHANGE(name, sec, op, total - delta, total)
 
         def expired(now: int) -> Iterator[Row]:
             while in_order and in_order[0] <= now - self.window:

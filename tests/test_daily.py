@@ -1,4 +1,5 @@
 import json
+import random
 
 import golden
 import pytest
@@ -202,3 +203,39 @@ def test_result_bounds(spark):
         [("2015-01-02", "a", 3), ("2015-01-01", "b", 7)], "day string, name string, count long"
     )
     assert tuple(daily.result_bounds(counts).first()) == ("2015-01-01", "2015-01-02", 7)
+
+
+def test_fields_are_the_same_with_lines_repaired_before_or_after(spark, tmp_path):
+    lines = [
+        golden.record_line("k-0", "20150218230000", "B@b,1;Al@").encode(),
+        golden.record_line("k-1", "20150218230000", "", "@").encode(),
+        golden.record_line("k-2", "2015@0218230000", "Bob,1").encode(),
+    ]
+    raw = b"\n".join(line.replace(b"@", b"\xff") for line in lines) + b"\n"
+    (tmp_path / "a.txt").write_bytes(raw)
+    for shape in (records.positional_records, records.line_view):
+        clean, late = (
+            sorted(map(str, shape(records.read_lines(spark, str(tmp_path), clean=c)).collect()))
+            for c in (True, False)
+        )
+        assert clean == late
+    names = records.positional_records(records.read_lines(spark, str(tmp_path), clean=False))
+    assert sorted(r.all_names for r in names.collect()) == ["Bb,1;Al", "Bob,1"]
+
+
+def test_arity_of_random_lines(spark):
+    r = random.Random(1)
+    lines = ["\t".join(r.choice(["", "x"]) for _ in range(r.randrange(20, 29))) for _ in range(500)]
+    df = spark.createDataFrame(list(enumerate(lines)), "i long, value string")
+    kept = {row.i for row in records.positional_records(df, keep=["i"]).collect()}
+    want = {i for i, line in enumerate(lines) if len(line.rstrip("\t").split("\t")) > 23}
+    assert kept == want and 0 < len(kept) < 500
+
+
+def test_line_view_equals_typed_scan(spark, record_dir):
+    typed = records.record_view(records.read_records(spark, record_dir))
+    view = records.line_view(records.read_lines(spark, record_dir, clean=False))
+    assert sorted(map(str, view.collect())) == sorted(map(str, typed.collect()))
+    short = spark.createDataFrame([("k\t20150218230000",), ("",)], "value string")
+    got = {(r.record_id, str(r.date), r.all_names) for r in records.line_view(short).collect()}
+    assert got == {("k", "2015-02-18 23:00:00", None), ("", "None", None)}

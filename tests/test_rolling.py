@@ -1,5 +1,5 @@
 import random
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timedelta
 
 import golden
 import pytest
@@ -178,3 +178,14 @@ def test_increments(spark):
     df = spark.createDataFrame([("a", 2), ("a", 3), ("b", 1)], "name string, increment long")
     got = {r["name"]: r["count"] for r in changelog.increment_totals(df).collect()}
     assert got == {"a": 5, "b": 1}
+
+
+def test_rows_without_name_or_time_are_no_mentions(spark):
+    rows = [(1, None, EPOCH), (2, "a", None), (3, "a", EPOCH + timedelta(seconds=5))]
+    df = spark.createDataFrame(rows, "id long, name string, timestamp timestamp")
+    assert [tuple(r) for r in rolling.rolling_adds(df, "id").collect()] == [(3, "a", 5, 1)]
+    assert changes(rolling.rolling_changelog(df)) == [(5, "a", 1, "add"), (3605, "a", 0, "expire")]
+    assert [tuple(r) for r in rolling.histogram_as_of(df, "1970-01-01 00:00:05").collect()] == [
+        ("a", 1)
+    ]
+    assert {r.tick for r in rolling.histogram_by_tick(df).collect()} == {900, 1800, 2700, 3600}

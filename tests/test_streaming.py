@@ -133,6 +133,14 @@ def test_same_time_in_later_batches_is_not_late(spark):
     ]
 
 
+def test_rows_without_a_time_do_not_stop_the_stream(spark):
+    folder = folder_of(spark)
+    at = EPOCH + timedelta(seconds=SHIFT + 5)
+    rows = [(1, "a", None), (2, None, at), (3, "a", at), (4, "b", None)]
+    append_batches([spark.createDataFrame(rows, MENTION)], f"{folder}/in")
+    assert rows_of(run_changes(spark, folder)) == [(5, "a", 1, "add")]
+
+
 def test_restart_goes_on_where_it_stopped(spark):
     folder = folder_of(spark)
     write_batches(spark, f"{folder}/in", [[("a", 0), ("a", 10)]])
