@@ -7,19 +7,23 @@ mentioned at ts; event_id orders the mentions.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from namepulse import schemas
-from namepulse.functions import messages, text, times
-from namepulse.operators import changelog, daily, log, ranking, rolling
-from namepulse.plans import daily as daily_plans
-from namepulse.plans.session import configure
-from namepulse.sinks import daily as daily_sinks
-from namepulse.sources import records, segments, streams, tables
-from namepulse.streaming import lifecycle, storage, topk
-from namepulse.streaming import rolling as stream_rolling
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+from namepulse import schemas  # noqa: E402
+from namepulse.functions import messages, text, times  # noqa: E402
+from namepulse.operators import changelog, daily, log, ranking, rolling  # noqa: E402
+from namepulse.plans import daily as daily_plans  # noqa: E402
+from namepulse.plans.session import configure  # noqa: E402
+from namepulse.sinks import daily as daily_sinks  # noqa: E402
+from namepulse.sources import records, segments, streams, tables  # noqa: E402
+from namepulse.streaming import lifecycle, storage, topk  # noqa: E402
+from namepulse.streaming import rolling as stream_rolling  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 

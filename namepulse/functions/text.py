@@ -44,10 +44,10 @@ def pick_fields(
 ) -> Column:
     """The fields of a line that `pick` takes, as an array of at most one item.
 
-    `pick` gets a function from a position to the field there (NULL past the end), with
-    what `split` has put in the place of malformed UTF-8 dropped. With `more_than`, lines with at most that many fields give
-    an empty array; trailing empty fields do not count. To be exploded: the line is split
-    once, and only what is picked is kept.
+    `pick` gets a function from a position to the field there (NULL past the end). What
+    `split` puts in the place of malformed UTF-8 is dropped from it. With `more_than`,
+    lines with at most that many fields give an empty array; trailing empty fields do not
+    count. To be exploded: the line is split once, and only what is picked is kept.
     """
     lines = F.array(F.split(as_column(c), _pattern(sep)))
     if more_than is not None:
