@@ -724,9 +724,27 @@ def entry(spark: SparkSession) -> DataFrame:
     return _configured(daily_top_names)(spark, SMOKE_DIR)
 
 
+def _llm():
+    """The module of training-data queries and the pipeline's, or None where they are left out."""
+    try:
+        import corpus_pipeline
+        from namepulse.llm import registry
+    except ImportError:
+        return None
+    return registry, corpus_pipeline
+
+
 def queries() -> dict[str, Query]:
-    return {q.__name__: _configured(q) for q in QUERIES}
+    found = list(QUERIES)
+    if llm := _llm():
+        found += [*llm[0].QUERIES, llm[1].pipeline]
+    return {q.__name__: _configured(q) for q in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    found = dict(ORACLE)
+    if llm := _llm():
+        found |= llm[0].ORACLE
+        if llm[1].ORACLE_SQL:
+            found["pipeline"] = llm[1].ORACLE_SQL
+    return found

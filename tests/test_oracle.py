@@ -13,7 +13,7 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", [q.__name__ for q in entry.QUERIES])
 def test_query_equals_sql(spark, con, name):
     df = entry.queries()[name](spark, SF)
     assert difference(df, con, entry.oracle_sql()[name]) is None
@@ -25,4 +25,4 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert {q.__name__ for q in entry.QUERIES} == set(entry.ORACLE)
