@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
 
-BATCH = [n for n in entry.queries() if not n.startswith("stream_")]
+BATCH = [q.__name__ for q in entry.QUERIES if not q.__name__.startswith("stream_")]
 
 
 def plan_of(spark, name):
