@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import quality
+from ..streaming.storage import fresh_dir
+from . import packing, quality, simhash, token_files
 from .shared import table
+from .tokens import public_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +32,33 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: list[Query] = [op1_quality_rules]
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written as ORC and read back."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = fresh_dir(spark, "token-files")
+    token_files.write(docs, out, public_path("byte_bpe_50k.json"))
+    return token_files.digests(token_files.read(spark, out))
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in sequences of at most 2048 tokens."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, public_path("word_bpe_49k.json"))
+
+
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate class of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs).select(
+        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+QUERIES: list[Query] = [
+    op1_quality_rules,
+    op2_token_files,
+    op6_best_fit_packing,
+    op10_simhash_near_dedup,
+]
 
 ORACLE: dict[str, str] = {}
