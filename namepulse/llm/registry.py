@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..streaming.storage import fresh_dir
-from . import packing, quality, simhash, token_files
+from . import packing, quality, secrets, simhash, token_files
 from .shared import table
 from .tokens import public_path
 
@@ -46,6 +46,20 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_path("word_bpe_49k.json"))
 
 
+def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document; models trained on what the fixed patterns find."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scanned(docs, secrets.fit(docs))
+    by_kind = [F.col("_secrets")[k] for k in secrets.KINDS]
+    base = secrets.span_list(F.concat(*by_kind[:3]))
+    return found.select(
+        "doc_id",
+        *[F.size(c).cast("bigint").alias(f"n_{k}") for k, c in zip(secrets.KINDS, by_kind)],
+        F.sha2(base, 256).alias("base_sha256"),
+        secrets.span_list(F.concat(*by_kind)).alias("spans"),
+    )
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate class of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -58,6 +72,7 @@ QUERIES: list[Query] = [
     op1_quality_rules,
     op2_token_files,
     op6_best_fit_packing,
+    op8_secret_scans,
     op10_simhash_near_dedup,
 ]
 
