@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..streaming.storage import fresh_dir
-from . import packing, quality, secrets, simhash, token_files
+from . import packing, quality, secrets, simhash, token_files, warc
 from .shared import table
 from .tokens import public_path
 
@@ -60,6 +60,28 @@ def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page archived as a WARC record and read back."""
+    out = fresh_dir(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), out)
+    return warc.digests(warc.read(spark, out))
+
+
+OP9_SQL = """
+WITH rows AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+    sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+), firsts AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM rows
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id > first THEN first END AS refers_to
+FROM firsts
+"""
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate class of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -73,7 +95,8 @@ QUERIES: list[Query] = [
     op2_token_files,
     op6_best_fit_packing,
     op8_secret_scans,
+    op9_warc,
     op10_simhash_near_dedup,
 ]
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op9_warc": OP9_SQL}
