@@ -20,7 +20,15 @@ MAX_UNITS = 1_000_000
 # In byte-level BPE a piece starts at a space that no white space follows. A line feed with no
 # white space around it is a piece of its own.
 _BYTE_LEVEL_CUT = re.compile(r" (?=\S)")
-_ODD_SPACE = re.compile(r"[ \n]\s|\s\n| $|\0")
+_ODD_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\0]")
+_RUNS = ("  ", " \n", "\n ", "\n\n")
+
+# Letters and the ASCII marks after them are pieces of their own in all these tokenizers.
+_WORD_AND_MARKS = re.compile(r"( ?[^\W\d_]+)([!-/:-@\[-^`{-~]+)")
+
+# Stands between units that are encoded in one go. After a space it is a piece of its own.
+_MARK = "\x01"
+_AT_ONCE = 1_000
 
 
 def public_path(file: str) -> str:
@@ -36,7 +44,7 @@ def byte_level_units(text: str) -> list[str]:
     """Cut a text for byte-level BPE without a normalizer; joined they give the text again."""
     if not text:
         return []
-    if _ODD_SPACE.search(text):
+    if text[-1] == " " or any(r in text for r in _RUNS) or _ODD_SPACE.search(text):
         cuts = [m.start() for m in _BYTE_LEVEL_CUT.finditer(text)]
         return [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)]) if a < b]
     units = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
@@ -63,17 +71,59 @@ class UnitEncoder:
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text here
         self.cut = CUTS[cut]
         self.max_units = max_units
+        self.mark = self.tokenizer.encode(f" {_MARK}", add_special_tokens=False).ids
         self.number: dict[str, int] = {}
         self.starts = np.zeros(1, np.int64)  # of each unit's ids in flat, and the end of the last
         self.flat = np.zeros(0, np.uint32)
 
     def _encoded(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(number of ids of each unit, all their ids)."""
-        found = self.tokenizer.encode_batch_fast(units, add_special_tokens=False)
-        ids = [e.ids for e in found]
+        plain = [k for k, u in enumerate(units) if (u[0].isalnum() or u[0] in " \n") and _MARK not in u]
+        ids: list = [None] * len(units)
+        chunks = [plain[at : at + _AT_ONCE] for at in range(0, len(plain), _AT_ONCE)]
+        texts = ["".join([f"{units[k]} {_MARK}" for k in chunk]) for chunk in chunks]
+        for chunk, e in zip(chunks, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            found = np.array(e.ids, np.uint32)
+            ends = np.flatnonzero(found == self.mark[-1]) - (len(self.mark) - 1)
+            begins = np.concatenate([[0], ends[:-1] + len(self.mark)])
+            for k, begin, end in zip(chunk, begins.tolist(), ends.tolist(), strict=True):
+                ids[k] = found[begin:end]
+        odd = [k for k, x in enumerate(ids) if x is None]
+        for k, e in zip(odd, self.tokenizer.encode_batch_fast([units[k] for k in odd], add_special_tokens=False)):
+            ids[k] = np.array(e.ids, np.uint32)
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum()))
-        return lengths, flat
+        return lengths, np.concatenate(ids) if ids else np.zeros(0, np.uint32)
+
+    def _append(self, units: list[str], lengths: np.ndarray, ids: np.ndarray) -> None:
+        known = len(self.number)
+        self.number.update(zip(units, range(known, known + len(units))))
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
+        self.flat = np.concatenate([self.flat, ids])
+
+    def _learn(self, units: list[str]) -> None:
+        """Give units, none of them known, a number; a word with marks gets the ids of both."""
+        fresh: dict[str, None] = {}
+        joined: list[tuple[str, str, str]] = []
+        for u in units:
+            if found := _WORD_AND_MARKS.fullmatch(u):
+                joined.append((u, found[1], found[2]))
+                fresh.update((p, None) for p in found.groups() if p not in self.number)
+            else:
+                fresh[u] = None
+        if fresh:
+            self._append(list(fresh), *self._encoded(list(fresh)))
+        if joined:
+            parts = np.array([self.number[p] for _, *both in joined for p in both], np.int64)
+            lengths, ids = self._gathered(parts)
+            self._append([u for u, *_ in joined], lengths.reshape(-1, 2).sum(axis=1), ids)
+
+    def _gathered(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each unit, all ids) of units given by number."""
+        begins, lengths = self.starts[which], self.starts[which + 1] - self.starts[which]
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        # Place in flat of every id: its unit's beginning plus its place in the unit.
+        return lengths, self.flat[np.arange(total) + np.repeat(begins - (ends - lengths), lengths)]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, place where each text's ids end)."""
@@ -81,28 +131,18 @@ class UnitEncoder:
         units = list(chain.from_iterable(per_text))
         which = np.fromiter(map(self.number.get, units, repeat(-1)), np.int64, len(units))
         missing = np.flatnonzero(which < 0)
-        starts, flat = self.starts, self.flat
+        before = len(self.number), self.starts, self.flat
         if len(missing):
             unknown = [units[i] for i in missing]
-            new = {u: k for k, u in enumerate(dict.fromkeys(unknown))}
-            new_lengths, new_ids = self._encoded(list(new))
-            which[missing] = len(starts) - 1 + np.fromiter(
-                map(new.__getitem__, unknown), np.int64, len(unknown)
-            )
-            starts = np.concatenate([starts, starts[-1] + np.cumsum(new_lengths)])
-            flat = np.concatenate([flat, new_ids])
-            if len(starts) - 1 <= self.max_units:
-                known = len(self.number)
-                self.number.update(zip(new, range(known, known + len(new))))
-                self.starts, self.flat = starts, flat
-        begins, lengths = starts[which], starts[which + 1] - starts[which]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        # Position in flat of every id: its unit's beginning plus its place in the unit.
-        place = np.arange(total) + np.repeat(begins - (ends - lengths), lengths)
+            self._learn(list(dict.fromkeys(unknown)))
+            which[missing] = np.fromiter(map(self.number.get, unknown), np.int64, len(unknown))
+        lengths, ids = self._gathered(which)
+        if len(self.number) > self.max_units:  # full: keep what was known before
+            while len(self.number) > before[0]:
+                self.number.popitem()
+            _, self.starts, self.flat = before
         units_before = np.cumsum(np.fromiter(map(len, per_text), np.int64, len(per_text)))
-        text_ends = np.concatenate([[0], ends])[units_before]
-        return flat[place], text_ends
+        return ids, np.concatenate([[0], np.cumsum(lengths)])[units_before]
 
 
 _ENCODERS: dict[tuple[str, str], UnitEncoder] = {}
