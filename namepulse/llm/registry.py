@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..streaming.storage import fresh_dir
-from . import packing, quality, secrets, simhash, token_files, warc
+from . import decontamination, licenses, packing, quality, secrets, simhash, token_files, warc
 from .shared import table
 from .tokens import public_path
 
@@ -40,6 +40,18 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(token_files.read(spark, out))
 
 
+def op3_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License wording in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scanned(docs).select("doc_id", "license.*")
+
+
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every overlap of a document with a benchmark item; clean documents have no row."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontamination.overlaps(docs, table(spark, sf_dir, "benchmark"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in sequences of at most 2048 tokens."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -93,6 +105,8 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: list[Query] = [
     op1_quality_rules,
     op2_token_files,
+    op3_license_scans,
+    op4_benchmark_decontamination,
     op6_best_fit_packing,
     op8_secret_scans,
     op9_warc,
