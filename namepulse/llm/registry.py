@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..streaming.storage import fresh_dir
-from . import decontamination, licenses, packing, quality, secrets, simhash, token_files, warc
+from . import decontamination, html_text, licenses, packing, quality, secrets, simhash, token_files, warc
 from .shared import table
 from .tokens import public_path
 
@@ -58,6 +58,15 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_path("word_bpe_49k.json"))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = html_text.with_text(pages)
+    return found.select(
+        "page_id", "url", F.col("main_text").alias("text"), F.char_length("main_text").cast("bigint").alias("n_chars")
+    )
+
+
 def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document; models trained on what the fixed patterns find."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -108,6 +117,7 @@ QUERIES: list[Query] = [
     op3_license_scans,
     op4_benchmark_decontamination,
     op6_best_fit_packing,
+    op7_html_extraction,
     op8_secret_scans,
     op9_warc,
     op10_simhash_near_dedup,
