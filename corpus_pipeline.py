@@ -6,10 +6,11 @@ again as the next one's docs. All but the last return the columns of `documents`
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from namepulse.llm import quality
+from namepulse.llm import decontamination, packing, quality, secrets, simhash
 from namepulse.llm.shared import kept, table
+from namepulse.llm.tokens import public_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,7 +18,34 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.filtered(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
-STAGES = [("quality_rules", quality_rules)]
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document, by id, of each class of near-duplicates."""
+    return simhash.first_of_each(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without an overlap with an item of the benchmark."""
+    return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets replaced by a mark; n_chars follows the text."""
+    clean = secrets.redacted(docs, secrets.fit(docs))
+    return clean.withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences of at most 2048 tokens."""
+    return packing.pack(docs, public_path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("simhash_near_dedup", simhash_near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("secret_scans", secret_scans),
+    ("best_fit_packing", best_fit_packing),
+]
 
 # The learned list, the fingerprints and the tokenizer are beyond SQL.
 ORACLE_SQL = None

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from .licenses import words_of
-from .shared import once, text_bytes
+from .shared import once, text_bytes, unused
 
 # 1: the word counts. Replaced words may be every third, fourth or fifth, or irregular.
 MASKS = ("1111011", "110110111", "1110101101")
@@ -196,5 +196,6 @@ def overlaps(
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", **options) -> DataFrame:
     """The documents without an overlap, with their own columns only."""
     for block in blocks(benchmark, item_id, **options):
-        docs = with_hits(docs, block, text).where(F.size("_hits") == 0).drop("_hits")
+        to = unused(docs, "hits")
+        docs = with_hits(docs, block, text, to).where(F.size(to) == 0).drop(to)
     return docs

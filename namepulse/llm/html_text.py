@@ -22,7 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .shared import kept, once
+from .shared import kept, once, unused
 
 # A subtree on this share of a host's different pages, and on this many, is template. A host
 # then has at most (subtrees of a page) / LEAST_SHARE templates on average.
@@ -268,13 +268,14 @@ def with_text(
 
     by_host = kept(templates(pages, url, html, **options), "templates")
     total = by_host.agg(F.sum(F.size("templates") + 1)).first()[0] or 0
-    rows = pages.withColumn("_host", host(url))
-    known = by_host.select(F.col("host").alias("_host"), "templates")
+    own, list_, part_of = (unused(pages, c) for c in ("host", "templates", "part"))
+    rows = pages.withColumn(own, host(url))
+    known = by_host.select(F.col("host").alias(own), F.col("templates").alias(list_))
     if total <= most_sent:
-        joined = rows.join(F.broadcast(known), "_host", "left")
+        joined = rows.join(F.broadcast(known), own, "left")
     else:
-        part = F.pmod(F.xxhash64(F.col(html)), F.lit(SPREAD)).alias("_part")
-        spread = known.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SPREAD - 1).cast("bigint"))))
-        joined = rows.withColumn("_part", F.coalesce(part, F.lit(0))).join(spread, ["_host", "_part"], "left")
-    text = once(find, "string")(F.coalesce(F.col(html), F.lit("")), "templates")
-    return joined.withColumn(to, text).select(*pages.columns, to)
+        part = F.pmod(F.xxhash64(F.col(html)), F.lit(SPREAD))
+        spread = known.withColumn(part_of, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SPREAD - 1).cast("bigint"))))
+        joined = rows.withColumn(part_of, F.coalesce(part, F.lit(0))).join(spread, [own, part_of], "left")
+    text = once(find, "string")(F.coalesce(F.col(html), F.lit("")), list_)
+    return joined.withColumn(to, text).select(*[c for c in pages.columns if c != to], to)

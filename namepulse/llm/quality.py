@@ -19,9 +19,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .shared import ASCII_SPACE, once, text_bytes
+from .shared import ASCII_SPACE, once, text_bytes, unused
 
-STATS = "_quality_stats"
+STATS = "quality_stats"
 
 # Most labelled rows that the rules are fitted on: those first by a hash of their id.
 MAX_LABELLED = 20_000
@@ -90,35 +90,36 @@ def _stats(texts: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays(columns, _COUNTS)
 
 
-def with_stats(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs with one more column, the struct STATS of counts of the text."""
-    return docs.withColumn(STATS, once(_stats, STATS_TYPE)(text_bytes(text)))
+def with_stats(docs: DataFrame, text: str = "text", to: str = STATS) -> DataFrame:
+    """docs with one more column, the struct of counts of the text."""
+    return docs.withColumn(to, once(_stats, STATS_TYPE)(text_bytes(text)))
 
 
-def _per(count: str, whole: str) -> Column:
-    return F.col(f"{STATS}.{count}") / F.greatest(F.col(f"{STATS}.{whole}"), F.lit(1))
+def _per(stats: Column, count: str, whole: str) -> Column:
+    return stats[count] / F.greatest(stats[whole], F.lit(1))
 
 
-def features() -> dict[str, Column]:
+def features(stats: str = STATS) -> dict[str, Column]:
     """The statistics that rules put thresholds on."""
+    s = F.col(stats)
     return {
-        "words": F.col(f"{STATS}.n_words").cast("double"),
-        "word_length": _per("n_word_chars", "n_words"),
-        "symbols_per_word": _per("n_symbols", "n_words"),
-        "dup_line_share": _per("n_dup_lines", "n_lines"),
-        "repeat_word_share": _per("n_repeat_words", "n_words"),
-        "words_per_line": _per("n_words", "n_lines"),
-        "upper_per_lower": _per("n_upper", "n_lower"),
-        "digit_share": _per("n_digits", "n_word_chars"),
-        "marks_per_word": _per("n_marks", "n_words"),
-        "distinct_share": _per("n_distinct_words", "n_words"),
-        "long_word_share": _per("n_long_words", "n_words"),
+        "words": s["n_words"].cast("double"),
+        "word_length": _per(s, "n_word_chars", "n_words"),
+        "symbols_per_word": _per(s, "n_symbols", "n_words"),
+        "dup_line_share": _per(s, "n_dup_lines", "n_lines"),
+        "repeat_word_share": _per(s, "n_repeat_words", "n_words"),
+        "words_per_line": _per(s, "n_words", "n_lines"),
+        "upper_per_lower": _per(s, "n_upper", "n_lower"),
+        "digit_share": _per(s, "n_digits", "n_word_chars"),
+        "marks_per_word": _per(s, "n_marks", "n_words"),
+        "distinct_share": _per(s, "n_distinct_words", "n_words"),
+        "long_word_share": _per(s, "n_long_words", "n_words"),
     }
 
 
-def base_failed() -> Column:
+def base_failed(stats: str = STATS) -> Column:
     """Too short, or more than half of the words in repeated windows."""
-    words, repeated = F.col(f"{STATS}.n_words"), F.col(f"{STATS}.n_repeat_words")
+    words, repeated = F.col(stats)["n_words"], F.col(stats)["n_repeat_words"]
     return (words < 50) | (100 * repeated > 50 * words)
 
 
@@ -132,8 +133,8 @@ class Condition:
         values = rows[self.feature]
         return values > self.threshold if self.above else values <= self.threshold
 
-    def column(self) -> Column:
-        value = features()[self.feature]
+    def column(self, stats: str = STATS) -> Column:
+        value = features(stats)[self.feature]
         return value > F.lit(self.threshold) if self.above else value <= F.lit(self.threshold)
 
     def __str__(self) -> str:
@@ -274,13 +275,13 @@ def fit(
     return learn(rows, bad, found["_held"].to_numpy(bool), **options)
 
 
-def verdict(rules: list[Rule]) -> Column:
+def verdict(rules: list[Rule], stats: str = STATS) -> Column:
     """The first rule that fires, as text, or null: `CASE WHEN rule 1 THEN ... END`."""
     out = F.lit(None).cast("string")
     for rule in reversed(rules):
         held = F.lit(True)
         for c in rule:
-            held = held & c.column()
+            held = held & c.column(stats)
         out = F.when(held, F.lit(" and ".join(map(str, rule)))).otherwise(out)
     return out
 
@@ -297,5 +298,6 @@ def judged(docs: DataFrame, rules: list[Rule], text: str = "text") -> DataFrame:
 
 def filtered(docs: DataFrame, rules: list[Rule], text: str = "text") -> DataFrame:
     """The documents that the base rules and the list keep, with their own columns only."""
-    kept = with_stats(docs, text).where(~base_failed() & verdict(rules).isNull())
-    return kept.drop(STATS)
+    stats = unused(docs, STATS)
+    found = with_stats(docs, text, stats)
+    return found.where(~base_failed(stats) & verdict(rules, stats).isNull()).drop(stats)

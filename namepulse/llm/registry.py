@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..streaming.storage import fresh_dir
-from . import decontamination, html_text, licenses, packing, quality, secrets, simhash, token_files, warc
+from . import decontamination, html_text, licenses, packing, preferences, quality, secrets, simhash, token_files, warc
 from .shared import table
 from .tokens import public_path
 
@@ -52,6 +52,52 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontamination.overlaps(docs, table(spark, sf_dir, "benchmark"))
 
 
+def op5_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation against itself with its neighbour's last reply."""
+    found = preferences.conversations(table(spark, sf_dir, "conversations"))
+    return preferences.formatted(preferences.swapped_replies(found)).withColumn(
+        "prompt_turns", F.col("prompt_turns").cast("bigint")
+    )
+
+
+OP5_SQL = """
+WITH given AS (
+  SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+), t AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k FROM given
+), last AS (
+  SELECT conv_id, max(k) AS k, arg_max(text, k) AS reply FROM t WHERE role = 'assistant' GROUP BY conv_id
+), pair AS (
+  SELECT c.conv_id, c.n, l.k AS last, l.reply AS own, coalesce(o.reply, '') AS other
+  FROM (SELECT conv_id, max(k) AS n FROM t GROUP BY conv_id) c
+  LEFT JOIN last l USING (conv_id) LEFT JOIN last o ON o.conv_id = xor(c.conv_id, 1)
+), cut AS (
+  SELECT *, CASE WHEN last IS NULL OR own = other THEN n ELSE last - 1 END AS prompt_turns FROM pair
+), turns AS (
+  SELECT c.conv_id, c.prompt_turns, t.k, t.role, '<|' || t.role || '|>' || chr(10) AS head, t.text AS a,
+    CASE WHEN t.k = c.last THEN c.other ELSE t.text END AS b, '<|end|>' || chr(10) AS tail
+  FROM cut c JOIN t USING (conv_id)
+), placed AS (
+  SELECT *, sum(length(head || a || tail)) OVER w AS a_end, sum(length(head || b || tail)) OVER w AS b_end
+  FROM turns WHERE k > prompt_turns WINDOW w AS (PARTITION BY conv_id ORDER BY k)
+), prompts AS (
+  SELECT conv_id, any_value(prompt_turns) AS prompt_turns,
+    coalesce(string_agg(head || a || tail, '' ORDER BY k) FILTER (k <= prompt_turns), '') AS prompt
+  FROM turns GROUP BY conv_id
+), completions AS (
+  SELECT conv_id,
+    string_agg(head || a || tail, '' ORDER BY k) AS chosen,
+    string_agg(head || b || tail, '' ORDER BY k) AS rejected,
+    string_agg((a_end - length(a || tail)) || ':' || a_end, ',' ORDER BY k) FILTER (role = 'assistant') AS chosen_spans,
+    string_agg((b_end - length(b || tail)) || ':' || b_end, ',' ORDER BY k) FILTER (role = 'assistant') AS rejected_spans
+  FROM placed GROUP BY conv_id
+)
+SELECT conv_id, prompt_turns, prompt, coalesce(chosen, '') AS chosen, coalesce(rejected, '') AS rejected,
+  coalesce(chosen_spans, '') AS chosen_spans, coalesce(rejected_spans, '') AS rejected_spans
+FROM prompts LEFT JOIN completions USING (conv_id)
+"""
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in sequences of at most 2048 tokens."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -71,7 +117,7 @@ def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document; models trained on what the fixed patterns find."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = secrets.scanned(docs, secrets.fit(docs))
-    by_kind = [F.col("_secrets")[k] for k in secrets.KINDS]
+    by_kind = [F.col("secrets")[k] for k in secrets.KINDS]
     base = secrets.span_list(F.concat(*by_kind[:3]))
     return found.select(
         "doc_id",
@@ -116,6 +162,7 @@ QUERIES: list[Query] = [
     op2_token_files,
     op3_license_scans,
     op4_benchmark_decontamination,
+    op5_preference_formatting,
     op6_best_fit_packing,
     op7_html_extraction,
     op8_secret_scans,
@@ -123,4 +170,4 @@ QUERIES: list[Query] = [
     op10_simhash_near_dedup,
 ]
 
-ORACLE: dict[str, str] = {"op9_warc": OP9_SQL}
+ORACLE: dict[str, str] = {"op5_preference_formatting": OP5_SQL, "op9_warc": OP9_SQL}

@@ -17,6 +17,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .shared import unused
+
 # The patterns, the group whose length counts, and its least length.
 ASSIGN = (
     r"(?i:(password|passwd|secret|token|api_?key))"
@@ -164,7 +166,7 @@ def fit(
     return train(counts[True], counts[False], **options)
 
 
-def scanned(docs: DataFrame, model: Model, text: str = "text", to: str = "_secrets") -> DataFrame:
+def scanned(docs: DataFrame, model: Model, text: str = "text", to: str = "secrets") -> DataFrame:
     """docs with a struct `to` of arrays of spans: assign, access, hex and markov."""
     whole = F.coalesce(F.col(text), F.lit(""))
     base = docs.withColumn(
@@ -203,8 +205,9 @@ def span_list(spans: Column) -> Column:
 
 def redacted(docs: DataFrame, model: Model, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """docs with every secret in the text replaced by mark; texts without one stay as they are."""
-    found = scanned(docs, model, text)
-    spans = F.array_sort(F.concat(*[F.col("_secrets")[k] for k in KINDS]))
+    to = unused(docs, "secrets")
+    found = scanned(docs, model, text, to)
+    spans = F.array_sort(F.concat(*[F.col(to)[k] for k in KINDS]))
 
     def step(state: Column, span: Column) -> Column:
         # A span that begins inside the one before only lengthens it.
@@ -223,4 +226,4 @@ def redacted(docs: DataFrame, model: Model, text: str = "text", mark: str = "[SE
         ),
     )
     some = F.size(spans) > 0
-    return found.withColumn(text, F.when(some, clean).otherwise(F.col(text))).drop("_secrets")
+    return found.withColumn(text, F.when(some, clean).otherwise(F.col(text))).drop(to)

@@ -25,6 +25,14 @@ def once(function, returns: str):
     return F.arrow_udf(function, returns).asNondeterministic()
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like `name` that df does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def kept(df: DataFrame, name: str) -> DataFrame:
     """df written as a Parquet table in the shared folder and read back: cuts the lineage.
 

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .components import components
-from .shared import hot_join, kept, once, text_bytes
+from .shared import hot_join, kept, once, text_bytes, unused
 
 RADIUS = 4
 SHINGLE = 4
@@ -266,17 +266,18 @@ def first_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", **opt
     Of repeated rows of one id any one stays; documents without an id are all kept.
     """
     found = near_duplicates(docs, id, text, **options)
+    first, rows = unused(docs, "first"), unused(docs, "rows")
     firsts = kept(
         found.where(F.col(id) == F.col("component_id"))
-        .groupBy(F.col(id).alias("_first"))
-        .agg(F.count("*").alias("_rows")),
+        .groupBy(F.col(id).alias(first))
+        .agg(F.count("*").alias(rows)),
         "firsts",
     )
-    same = F.col(id) == F.col("_first")
-    repeated = firsts.where("_rows > 1")
+    same = F.col(id) == F.col(first)
+    repeated = firsts.where(F.col(rows) > 1)
     whole = docs.join(firsts, same, "left_semi")
     if not repeated.isEmpty():
-        whole = docs.join(firsts.where("_rows = 1"), same, "left_semi").union(
+        whole = docs.join(firsts.where(F.col(rows) == 1), same, "left_semi").union(
             docs.join(repeated, same, "left_semi").dropDuplicates([id])
         )
     return whole.union(docs.where(F.col(id).isNull()))
