@@ -195,7 +195,9 @@ class WarcReader(DataSourceReader):
     def _passes(self, header: dict) -> bool:
         return all(header[field] in values for field, values in self.tests)
 
-    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: InputPartition | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # Spark reads one partition also where none is planned
+            return
         system, root = _file_system(self.path)
         schema = pa.schema(
             [(c, {"bigint": pa.int64(), "string": pa.string(), "binary": pa.binary()}[t])

@@ -1,0 +1,183 @@
+"""The registered queries on the given tables: against their SQL, or against plain Python."""
+
+import hashlib
+import html
+import re
+import sys
+import zlib
+from itertools import combinations
+from pathlib import Path
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+import __spark_entry__ as entry  # noqa: E402
+import corpus_pipeline  # noqa: E402
+from namepulse.llm import licenses, registry  # noqa: E402
+from oracle import connect, difference  # noqa: E402
+from test_llm_tables import brute_components, brute_fingerprint, crc, library_ids  # noqa: E402
+from test_llm_texts import brute_base, brute_phrases, brute_stats  # noqa: E402
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def texts():
+    return dict(duckdb.sql(f"SELECT doc_id, text FROM '{SF}/documents.parquet' ORDER BY doc_id").fetchall())
+
+
+def rows_of(spark, name):
+    return entry.queries()[name](spark, SF).collect()
+
+
+def test_all_are_registered():
+    names = [q.__name__ for q in registry.QUERIES]
+    assert [re.match(r"op(\d+)_", n)[1] for n in names] == [str(i) for i in range(1, 11)]
+    assert {*names, "pipeline"} <= set(entry.queries())
+    assert set(registry.ORACLE) <= set(names)
+
+
+@pytest.mark.parametrize("name", list(registry.ORACLE))
+def test_query_equals_sql(spark, name):
+    assert difference(entry.queries()[name](spark, SF), connect(SF), registry.ORACLE[name]) is None
+
+
+def test_op1(spark, texts):
+    got = rows_of(spark, "op1_quality_rules")
+    assert len(got) == len(texts)
+    for r in got:
+        s = brute_stats(texts[r["doc_id"]])
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == s
+        assert r["base_failed"] == (s[0] < 50 or 100 * s[4] > 50 * s[0])
+        assert r["kept"] == (not r["base_failed"] and r["rule"] is None)
+
+
+def test_op1_agrees_with_labels_it_has_not_seen(spark):
+    """Learned on the documents of even id, judged on the others."""
+    from namepulse.llm import quality
+
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    rules = quality.fit(docs, labels.where("doc_id % 2 = 0"))
+    judged = quality.judged(docs, rules).join(labels.where("doc_id % 2 = 1"), "doc_id").where("NOT base_failed")
+    counts = {(r["quality"], r["kept"]): r["count"] for r in judged.groupBy("quality", "kept").count().collect()}
+    assert counts[0, False] >= 0.9 * (counts[0, False] + counts.get((0, True), 0))
+    assert counts.get((1, False), 0) <= 0.01 * counts[1, True]
+
+
+def test_op2(spark, texts):
+    ids = library_ids("byte_bpe_50k.json", texts.values(), 2)
+    starts = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
+    want = {(d, int(s), len(x), crc(x)) for d, s, x in zip(texts, starts, ids)}
+    assert {tuple(r) for r in rows_of(spark, "op2_token_files")} == want
+
+
+def test_op3(spark, texts):
+    found = rows_of(spark, "op3_license_scans")
+    for r in found:
+        assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"]) == brute_phrases(texts[r["doc_id"]])
+        low = " " + " ".join(w.decode() for w in licenses.words_of(texts[r["doc_id"]].encode())) + " "
+        labels = {label for p, label in licenses.PHRASES.items() if f" {p} " in low}
+        assert r["base_labels"] == ",".join(sorted(labels))
+        assert labels <= set(r["labels"].split(","))
+    assert len(found) == len(texts)
+
+
+def test_op4(spark, texts):
+    items = duckdb.sql(f"SELECT item_id, text FROM '{SF}/benchmark.parquet'").fetchall()
+    want = set()
+    for d, t in texts.items():
+        words = licenses.words_of(t.encode())
+        for i, x in items:
+            item = licenses.words_of(x.encode())
+            best = max(
+                (sum(a == b for a, b in zip(item, words[k : k + len(item)])) for k in range(max(1, len(words) - len(item) + 1))),
+                default=0,
+            )
+            if best >= 0.8 * len(item):
+                want.add((d, i))
+    assert {(r["doc_id"], r["item_id"]) for r in rows_of(spark, "op4_benchmark_decontamination")} == want
+
+
+def test_op6(spark, texts):
+    ids = library_ids("word_bpe_49k.json", texts.values(), 0)
+    want = {(d, k // 2048, k, len(x[k : k + 2048]), crc(x[k : k + 2048])) for d, x in zip(texts, ids) for k in range(0, len(x), 2048)}
+    got = rows_of(spark, "op6_best_fit_packing")
+    assert {(r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got} == want
+    bins = {}
+    for r in got:
+        bins.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for items in bins.values():
+        items.sort()
+        assert [o for o, _ in items] == [0, *np.cumsum([n for _, n in items])[:-1]]
+        assert sum(n for _, n in items) <= 2048
+    assert len(bins) <= -(-sum(map(len, ids)) // 2048) + 1
+
+
+def test_op7(spark):
+    pages = dict(duckdb.sql(f"SELECT page_id, html FROM '{SF}/pages.parquet'").fetchall())
+    got = rows_of(spark, "op7_html_extraction")
+    assert len(got) == len(pages)
+    for r in got:
+        article = re.search("<article>(.*?)</article>", pages[r["page_id"]], re.S)[1].replace("<br>", "\n")
+        blocks = [" ".join(html.unescape(re.sub("<[^>]*>", "", b)).split()) for b in re.split("</?(?:p|h1)>", article)]
+        assert r["text"] == "\n\n".join(b for b in blocks if b)
+        assert r["n_chars"] == len(r["text"])
+
+
+def test_op8(spark, texts):
+    for r in rows_of(spark, "op8_secret_scans"):
+        base = brute_base(texts[r["doc_id"]])
+        assert r["base_sha256"] == hashlib.sha256(base.encode()).hexdigest()
+        assert set(filter(None, base.split(","))) <= set(r["spans"].split(","))
+        for kind in ("assign", "access", "hex"):
+            assert r[f"n_{kind}"] == len(re.findall(kind, base))
+
+
+def test_op8_runs_without_python(spark):
+    plan = entry.queries()["op8_secret_scans"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_op10(spark, texts):
+    prints = {d: brute_fingerprint(t) for d, t in texts.items()}
+    edges = [(d, d) for d in texts] + [(a, b) for a, b in combinations(texts, 2) if (prints[a] ^ prints[b]).bit_count() <= 4]
+    root = brute_components(edges)
+    want = {(d, f"{p:016x}", root[d]) for d, p in prints.items()}
+    assert {tuple(r) for r in rows_of(spark, "op10_simhash_near_dedup")} == want
+
+
+def test_pipeline_stage_by_stage(spark, texts):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    assert len(corpus_pipeline.STAGES) == 5
+    before, columns = set(texts), docs.columns
+    left = {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.kept(stage(spark, docs, SF), f"test-{name}")
+        if name != "best_fit_packing":
+            assert docs.columns == columns
+            left[name] = {r["doc_id"]: r["text"] for r in docs.collect()}
+            assert set(left[name]) <= before
+            before = set(left[name])
+    verdicts = {r["doc_id"] for r in rows_of(spark, "op1_quality_rules") if r["kept"]}
+    assert set(left["quality_rules"]) == verdicts
+    prints = {d: brute_fingerprint(texts[d]) for d in verdicts}
+    edges = [(d, d) for d in verdicts] + [(a, b) for a, b in combinations(sorted(verdicts), 2) if (prints[a] ^ prints[b]).bit_count() <= 4]
+    assert set(left["simhash_near_dedup"]) == set(brute_components(edges).values())
+    leaking = {r["doc_id"] for r in rows_of(spark, "op4_benchmark_decontamination")}
+    assert set(left["benchmark_decontamination"]) == set(left["simhash_near_dedup"]) - leaking
+    assert set(left["secret_scans"]) == set(left["benchmark_decontamination"])
+    assert not any(brute_base(t) for t in left["secret_scans"].values())
+    final = left["secret_scans"]
+    ids = library_ids("word_bpe_49k.json", final.values(), 0)
+    lengths = {r["doc_id"]: r["n"] for r in docs.groupBy("doc_id").agg(F.sum("length").alias("n")).collect()}
+    assert lengths == {d: len(x) for d, x in zip(final, ids)}
+    whole = {tuple(r)[:5] for r in corpus_pipeline.run(spark, SF).collect()}
+    assert whole == {tuple(r)[:5] for r in docs.collect()}
+
+
+def test_crc_of_bytes():
+    assert crc([1]) == zlib.crc32(b"\1\0\0\0")
