@@ -20,7 +20,7 @@ from .tokens import encoded_runs, encoder
 
 ROW_INDEX_ROWS = 1_000
 STRIPE_BYTES = 64 << 20
-SCHEMA = "doc_id bigint, part int, first bigint, ids array<int>"
+SCHEMA = "doc_id bigint, part int, first bigint, n_ids int, ids array<int>"
 
 
 def _encode(path: str, cut: str, end_id: int):
@@ -38,9 +38,10 @@ def _encode(path: str, cut: str, end_id: int):
                         ids_of.slice(k, n),
                         pa.array(np.full(n, part, np.int32)),
                         pa.array(before + offsets[:-1]),
+                        pa.array(np.diff(offsets).astype(np.int32)),
                         pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(with_end)),
                     ],
-                    ["doc_id", "part", "first", "ids"],
+                    ["doc_id", "part", "first", "n_ids", "ids"],
                 )
                 before += int(offsets[-1])
 
@@ -105,7 +106,7 @@ def digests(files: DataFrame) -> DataFrame:
         F.size("ids").cast("bigint").alias("n_tokens"),
         once(_crc32, "bigint")("ids").alias("ids_crc32"),
     )
-    sizes = files.groupBy("part").agg(F.sum(F.size("ids")).alias("ids_in_part"))
+    sizes = files.groupBy("part").agg(F.sum("n_ids").alias("ids_in_part"))
     before = F.sum("ids_in_part").over(Window.orderBy("part")) - F.col("ids_in_part")
     bases = sizes.select("part", before.alias("base"))
     return read_back.join(F.broadcast(bases), "part").select(  # a row per written file

@@ -15,7 +15,7 @@ import numpy as np
 
 # Units remembered by one Python worker, about 200 bytes each. Units that come later are
 # encoded each time; the frequent ones are among the first.
-MAX_UNITS = 1_000_000
+MAX_UNITS = 1_500_000
 
 # In byte-level BPE a piece starts at a space that no white space follows. A line feed with no
 # white space around it is a piece of its own.
@@ -59,6 +59,15 @@ def word_units(text: str) -> list[str]:
 CUTS = {"byte_level": byte_level_units, "words": word_units}
 
 
+def _grown(array: np.ndarray, size: int) -> np.ndarray:
+    """The array, or a copy with room for size elements and half as many again."""
+    if size <= len(array):
+        return array
+    out = np.zeros(size + size // 2, array.dtype)
+    out[: len(array)] = array
+    return out
+
+
 class UnitEncoder:
     """Ids of texts, by way of a bounded memory of units."""
 
@@ -76,29 +85,36 @@ class UnitEncoder:
         self.starts = np.zeros(1, np.int64)  # of each unit's ids in flat, and the end of the last
         self.flat = np.zeros(0, np.uint32)
 
-    def _encoded(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(number of ids of each unit, all their ids)."""
-        plain = [k for k, u in enumerate(units) if (u[0].isalnum() or u[0] in " \n") and _MARK not in u]
-        ids: list = [None] * len(units)
+    def _encoded(self, units: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """(the units in another order, number of ids of each, all their ids)."""
+        plain, odd = [], []
+        for u in units:
+            (plain if (u[0].isalnum() or u[0] in " \n") and _MARK not in u else odd).append(u)
         chunks = [plain[at : at + _AT_ONCE] for at in range(0, len(plain), _AT_ONCE)]
-        texts = ["".join([f"{units[k]} {_MARK}" for k in chunk]) for chunk in chunks]
+        texts = [f" {_MARK}".join([*chunk, ""]) for chunk in chunks]
+        lengths, ids = [], []
         for chunk, e in zip(chunks, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
             found = np.array(e.ids, np.uint32)
-            ends = np.flatnonzero(found == self.mark[-1]) - (len(self.mark) - 1)
-            begins = np.concatenate([[0], ends[:-1] + len(self.mark)])
-            for k, begin, end in zip(chunk, begins.tolist(), ends.tolist(), strict=True):
-                ids[k] = found[begin:end]
-        odd = [k for k, x in enumerate(ids) if x is None]
-        for k, e in zip(odd, self.tokenizer.encode_batch_fast([units[k] for k in odd], add_special_tokens=False)):
-            ids[k] = np.array(e.ids, np.uint32)
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        return lengths, np.concatenate(ids) if ids else np.zeros(0, np.uint32)
+            last = np.flatnonzero(found == self.mark[-1])
+            if len(last) != len(chunk):
+                raise ValueError("a unit's ids run into the next one's")
+            own = np.ones(len(found), bool)
+            for k in range(len(self.mark)):
+                own[last - k] = False
+            lengths.append(np.diff(last, prepend=-1) - len(self.mark))
+            ids.append(found[own])
+        for e in self.tokenizer.encode_batch_fast(odd, add_special_tokens=False):
+            lengths.append([len(e.ids)])
+            ids.append(np.array(e.ids, np.uint32))
+        return plain + odd, np.concatenate(lengths), np.concatenate(ids)
 
     def _append(self, units: list[str], lengths: np.ndarray, ids: np.ndarray) -> None:
-        known = len(self.number)
+        known, used = len(self.number), int(self.starts[len(self.number)])
         self.number.update(zip(units, range(known, known + len(units))))
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
-        self.flat = np.concatenate([self.flat, ids])
+        self.starts = _grown(self.starts, known + len(units) + 1)
+        self.starts[known + 1 : known + len(units) + 1] = used + np.cumsum(lengths)
+        self.flat = _grown(self.flat, used + len(ids))
+        self.flat[used : used + len(ids)] = ids
 
     def _learn(self, units: list[str]) -> None:
         """Give units, none of them known, a number; a word with marks gets the ids of both."""
@@ -111,7 +127,7 @@ class UnitEncoder:
             else:
                 fresh[u] = None
         if fresh:
-            self._append(list(fresh), *self._encoded(list(fresh)))
+            self._append(*self._encoded(list(fresh)))
         if joined:
             parts = np.array([self.number[p] for _, *both in joined for p in both], np.int64)
             lengths, ids = self._gathered(parts)
@@ -131,16 +147,15 @@ class UnitEncoder:
         units = list(chain.from_iterable(per_text))
         which = np.fromiter(map(self.number.get, units, repeat(-1)), np.int64, len(units))
         missing = np.flatnonzero(which < 0)
-        before = len(self.number), self.starts, self.flat
+        before = len(self.number)
         if len(missing):
             unknown = [units[i] for i in missing]
             self._learn(list(dict.fromkeys(unknown)))
             which[missing] = np.fromiter(map(self.number.get, unknown), np.int64, len(unknown))
         lengths, ids = self._gathered(which)
         if len(self.number) > self.max_units:  # full: keep what was known before
-            while len(self.number) > before[0]:
+            while len(self.number) > before:
                 self.number.popitem()
-            _, self.starts, self.flat = before
         units_before = np.cumsum(np.fromiter(map(len, per_text), np.int64, len(per_text)))
         return ids, np.concatenate([[0], np.cumsum(lengths)])[units_before]
 
@@ -156,7 +171,7 @@ def encoder(path: str, cut: str) -> UnitEncoder:
 
 
 # Characters encoded at a time, so that a batch of very long texts stays in memory bounds.
-CHARS_AT_ONCE = 4_000_000
+CHARS_AT_ONCE = 1_000_000
 
 
 def encoded_runs(batch_texts: list[str], encode: UnitEncoder):
