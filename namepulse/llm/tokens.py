@@ -118,20 +118,23 @@ class UnitEncoder:
 
     def _learn(self, units: list[str]) -> None:
         """Give units, none of them known, a number; a word with marks gets the ids of both."""
-        fresh: dict[str, None] = {}
-        joined: list[tuple[str, str, str]] = []
+        fresh, joined, parts = [], [], []
         for u in units:
-            if found := _WORD_AND_MARKS.fullmatch(u):
-                joined.append((u, found[1], found[2]))
-                fresh.update((p, None) for p in found.groups() if p not in self.number)
+            if u[-1].isalnum():
+                fresh.append(u)
+            elif found := _WORD_AND_MARKS.fullmatch(u):
+                joined.append(u)
+                parts += found.groups()
             else:
-                fresh[u] = None
+                fresh.append(u)
+        known = self.number
+        fresh = list(dict.fromkeys(chain(fresh, [p for p in parts if p not in known])))
         if fresh:
-            self._append(*self._encoded(list(fresh)))
+            self._append(*self._encoded(fresh))
         if joined:
-            parts = np.array([self.number[p] for _, *both in joined for p in both], np.int64)
-            lengths, ids = self._gathered(parts)
-            self._append([u for u, *_ in joined], lengths.reshape(-1, 2).sum(axis=1), ids)
+            both = np.fromiter(map(known.__getitem__, parts), np.int64, len(parts))
+            lengths, ids = self._gathered(both)
+            self._append(joined, lengths.reshape(-1, 2).sum(axis=1), ids)
 
     def _gathered(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(number of ids of each unit, all ids) of units given by number."""
