@@ -20,18 +20,22 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .shared import hot_join, kept, once
+from .shared import hot_join, kept, once, small_batches
 from .tokens import encoded_runs, encoder
 
 CAPACITY = 2048
 
+# Units that a Python worker remembers: fewer than for token files, as stages of a pipeline
+# that follow each other share the workers.
+MAX_UNITS = 400_000
+
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, part int, nth bigint"
 
 
 def _cut(path: str, units: str, end_id: int, capacity: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Pieces of documents; `nth` counts those of one length within the task."""
-        encode, part = encoder(path, units), TaskContext.get().partitionId()
+        encode, part = encoder(path, units, MAX_UNITS), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
             doc_ids, texts = batch["doc_id"].to_pylist(), batch["text"].to_pylist()
@@ -71,6 +75,7 @@ def pieces(
     rows = docs.select(
         F.col(id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )
+    small_batches(docs.sparkSession)
     return rows.mapInArrow(_cut(vocabulary, units, end_id, capacity), PIECES)
 
 

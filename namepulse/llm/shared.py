@@ -16,12 +16,22 @@ def text_bytes(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit("")).cast("binary")
 
 
+# Most bytes of a batch of rows that a Python worker gets.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound what Python workers hold at once by bytes, not only by rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def once(function, returns: str):
     """An Arrow UDF that is computed once per row, also below a filter on its result.
 
     It is declared not deterministic for that: otherwise the optimizer moves such a filter
     below the projection and computes the function in both.
     """
+    small_batches(SparkSession.active())
     return F.arrow_udf(function, returns).asNondeterministic()
 
 

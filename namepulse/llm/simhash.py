@@ -275,9 +275,10 @@ def first_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", **opt
     )
     same = F.col(id) == F.col(first)
     repeated = firsts.where(F.col(rows) > 1)
-    whole = docs.join(firsts, same, "left_semi")
+    # Merged, never broadcast: the list of ids grows with the documents.
+    whole = docs.join(firsts.hint("merge"), same, "left_semi")
     if not repeated.isEmpty():
-        whole = docs.join(firsts.where(F.col(rows) == 1), same, "left_semi").union(
+        whole = docs.join(firsts.where(F.col(rows) == 1).hint("merge"), same, "left_semi").union(
             docs.join(repeated, same, "left_semi").dropDuplicates([id])
         )
     return whole.union(docs.where(F.col(id).isNull()))

@@ -15,7 +15,7 @@ import numpy as np
 
 # Units remembered by one Python worker, about 200 bytes each. Units that come later are
 # encoded each time; the frequent ones are among the first.
-MAX_UNITS = 1_500_000
+MAX_UNITS = 1_200_000
 
 # In byte-level BPE a piece starts at a space that no white space follows. A line feed with no
 # white space around it is a piece of its own.
@@ -166,10 +166,10 @@ class UnitEncoder:
 _ENCODERS: dict[tuple[str, str], UnitEncoder] = {}
 
 
-def encoder(path: str, cut: str) -> UnitEncoder:
-    """The Python worker's encoder for a vocabulary file."""
+def encoder(path: str, cut: str, max_units: int = MAX_UNITS) -> UnitEncoder:
+    """The Python worker's encoder for a vocabulary file; it lives as long as the worker."""
     if (path, cut) not in _ENCODERS:
-        _ENCODERS[path, cut] = UnitEncoder(path, cut)
+        _ENCODERS[path, cut] = UnitEncoder(path, cut, max_units)
     return _ENCODERS[path, cut]
 
 
