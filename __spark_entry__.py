@@ -19,7 +19,7 @@ from namepulse import schemas  # noqa: E402
 from namepulse.functions import messages, text, times  # noqa: E402
 from namepulse.operators import changelog, daily, log, ranking, rolling  # noqa: E402
 from namepulse.plans import daily as daily_plans  # noqa: E402
-from namepulse.plans.session import configure  # noqa: E402
+from namepulse.plans.session import bytes_below, configure  # noqa: E402
 from namepulse.sinks import daily as daily_sinks  # noqa: E402
 from namepulse.sources import records, segments, streams, tables  # noqa: E402
 from namepulse.streaming import lifecycle, storage, topk  # noqa: E402
@@ -268,10 +268,11 @@ def next_boundary(spark, sf):
 
 
 def spread_event_times(spark, sf):
+    lines = _event_lines(spark, sf)
     spread = segments.spread_event_times(
-        _event_lines(spark, sf),
+        lines,
         ["segment"],
-        ranking.id_chunk("event_id"),
+        ranking.order_runs(lines, "event_id"),
         ["event_id"],
         times.segment_start_of_key("key"),
     )
@@ -466,7 +467,7 @@ QUERIES: tuple[Query, ...] = (
 
 _NAMES = """names AS (
   SELECT strftime(DATE '2024-01-01' + CAST(doc_id % 30 AS INTEGER), '%Y-%m-%d') AS day,
-         unnest(regexp_extract_all(text, '[A-Z][a-z]+')) AS name
+         unnest(regexp_extract_all(text, '\\p{Lu}[\\p{Ll}\\p{M}]+')) AS name
   FROM documents
 )"""
 _COUNTS = f"""{_NAMES}, counts AS (
@@ -579,13 +580,13 @@ ORACLE: dict[str, str] = {
     "record_name_counts": """WITH found AS (
           SELECT strftime(DATE '2024-01-01' + CAST(doc_id % 30 AS INTEGER), '%Y%m%d000000')
                    || '-' || doc_id AS record_id,
-                 unnest(regexp_extract_all(text, '[A-Z][a-z]+')) AS name
+                 unnest(regexp_extract_all(text, '\\p{Lu}[\\p{Ll}\\p{M}]+')) AS name
           FROM documents
         ) SELECT record_id, name, count(*) AS "count" FROM found GROUP BY ALL""",
     "record_name_lists": """WITH found AS (
           SELECT strftime(DATE '2024-01-01' + CAST(doc_id % 30 AS INTEGER), '%Y%m%d000000')
                    || '-' || doc_id AS record_id,
-                 regexp_extract_all(text, '[A-Z][a-z]+') AS words
+                 regexp_extract_all(text, '\\p{Lu}[\\p{Ll}\\p{M}]+') AS words
           FROM documents
         ), kept AS (
           SELECT record_id, list_filter(words, lambda w: NOT contains(w, 'Th')) AS names
@@ -651,7 +652,7 @@ ORACLE: dict[str, str] = {
                  row_number() OVER (PARTITION BY q ORDER BY event_id) - 1 AS position,
                  count(*) OVER (PARTITION BY q) AS total FROM lines_in
         ) SELECT event_id, strftime(q, '%Y%m%d%H%M00') AS segment, position, total,
-                 epoch_ms(q) + position * (900000 // total) AS event_ms FROM placed""",
+                 epoch_ms(q) + (position * 900000) // total AS event_ms FROM placed""",
     "new_segments_only": f"""SELECT strftime({_QUARTER}, '%Y%m%d%H%M00') AS segment,
           count(*) AS lines FROM events
         WHERE strftime({_QUARTER}, '%Y%m%d%H%M00') > '20240110120000' GROUP BY 1""",
@@ -712,7 +713,7 @@ ORACLE: dict[str, str] = {
 
 def _configured(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return query(configure(spark), sf_dir)
+        return query(configure(spark, input_bytes=bytes_below(spark, sf_dir)), sf_dir)
 
     run.__name__ = query.__name__
     run.__doc__ = query.__doc__

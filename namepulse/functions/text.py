@@ -44,22 +44,28 @@ def pick_fields(
 ) -> Column:
     """The fields of a line that `pick` takes, as an array of at most one item.
 
-    `pick` gets a function from a position to the field there (NULL past the end). What
-    `split` puts in the place of malformed UTF-8 is dropped from it. With `more_than`,
+    `pick` gets a function from a position to the field there (NULL past the end). In a line
+    that is not valid UTF-8, what `split` puts in the place of malformed bytes is dropped from
+    it, as `drop_malformed_utf8` does for whole lines; valid lines stay as they are. With `more_than`,
     lines with at most that many fields give an empty array; trailing empty fields do not
     count. To be exploded: the line is split once, and only what is picked is kept.
     """
+    valid = F.is_valid_utf8(as_column(c))
     lines = F.array(F.split(as_column(c), _pattern(sep)))
+
+    def repaired(field: Column) -> Column:
+        return F.when(valid, field).otherwise(_without_replacements(field))
+
     if more_than is not None:
         lines = F.filter(
             lines,
             lambda f: F.exists(
                 F.slice(f, F.lit(more_than + 1), F.size(f)),
-                lambda x: _without_replacements(x) != "",
+                lambda x: repaired(x) != "",
             ),
         )
     return F.transform(
-        lines, lambda f: pick(lambda i: _without_replacements(F.get(f, F.lit(i))))
+        lines, lambda f: pick(lambda i: repaired(F.get(f, F.lit(i))))
     )
 
 

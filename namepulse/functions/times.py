@@ -110,9 +110,8 @@ def spread_millis(
 ) -> Column:
     """Epoch milliseconds of line `position` (from 0) of `total` lines spread over an interval.
 
-    The step is a whole number of milliseconds, so it is 0 above 900,000 lines per quarter-hour.
+    Line p of n is p / n of the interval after its start, cut to whole milliseconds, however
+    many lines there are: times never fall and all of the interval is used.
     """
-    step = F.call_function(
-        "div", F.lit(minutes * 60_000).cast("bigint"), as_column(total)
-    )
-    return F.unix_millis(as_column(start)) + as_column(position) * step
+    passed = as_column(position).cast("bigint") * F.lit(minutes * 60_000).cast("bigint")
+    return F.unix_millis(as_column(start)) + F.call_function("div", passed, as_column(total))

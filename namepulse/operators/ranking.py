@@ -8,13 +8,54 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import as_column
 
-# At most 2 ** CHUNK_BITS rows of one group are put in order by one task.
-CHUNK_BITS = 18
+# About so many rows of one group at most are put in order by one task.
+RUN_ROWS = 1 << 18
 
+# Quantiles of the order that are looked up; each part between two may be cut further.
+QUANTILES = 512
 
-def id_chunk(order: Column | str, bits: int = CHUNK_BITS) -> Column:
-    """Chunk number of a row, for groups ordered by a unique integer."""
-    return F.shiftright(as_column(order), bits)
+
+def _part_of(order: Column, bounds: Sequence, first: int = 0) -> Column:
+    """How many bounds are at or below a value, by a search tree of conditions."""
+    if not bounds:
+        return F.lit(first)
+    middle = len(bounds) // 2
+    return F.when(
+        order < F.lit(bounds[middle]), _part_of(order, bounds[:middle], first)
+    ).otherwise(_part_of(order, bounds[middle + 1 :], first + middle + 1))
+
+
+def order_runs(df: DataFrame, order: str, run_rows: int | None = None) -> Column:
+    """A run number that never falls as the integer column `order` grows.
+
+    Runs are cut at quantiles of the column, whatever its values are: dense, sparse or
+    random ids. All rows of a run together are about `run_rows`, so those of one group are
+    no more, and a group has no more runs than there are. Costs one pass over the column.
+    """
+    run_rows = run_rows or RUN_ROWS
+    shares = F.array(*[F.lit(i / QUANTILES) for i in range(1, QUANTILES)])
+    found = df.agg(
+        F.count(order).alias("n"),
+        F.max(order).alias("last"),
+        F.percentile_approx(order, shares, 20 * QUANTILES).alias("bounds"),
+        F.min(order).alias("first"),
+    ).first()
+    wanted = -(-found["n"] // run_rows)
+    if wanted <= 1:
+        return F.lit(0)
+    every = max(1, QUANTILES // wanted)
+    bounds = sorted(set(found["bounds"][every - 1 :: every]))
+    part = _part_of(F.col(order), bounds)
+    further = -(-wanted // (len(bounds) + 1))
+    if further == 1:
+        return part
+    # Evenly within a part, in floating point: rounding keeps the order of values.
+    edges = [found["first"], *bounds, found["last"] + 1]
+    low, high = (
+        F.get(F.array(*[F.lit(float(e)) for e in side]), part) for side in (edges[:-1], edges[1:])
+    )
+    within = F.floor((F.col(order).cast("double") - low) / (high - low) * further)
+    return part * further + F.least(F.greatest(within, F.lit(0)), F.lit(further - 1))
 
 
 def position_in_group(
@@ -26,10 +67,10 @@ def position_in_group(
 ) -> DataFrame:
     """Add the position of each row in its group (from 0) and the group's total.
 
-    `chunk` cuts a group into consecutive runs of bounded size. Only a run is ever put
-    in order by one task; a group's runs are placed by their row counts, so a group may
-    hold any share of the rows. With `first`, also that value of the group's first row.
-    `order` must be a single numeric column then. Rows with a NULL key are dropped.
+    `chunk` cuts a group into consecutive runs of bounded size, as `order_runs` does. Only a
+    run is ever put in order by one task; a group's runs are placed by their row counts, so a
+    group may hold any share of the rows. With `first`, also that value of the group's first
+    row. `order` must be a single numeric column then. Rows with a NULL key are dropped.
     """
     keys = list(keys)
     runs = [*keys, "_chunk"]

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import times
 from ..functions.text import as_column
-from .ranking import id_chunk
+from .ranking import order_runs
 
 # A name's history is cut into blocks of this many seconds, one group each.
 BLOCK_SECONDS = 86_400
@@ -159,11 +159,12 @@ def rolling_adds(
 
     `order` is a unique integer column that orders the mentions of a second.
     """
-    rows = complete(mentions).select(
+    found = complete(mentions)
+    rows = found.select(
         "name",
         times.whole_seconds("timestamp").alias("sec"),
         F.col(order),
-        id_chunk(order).alias("chunk"),
+        order_runs(found, order).alias("chunk"),
     )
     buckets = rows.groupBy("name", "sec", "chunk").agg(F.count(F.lit(1)).alias("n"))
     starts = (
@@ -211,16 +212,20 @@ def histogram_by_tick(
 ) -> DataFrame:
     """(tick, name, count): the live counts at every multiple of `step` seconds.
 
-    Each mention is counted at the ticks it is live at. The copies are added up before the
-    only shuffle, which files in time order make small.
+    Mentions are added up by the first tick they are live at; only these sums are counted at
+    the other ticks.
     """
     if window % step:
         raise ValueError("step must divide the window")
     first = F.ceil(times.whole_seconds("timestamp") / step) * step
-    ticks = complete(mentions).select("name", first.alias("_first")).select(
-        "name",
-        F.explode(
-            F.array(*[F.col("_first") + later for later in range(0, window, step)])
-        ).alias("tick"),
+    sums = (
+        complete(mentions)
+        .select("name", first.alias("_first"))
+        .groupBy("name", "_first")
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    later = F.sequence(F.lit(0), F.lit(window - step), F.lit(step))
+    ticks = sums.withColumn("_later", F.explode(later)).select(
+        "name", "_n", (F.col("_first") + F.col("_later")).alias("tick")
     )
-    return ticks.groupBy("tick", "name").agg(F.count(F.lit(1)).alias("count"))
+    return ticks.groupBy("tick", "name").agg(F.sum("_n").alias("count"))

@@ -13,8 +13,8 @@ from .records import read_positioned_lines, with_line_order
 
 # How a segment file is named and found in an index line.
 SEGMENT_EXTENSION = ".gkg.csv"
-INDEX_PATH = r"/v2/gkg/[0-9]*.gkg.csv"
-INDEX_NAME = r"[0-9]*.gkg.csv"
+INDEX_PATH = r"/v2/gkg/[0-9]+\.gkg\.csv"
+INDEX_NAME = r"[0-9]+\.gkg\.csv"
 
 OFFSETS_PER_MINUTE = 1 << 32
 

@@ -21,7 +21,8 @@ DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 
 FIRST_DAY = "2024-01-01"
 DAYS = 30
-NAME_PATTERN = "[A-Z][a-z]+"
+# A capital letter and the small letters after it, of any language; accents may be marks.
+NAME_PATTERN = r"\p{Lu}[\p{Ll}\p{M}]+"
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -150,11 +150,25 @@ def test_sensor_time_is_on_the_12_hour_clock(spark):
     )
 
 
-@pytest.mark.parametrize("total, step", [(4, 225_000), (7, 128_571), (900_001, 0)])
-def test_spread_step(spark, total, step):
-    df = spark.createDataFrame([(at("23:00:00"), 1, total)], "s timestamp, p long, t long")
+@pytest.mark.parametrize(
+    "p, total, passed",
+    [(1, 4, 225_000), (1, 7, 128_571), (3, 7, 385_714), (1, 900_001, 0), (900_000, 900_001, 899_999)],
+)
+def test_spread_step(spark, p, total, passed):
+    df = spark.createDataFrame([(at("23:00:00"), p, total)], "s timestamp, p long, t long")
     start = df.select(F.unix_millis("s")).first()[0]
-    assert df.select(times.spread_millis("s", "p", "t")).first()[0] - start == step
+    assert df.select(times.spread_millis("s", "p", "t")).first()[0] - start == passed
+
+
+def test_lines_of_a_large_segment_are_spread(spark):
+    """Two million lines: times do not fall, fill the interval and stay inside it."""
+    n = 2_000_000
+    start = F.lit("2015-02-18 23:00:00").cast("timestamp")
+    ms = spark.range(n).select("id", times.spread_millis(start, "id", F.lit(n)).alias("ms"))
+    first = ms.select(F.unix_millis(start)).first()[0]
+    low, high, different = ms.agg(F.min("ms"), F.max("ms"), F.count_distinct("ms")).first()
+    assert (low - first, high - first, different) == (0, 899_999, 900_000)
+    assert ms.where(F.col("ms") != first + F.expr("id * 900000 div 2000000")).count() == 0
 
 
 def test_messages(spark):

@@ -64,3 +64,30 @@ def test_words_are_extracted_once(spark, name):
 
 def test_daily_counts_shuffle_once(spark):
     assert plan_of(spark, "daily_name_counts").count("Exchange") == 1
+
+
+def test_more_than_a_thousand_top_rows_are_cut_early(spark):
+    from namepulse.operators import ranking
+    from pyspark.sql import functions as F
+
+    df = spark.range(100_000).select((F.col("id") % 3).alias("g"), "id")
+    top = ranking.top_in_group(df, ["g"], [F.col("id")], 5_000)
+    assert "WindowGroupLimit" in top._jdf.queryExecution().executedPlan().toString()
+
+
+def test_mentions_are_added_up_before_they_are_spread(spark):
+    plan = plan_of(spark, "topk_by_tick")
+    assert "HashAggregate" in plan[plan.index("Generate") :]
+
+
+def test_shuffles_begin_with_partitions_for_the_input(spark):
+    from namepulse.plans import session
+
+    before = spark.conf.get(session.STREAM_PARTITIONS)
+    assert session.shuffle_partitions(spark, 0) == int(before)
+    assert 35_000 < session.shuffle_partitions(spark, 100 * 10**12) < 45_000
+    session.configure(spark, input_bytes=10**12)
+    assert int(spark.conf.get(session.INITIAL_PARTITIONS)) == 373
+    assert spark.conf.get(session.STREAM_PARTITIONS) == before
+    spark.conf.unset(session.INITIAL_PARTITIONS)
+    assert session.bytes_below(spark, SF) > 0 == session.bytes_below(spark, SF + "/none")

@@ -72,7 +72,7 @@ def test_small_chunks_give_the_same_counts(spark, monkeypatch):
     rows = random_mentions(8)
     df = mentions(spark, rows)
     want = {tuple(r) for r in rolling.rolling_adds(df, "id").collect()}
-    monkeypatch.setattr(rolling, "id_chunk", lambda c: ranking.id_chunk(c, bits=3))
+    monkeypatch.setattr(ranking, "RUN_ROWS", 9)
     assert {tuple(r) for r in rolling.rolling_adds(df, "id").collect()} == want
 
 
@@ -119,13 +119,14 @@ def test_deltas_replay_to_every_snapshot(spark):
     assert held == {}
 
 
-def test_position_in_group_of_any_size(spark):
+@pytest.mark.parametrize("scale, run_rows", [(1, 40), (1 << 20, 40), (1 << 20, 4), (1, 1 << 18)])
+def test_position_in_group_of_any_size(spark, scale, run_rows):
     r = random.Random(3)
     rows = [("hot" if r.random() < 0.4 else f"g{r.randrange(5)}", i) for i in range(3000)]
     df = spark.createDataFrame(rows, "g string, id long").repartition(7)
-    got = ranking.position_in_group(
-        df, ["g"], ranking.id_chunk("id", bits=5), ["id"], first=F.col("id")
-    )
+    df = df.withColumn("id", F.col("id") * scale)
+    runs = ranking.order_runs(df, "id", run_rows=run_rows)
+    got = ranking.position_in_group(df, ["g"], runs, ["id"], first=F.col("id"))
     w = Window.partitionBy("g")
     want = df.select(
         "g",
@@ -140,6 +141,19 @@ def test_position_in_group_of_any_size(spark):
     )
 
 
+@pytest.mark.parametrize("ids", ["id", "id * 1048576", "xxhash64(id)"])
+def test_runs_are_few_and_small_whatever_the_ids(spark, ids):
+    """One hot group of sparse ids: a run is not a row, and no run is a group."""
+    df = spark.range(20_000).selectExpr("if(id % 3 = 0, 'hot', concat('g', id % 5)) AS g", f"{ids} AS id")
+    for run_rows in (500, 20):  # with fewer and with more runs than quantiles
+        runs = df.withColumn("run", ranking.order_runs(df, "id", run_rows))
+        sizes = runs.groupBy("run").agg(F.count("*").alias("n"), F.min("id").alias("a"), F.max("id").alias("b"))
+        rows = sizes.orderBy("run").collect()
+        assert len(rows) <= 2 * 20_000 / run_rows
+        assert max(r["n"] for r in rows) <= 3 * max(run_rows, 20_000 / ranking.QUANTILES)
+        assert all(x["b"] < y["a"] for x, y in zip(rows, rows[1:]))
+
+
 def test_coalesced_updates_and_latest(spark):
     df = rolling.rolling_changes(mentions(spark, golden.ROLLING_INPUT))
     latest = {r["name"]: r["count"] for r in changelog.latest_counts(df).collect()}
