@@ -11,7 +11,7 @@ import sys
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
@@ -20,7 +20,7 @@ from namepulse.functions import messages, text, times  # noqa: E402
 from namepulse.operators import changelog, daily, log, ranking, rolling  # noqa: E402
 from namepulse.plans import daily as daily_plans  # noqa: E402
 from namepulse.plans.session import bytes_below, configure  # noqa: E402
-from namepulse.sinks import daily as daily_sinks  # noqa: E402
+from namepulse.sinks import daily as daily_sinks, streams as stream_sinks  # noqa: E402
 from namepulse.sources import records, segments, streams, tables  # noqa: E402
 from namepulse.streaming import lifecycle, storage, topk  # noqa: E402
 from namepulse.streaming import rolling as stream_rolling  # noqa: E402
@@ -372,17 +372,40 @@ def increment_messages(spark, sf):
 # it wrote. The watermark ends at the newest event, so later expiries are still to come.
 
 
-def _stream_changes(spark: SparkSession, sf: str, name: str, folder: str) -> DataFrame:
+def _changes_of(spark: SparkSession, events: DataFrame, name: str, folder: str) -> DataFrame:
     configure(spark, streaming=True)
-    events = streams.table_stream(spark, f"{sf}/events.parquet", tables.EVENTS)
-    mentions = tables.event_mentions(events, name)
-    changes = stream_rolling.rolling_changes(mentions, delay="0 seconds")
+    changes = stream_rolling.rolling_changes(tables.event_mentions(events, name))
     lifecycle.run_available(
         lifecycle.file_writer(changes, f"{folder}/changes", f"{folder}/changes-state")
     )
     return spark.read.schema(schemas.COUNT_CHANGES).parquet(f"{folder}/changes")
 
 
+def _stream_changes(spark: SparkSession, sf: str, name: str, folder: str) -> DataFrame:
+    events = streams.table_stream(spark, f"{sf}/events.parquet", tables.EVENTS)
+    return _changes_of(spark, events, name, folder)
+
+
+# Ends of the slices, in epoch seconds, that tables are fed to a stream in.
+SLICES = (1704931200, 1705795200, AS_OF_TICK + 5 * 86_400)
+
+
+def _slice_of(sec: Column) -> Column:
+    """The slice of a second: it ends with SLICES[k], the last one does not end."""
+    return sum(((sec > end).cast("int") for end in sorted(SLICES)), F.lit(0))
+
+
+def _sliced_changes(
+    spark: SparkSession, sf: str, name: str, folder: str, arrives: Column
+) -> DataFrame:
+    """Rolling counts of events that come in slices by their time of arrival."""
+    events = tables.events(spark, sf).select("event_id", "ts", "user_id", "event_type")
+    streams.write_slices(events, f"{folder}/in", _slice_of(arrives), len(SLICES) + 1)
+    one = streams.file_options(1)
+    source = spark.readStream.schema(events.schema).options(**one).parquet(f"{folder}/in")
+    return _changes_of(spark, source, name, folder)
+
+
 def stream_record_mentions(spark, sf):
     folder = storage.fresh_dir(spark, "mentions")
     documents = streams.table_stream(
@@ -400,7 +423,16 @@ def stream_record_mentions(spark, sf):
 
 def stream_rolling_changelog(spark, sf):
     folder = storage.fresh_dir(spark, "rolling")
-    return rolling.expand_changes(_stream_changes(spark, sf, "event_type", folder))
+    in_order = times.whole_seconds("ts")
+    return rolling.expand_changes(_sliced_changes(spark, sf, "event_type", folder, in_order))
+
+
+def stream_out_of_order_histogram(spark, sf):
+    """Live counts at the end of a stream in which mentions come up to 40 minutes late."""
+    folder = storage.fresh_dir(spark, "late")
+    late = times.whole_seconds("ts") + F.pmod("event_id", F.lit(5)) * 600
+    changes = _sliced_changes(spark, sf, "event_type", folder, late)
+    return changelog.latest_counts(changes).where(F.col("count") > 0)
 
 
 def stream_topk_snapshot(spark, sf):
@@ -413,6 +445,104 @@ def stream_topk_snapshot(spark, sf):
     return topk.read_snapshot(spark, f"{folder}/topk")[1]
 
 
+def _live_slices(spark: SparkSession, sf: str) -> str:
+    """Snapshots and deltas of a stream of changes in slices; the folder they are in."""
+    folder = storage.fresh_dir(spark, "topk")
+    changes = rolling.rolling_changes(_users(spark, sf))
+    streams.write_slices(changes, f"{folder}/in", _slice_of(F.col("event_sec")), len(SLICES) + 1)
+    source = streams.change_stream(spark, f"{folder}/in", options=streams.file_options(1))
+    lifecycle.run_available(
+        topk.live_top_k(source, f"{folder}/topk", f"{folder}/topk-state", K)
+    )
+    return f"{folder}/topk"
+
+
+def stream_topk_deltas(spark, sf):
+    """What changed in the live top K with each slice; a name that left has count 0."""
+    return topk.read_deltas(spark, _live_slices(spark, sf))
+
+
+def stream_topk_replay(spark, sf):
+    """The second snapshot and the deltas after it, up to the slice before the last."""
+    root = _live_slices(spark, sf)
+    at, snapshot = topk.read_snapshot(spark, root, batch_id=1)
+    later = topk.read_deltas(spark, root, after=at).where(F.col("batch_id") < len(SLICES))
+    start = snapshot.select(F.lit(at).cast("bigint").alias("batch_id"), "name", "count")
+    return changelog.materialise(start.unionByName(later), "batch_id")
+
+
+def stream_coalesced_updates(spark, sf):
+    """The newest count of each name and day, of changes that come in slices."""
+    folder = storage.fresh_dir(spark, "coalesced")
+    changes = rolling.rolling_changes(_types(spark, sf))
+    streams.write_slices(changes, f"{folder}/in", _slice_of(F.col("event_sec")), len(SLICES) + 1)
+    source = streams.change_stream(spark, f"{folder}/in", options=streams.file_options(1))
+    latest = changelog.coalesced_updates(source, 86_400)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        storage.publish(batch, f"{folder}/out", batch_id)
+
+    lifecycle.run_available(
+        latest.writeStream.outputMode("update")
+        .option("checkpointLocation", f"{folder}/state")
+        .foreachBatch(write)
+    )
+    versions = [storage.version_path(f"{folder}/out", v) for v in storage.versions(spark, f"{folder}/out")]
+    number = F.regexp_extract(F.col("_metadata.file_path"), r"/b(\d+)/[^/]*$", 1).cast("bigint")
+    updates = spark.read.parquet(*versions).withColumn("batch_id", number)
+    return updates.groupBy("flush_sec", "name").agg(F.max_by("count", "batch_id").alias("count"))
+
+
+def user_type_maps(spark, sf):
+    """Counts per user and event type, from two maps per user that are merged."""
+    later = (F.col("ts") >= AS_OF).cast("int").alias("later")
+    counts = tables.events(spark, sf).groupBy("user_id", later, "event_type").count()
+    maps = counts.groupBy("user_id", "later").agg(  # as many entries as there are types
+        F.map_from_entries(F.collect_list(F.struct("event_type", "count"))).alias("m")
+    )
+    both = maps.groupBy("user_id").pivot("later", [0, 1]).agg(F.first("m"))
+    none = F.create_map().cast("map<string,bigint>")
+    merged = text.merge_count_maps(F.coalesce("0", none), F.coalesce("1", none))
+    return both.select("user_id", F.explode(merged).alias("name", "count"))
+
+
+def record_files_round_trip(spark, sf):
+    """Record lines written as files and read again by position and as typed columns."""
+    folder = storage.fresh_dir(spark, "records")
+    _lines(spark, sf).select("value").write.text(folder)
+    by_position = records.line_view(records.read_lines(spark, folder, clean=False))
+    typed = records.record_view(records.read_records(spark, folder))
+    counts = [
+        daily.daily_counts(daily_plans.record_mentions(view)).withColumn("how", F.lit(how))
+        for how, view in (("position", by_position), ("typed", typed))
+    ]
+    return counts[0].unionByName(counts[1]).select("how", "day", "name", "count")
+
+
+def keyed_line_messages(spark, sf):
+    """Record lines as topic rows, and back to their event times."""
+    sent = stream_sinks.record_messages(_lines(spark, sf), partition=0)
+    back = sent.withColumn("timestamp", F.lit(None).cast("timestamp"))
+    return back.select(
+        "key", "partition", F.unix_millis(streams.event_time(back)).alias("event_ms")
+    )
+
+
+def malformed_line_names(spark, sf):
+    """Names of lines with a byte that is no text before every comma, read in two ways."""
+    spaced = F.regexp_replace(F.hex("value"), "(..)", "$1 ")
+    broken = F.replace(F.replace(spaced, F.lit("2C "), F.lit("FF 2C ")), F.lit(" "), F.lit(""))
+    lines = _lines(spark, sf).select(F.unhex(broken).cast("string").alias("value"))
+    cleaned = lines.select(text.drop_malformed_utf8("value").alias("value"))
+    found = [
+        daily.daily_counts(daily_plans.record_mentions(records.line_view(read))).withColumn(
+            "way", F.lit(way)
+        )
+        for way, read in (("cleaned", cleaned), ("as read", lines))
+    ]
+    return found[0].unionByName(found[1]).select("way", "day", "name", "count")
+
+
 QUERIES: tuple[Query, ...] = (
     daily_top_names,
     daily_name_counts,
@@ -459,7 +589,15 @@ QUERIES: tuple[Query, ...] = (
     increment_messages,
     stream_record_mentions,
     stream_rolling_changelog,
+    stream_out_of_order_histogram,
     stream_topk_snapshot,
+    stream_topk_deltas,
+    stream_topk_replay,
+    stream_coalesced_updates,
+    user_type_maps,
+    record_files_round_trip,
+    keyed_line_messages,
+    malformed_line_names,
 )
 
 
@@ -514,6 +652,18 @@ _CHANGES = f"""m AS (
 )"""
 
 
+# The live top K after each slice of changes; by the end of the last, all have expired.
+_SLICED = f"""m AS (SELECT CAST(user_id AS VARCHAR) AS name, {_SEC} AS s FROM events),
+ends AS (SELECT unnest(range({len(SLICES)})) AS batch_id, unnest({sorted(SLICES)}) AS ends_at),
+live AS (
+  SELECT batch_id, name, count(*) AS "count" FROM m, ends
+  WHERE s <= ends_at AND s > ends_at - 3600 GROUP BY ALL
+), tops AS (
+  SELECT batch_id, name, "count" FROM live
+  QUALIFY row_number() OVER (PARTITION BY batch_id ORDER BY "count" DESC, name) <= {K}
+)"""
+
+
 def _ticks(name: str) -> str:
     return f"""m AS (SELECT CAST({name} AS VARCHAR) AS name, {_SEC} AS s FROM events),
     placed AS (
@@ -701,6 +851,32 @@ ORACLE: dict[str, str] = {
     "stream_rolling_changelog": f"""WITH {_CHANGES}
         SELECT name, event_sec, op, "count" FROM changes
         WHERE op = 'add' OR event_sec <= (SELECT max({_SEC}) FROM events)""",
+    "stream_out_of_order_histogram": f"""SELECT name, count(*) AS "count" FROM (
+          SELECT event_type AS name, {_SEC} AS s FROM events)
+        WHERE s > (SELECT max({_SEC}) FROM events) - 3600 GROUP BY name""",
+    "stream_topk_deltas": f"""WITH {_SLICED}
+        SELECT coalesce(n.batch_id, o.batch_id + 1) AS batch_id, coalesce(n.name, o.name) AS name,
+          CAST(coalesce(n."count", 0) AS BIGINT) AS "count"
+        FROM tops n FULL JOIN tops o ON n.batch_id = o.batch_id + 1 AND n.name = o.name
+        WHERE n."count" IS DISTINCT FROM o."count"
+          AND coalesce(n.batch_id, o.batch_id + 1) <= {len(SLICES)}""",
+    "stream_topk_replay": f"""WITH {_SLICED}
+        SELECT name, "count" FROM tops WHERE batch_id = {len(SLICES) - 1}""",
+    "stream_coalesced_updates": f"""WITH {_CHANGES}
+        SELECT flush_sec, name, "count" FROM (
+          SELECT event_sec - event_sec % 86400 AS flush_sec, name, "count", row_number() OVER (
+            PARTITION BY name, event_sec - event_sec % 86400
+            ORDER BY event_sec DESC, isadd DESC, event_id DESC) AS r FROM changes) WHERE r = 1""",
+    "user_type_maps": """SELECT user_id, event_type AS name, count(*) AS "count"
+        FROM events GROUP BY ALL""",
+    "record_files_round_trip": f"""WITH {_COUNTS}
+        SELECT how, day, name, "count" FROM counts, (VALUES ('position'), ('typed')) w(how)""",
+    "keyed_line_messages": """SELECT strftime(day, '%Y%m%d%H%M%S') || '-' || doc_id AS key,
+          CAST(0 AS INTEGER) AS partition, epoch_ms(day) AS event_ms
+        FROM (SELECT doc_id, CAST(DATE '2024-01-01' + CAST(doc_id % 30 AS INTEGER) AS TIMESTAMP) AS day
+              FROM documents)""",
+    "malformed_line_names": f"""WITH {_COUNTS}
+        SELECT way, day, name, "count" FROM counts, (VALUES ('cleaned'), ('as read')) w(way)""",
     "stream_topk_snapshot": f"""SELECT name, count(*) AS "count" FROM (
           SELECT CAST(user_id AS VARCHAR) AS name, {_SEC} AS s FROM events)
         WHERE s > (SELECT max({_SEC}) FROM events) - 3600

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import messages
 from .ranking import top_in_group
-from .rolling import change_order
 
 LIVE_ENTRIES = 100
 
@@ -72,7 +71,7 @@ def snapshot_bounds(snapshots: DataFrame, *keys: str) -> DataFrame:
 def latest_counts(changes: DataFrame) -> DataFrame:
     """(name, count): the newest count of each name."""
     return changes.groupBy("name").agg(
-        F.max_by("count", change_order()).alias("count")
+        F.max_by("count", "seq").alias("count")
     )
 
 
@@ -81,7 +80,7 @@ def coalesced_updates(changes: DataFrame, flush_seconds: int = 1) -> DataFrame:
     sec = F.col("event_sec")
     return changes.groupBy(
         (sec - F.pmod(sec, F.lit(flush_seconds))).alias("flush_sec"), "name"
-    ).agg(F.max_by("count", change_order()).alias("count"))
+    ).agg(F.max_by("count", "seq").alias("count"))
 
 
 def update_messages(updates: DataFrame, *keys: str) -> DataFrame:

@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import times
-from ..functions.text import as_column
 from .ranking import order_runs
 
 # A name's history is cut into blocks of this many seconds, one group each.
@@ -89,7 +88,7 @@ def rolling_changes(
     window: int = times.WINDOW_SECONDS,
     block: int = BLOCK_SECONDS,
 ) -> DataFrame:
-    """(name, event_sec, op, prev_count, count): one row per change of a name's count.
+    """(name, event_sec, op, prev_count, count, seq): one row per change of a name's count.
 
     All mentions of a name in one second are one 'add' row; see `expand_changes`.
     """
@@ -101,15 +100,11 @@ def rolling_changes(
         F.when(added, ADD).otherwise(EXPIRE).alias("op"),
         (F.col("count") - F.col("delta")).alias("prev_count"),
         "count",
+        # In a second, what expires goes before what is added.
+        (F.col("event_sec") * 2 + added.cast("bigint")).alias("seq"),
     )
 
 
-def change_order(event_sec: Column | str = "event_sec", op: Column | str = "op") -> Column:
-    """A number that orders the changes of one name."""
-    added = (as_column(op) == ADD).cast("bigint")
-    return as_column(event_sec) * 2 + added
-
-
 def expand_changes(changes: DataFrame, spread: bool = True) -> DataFrame:
     """(name, event_sec, op, count): one row per mention and one per expiry.
 

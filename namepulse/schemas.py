@@ -69,8 +69,9 @@ RECORD_STREAM = T.StructType(
     ]
 )
 
-# One row per change of a rolling count. `prev_count` lets `expand_changes`
-# restore one row per mention.
+# One row per change of a rolling count. `prev_count` lets `expand_changes` restore one row per
+# mention. `seq` grows with every change of a name: the newest count is that of the largest seq,
+# also where a late mention changes the count at an earlier second.
 COUNT_CHANGES = T.StructType(
     [
         T.StructField("name", T.StringType()),
@@ -78,6 +79,7 @@ COUNT_CHANGES = T.StructType(
         T.StructField("op", T.StringType()),
         T.StructField("prev_count", T.LongType()),
         T.StructField("count", T.LongType()),
+        T.StructField("seq", T.LongType()),
     ]
 )
 

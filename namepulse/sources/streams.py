@@ -123,6 +123,17 @@ def segment_stream(
     )
 
 
+def write_slices(df: DataFrame, path: str, slice_of: Column, slices: int) -> None:
+    """A table as files of a folder, one after the other: `slice_of` says which, from 0.
+
+    A stream of the folder with one file per trigger gets them in this order.
+    """
+    numbered = df.withColumn("_slice", slice_of)
+    for k in range(slices):
+        own = numbered.where(F.col("_slice") == k).drop("_slice")
+        own.coalesce(1).write.mode("append").parquet(path)
+
+
 def table_stream(
     spark: SparkSession,
     path: str,

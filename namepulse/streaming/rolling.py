@@ -13,7 +13,9 @@ from ..operators.rolling import complete
 from ..sources.records import positional_records
 from . import state
 
-DELAY = "1 second"
+# How many seconds behind the newest mention of earlier batches one may come: a mention that
+# still counts, of a segment that was filled in late, is not dropped.
+DELAY = times.WINDOW_SECONDS + 60 * times.SEGMENT_MINUTES
 
 
 def record_mentions(
@@ -28,7 +30,7 @@ def record_mentions(
 
 def rolling_changes(
     mentions: DataFrame,
-    delay: str = DELAY,
+    delay: int = DELAY,
     window: int = times.WINDOW_SECONDS,
     mode: str = "append",
 ) -> DataFrame:
@@ -36,19 +38,21 @@ def rolling_changes(
 
     `mentions` is a stream of (name, timestamp). Mentions are added up per name and second
     before the shuffle, so the task that holds a name's state gets few rows however often
-    the name occurs. Mentions `delay` or more behind the newest of earlier batches are
-    dropped; without a delay that includes mentions of the same time.
+    the name occurs. Mentions more than `delay` seconds behind the newest second of earlier
+    batches are dropped; Spark counts them as rows dropped by the watermark. All others count,
+    in whatever order they come and however they are cut into batches.
     """
+    sec = times.whole_seconds("timestamp")
     buckets = complete(mentions).select(
         "name",
-        times.whole_seconds("timestamp").alias("sec"),
+        sec.alias("sec"),
         F.lit(1).cast("bigint").alias("n"),
-        "timestamp",
+        F.timestamp_seconds(sec).alias("timestamp"),
     ).mapInArrow(state.combine_buckets, state.BUCKET_COLUMNS)
     return (
-        buckets.withWatermark("timestamp", delay)
+        buckets.withWatermark("timestamp", f"{delay} seconds")
         .groupBy("name")
         .transformWithState(
-            state.RollingCount(window), schemas.COUNT_CHANGES, mode, "EventTime"
+            state.RollingCount(window, delay), schemas.COUNT_CHANGES, mode, "EventTime"
         )
     )

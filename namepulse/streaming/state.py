@@ -17,14 +17,17 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-CHANGE = Row("name", "event_sec", "op", "prev_count", "count")
+CHANGE = Row("name", "event_sec", "op", "prev_count", "count", "seq")
 BUCKET_COLUMNS = "name string, sec long, n long, timestamp timestamp"
 
+# Changes of a name in one second that leave its seq ahead of what came before.
+SEQ_PER_SECOND = 1 << 20
+
 
 def combine_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Add up mentions per (name, second) inside each batch, ahead of the shuffle.
 
-    The newest timestamp of a bucket is kept: a bucket is late only if all of it is.
+    `timestamp` is the whole second, so that what is late does not depend on the batch.
     """
     for batch in batches:
         if batch.num_rows:
@@ -41,51 +44,60 @@ def combine_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 class RollingCount(StatefulProcessor):
     """Count of a name's mentions in the last `window` seconds of event time.
 
-    State is one value per name: the latest second seen and the live seconds with their
-    mentions, at most `window` of them. It is read once and written once per batch. One
-    timer per name waits for the oldest second to expire; seconds that have expired by the
-    time of a new mention are dropped with it, before the mention is added. A name whose
-    count falls to 0 leaves no state.
+    State is one value per name: the latest second seen, the last seq, and the live seconds
+    with their mentions, at most `window` of them. It is read once and written once per batch.
+    Seconds that have expired by the time of a new mention are dropped with it, before the
+    mention is added. One timer per name waits for the oldest second to expire. The watermark
+    is `delay` seconds behind the newest mention, so timers are set that much earlier: names
+    that fall idle expire with the newest time seen, while late mentions still count.
+
+    A name without live seconds keeps its seq for another `window`, then leaves no state. By
+    then a seq that begins with the newest time is larger than any it has had.
     """
 
-    def __init__(self, window: int):
-        self.window = window
+    def __init__(self, window: int, delay: int):
+        self.window, self.delay = window, delay
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.live = handle.getValueState(
-            "live", "latest long, secs array<long>, counts array<long>"
+            "live", "latest long, seq long, secs array<long>, counts array<long>"
         )
 
     def close(self) -> None:
         pass
 
+    def _newest(self, timerValues) -> int:
+        return timerValues.getCurrentWatermarkInMs() // 1000 + self.delay
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         added: dict[int, int] = {}
         for row in rows:
-            added[row.sec] = added.get(row.sec, 0) + row.n
-        return self._advance(key[0], added)
+            added[row[1]] = added.get(row[1], 0) + row[2]
+        return self._advance(key[0], added, self._newest(timerValues))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        until = timerValues.getCurrentWatermarkInMs() // 1000
-        return self._advance(key[0], {}, until)
+        return self._advance(key[0], {}, self._newest(timerValues), fired=True)
 
     def _advance(
-        self, name: str, added: dict[int, int], until: int | None = None
+        self, name: str, added: dict[int, int], newest: int, fired: bool = False
     ) -> Iterator[Row]:
-        """Apply new mentions in time order and what expires before them, or by `until`."""
+        """Apply new mentions in time order and what expires before them.
+
+        When the timer has fired, also what has expired by the newest time.
+        """
         stored = self.live.get() if self.live.exists() else None
-        latest = stored[0] if stored else None
-        live = dict(zip(stored[1], stored[2])) if stored else {}
+        latest, seq = (stored[0], stored[1]) if stored else (None, newest * SEQ_PER_SECOND)
+        live = dict(zip(stored[2], stored[3])) if stored else {}
         in_order = deque(live)  # stored in time order
-        waiting_for = in_order[0] if in_order else None
+        due = self._due(latest, in_order)
         total = sum(live.values())
         changed = False
 
         def change(sec: int, op: str, delta: int) -> Row:
-            nonlocal total, changed
-            total, changed = total + delta, True
-            return CHANGE(name, sec, op, total - delta, total)
+            nonlocal total, changed, seq
+            total, changed, seq = total + delta, True, seq + 1
+            return CHANGE(name, sec, op, total - delta, total, seq)
 
         def expired(now: int) -> Iterator[Row]:
             while in_order and in_order[0] <= now - self.window:
@@ -95,8 +107,10 @@ class RollingCount(StatefulProcessor):
         for sec in sorted(added):
             latest = sec if latest is None else max(latest, sec)
             yield from expired(latest)
-            if sec <= latest - self.window:
-                continue  # so late that it would have expired already
+            if sec <= latest - self.window:  # it came and went before
+                yield change(sec, "add", added[sec])
+                yield change(sec + self.window, "expire", -added[sec])
+                continue
             if sec not in live:
                 late = bool(in_order) and in_order[-1] > sec
                 in_order.append(sec)
@@ -104,23 +118,30 @@ class RollingCount(StatefulProcessor):
                     in_order = deque(sorted(in_order))
             live[sec] = live.get(sec, 0) + added[sec]
             yield change(sec, "add", added[sec])
-        if until is not None:
-            yield from expired(until)
+        if fired:
+            yield from expired(newest)
 
-        self._wait(
-            waiting_for, in_order[0] if in_order else None, fired=until is not None
-        )
-        if not live:
+        if not live and fired and newest >= latest + 2 * self.window:
             self.live.clear()
-        elif changed:
+            return
+        self._wait(due, self._due(latest, in_order), fired)
+        if changed:
             secs = list(in_order)
-            self.live.update((latest, secs, [live[s] for s in secs]))
+            self.live.update((latest, seq, secs, [live[s] for s in secs]))
 
-    def _wait(self, before: int | None, now: int | None, fired: bool) -> None:
-        """Move the timer from the second waited for `before` to the oldest one `now`."""
+    def _due(self, latest: int | None, in_order: deque) -> int | None:
+        """When the oldest second expires, or the state of a name that has none."""
+        if in_order:
+            return in_order[0] + self.window
+        return None if latest is None else latest + 2 * self.window
+
+    def _wait(self, before: int | None, now: int, fired: bool) -> None:
+        """Move the timer."""
         if before == now and not fired:
             return
         if before is not None and not fired:
-            self.handle.deleteTimer((before + self.window) * 1000)
-        if now is not None:
-            self.handle.registerTimer((now + self.window) * 1000)
+            self.handle.deleteTimer(self._timer(before))
+        self.handle.registerTimer(self._timer(now))
+
+    def _timer(self, due: int) -> int:
+        return max(due - self.delay, 1) * 1000

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,7 +25,15 @@ def work_dir(spark: SparkSession) -> str:
         return shared.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    return tempfile.mkdtemp(prefix="namepulse-")
+    return _temporary()
+
+
+@cache
+def _temporary() -> str:
+    """One folder for the process, removed when it ends."""
+    path = tempfile.mkdtemp(prefix="namepulse-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
@@ -40,40 +51,63 @@ def version_path(root: str, batch_id: int) -> str:
     return f"{root}/{_PREFIX}{batch_id:012d}"
 
 
-def versions(spark: SparkSession, root: str, after: int = -1) -> list[int]:
-    """Batch ids above `after` of the complete versions below `root`, ascending."""
-    fs, path, hadoop = _fs(spark, root)
+def _listed(spark: SparkSession, root: str) -> list[tuple[int, object]]:
+    """(batch id, status) of the version folders below root, newest first; one listing."""
+    fs, path, _ = _fs(spark, root)
     if not fs.exists(path):
         return []
-    found = []
-    for status in fs.listStatus(path):
-        name = status.getPath().getName()
-        if not name.startswith(_PREFIX):
-            continue
-        batch_id = int(name.removeprefix(_PREFIX))
-        if batch_id > after and fs.exists(hadoop.Path(status.getPath(), "_SUCCESS")):
-            found.append(batch_id)
-    return sorted(found)
+    found = [(s.getPath().getName(), s) for s in fs.listStatus(path)]
+    ids = [(int(n.removeprefix(_PREFIX)), s) for n, s in found if n.startswith(_PREFIX)]
+    return sorted(ids, key=lambda x: -x[0])
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, at, _ = _fs(spark, path)
+    return fs.exists(at)
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a folder was written to its end."""
+    fs, at, hadoop = _fs(spark, path)
+    return fs.exists(hadoop.Path(at, "_SUCCESS"))
+
+
+def versions(spark: SparkSession, root: str, after: int = -1) -> list[int]:
+    """Batch ids above `after` of the complete versions below `root`, ascending."""
+    ids = [i for i, _ in _listed(spark, root) if i > after]
+    return sorted(i for i in ids if is_complete(spark, version_path(root, i)))
+
+
+def newest_version(spark: SparkSession, root: str, before: int | None = None) -> int | None:
+    """The newest complete version, of those before a batch; looks at no more than it must."""
+    for batch_id, _ in _listed(spark, root):
+        earlier = before is None or batch_id < before
+        if earlier and is_complete(spark, version_path(root, batch_id)):
+            return batch_id
+    return None
 
 
 def publish(df: DataFrame, root: str, batch_id: int) -> None:
-    """Write one batch so that readers see all of it or nothing, and see it once.
+    """Write one batch once, straight to its folder; the marker written last makes it count.
+
+    A batch that is run again leaves a complete folder as it is and overwrites another. It
+    needs no rename, which object stores do not have.
+    """
+    target = version_path(root, batch_id)
+    if not is_complete(df.sparkSession, target):
+        df.write.mode("overwrite").parquet(target)
+
+
+def drop_versions(spark: SparkSession, root: str, keep_seconds: float) -> None:
+    """Delete versions written more than `keep_seconds` before the newest.
 
-    A batch that is run again after a failure finds its folder and leaves it as it is.
+    The two newest always stay: the last batch may be run again, from the one before.
     """
-    spark = df.sparkSession
-    fs, target, hadoop = _fs(spark, version_path(root, batch_id))
-    if fs.exists(target):
+    found = _listed(spark, root)
+    if not found:
         return
-    staged = f"{root}/_staged/{batch_id}"
-    df.write.mode("overwrite").parquet(staged)
-    fs.mkdirs(target.getParent())
-    if not fs.rename(hadoop.Path(staged), target):
-        raise OSError(f"could not publish {target}")
-
-
-def drop_versions(spark: SparkSession, root: str, keep: int) -> None:
-    """Delete all but the newest `keep` versions."""
-    for batch_id in versions(spark, root)[:-keep]:
-        fs, path, _ = _fs(spark, version_path(root, batch_id))
-        fs.delete(path, True)
+    newest = found[0][1].getModificationTime()
+    for batch_id, status in found[2:]:
+        if newest - status.getModificationTime() > keep_seconds * 1000:
+            fs, path, _ = _fs(spark, version_path(root, batch_id))
+            fs.delete(path, True)

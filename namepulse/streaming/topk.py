@@ -8,11 +8,19 @@ from pyspark.sql.streaming import DataStreamWriter
 from ..operators import changelog
 from . import storage
 
+COUNTS = "name string, count long, seq long"
 SNAPSHOT = "name string, count long"
-DELTAS = "name string, count long"
+DELTAS = "block long, batch_id long, name string, count long"
 
-# Earlier snapshots that are kept for readers that are still on them.
-SNAPSHOTS_KEPT = 10
+# Seconds that earlier snapshots are kept for readers that are still on them.
+KEEP_SECONDS = 600.0
+
+# Deltas of so many batches share a folder.
+BLOCK_BATCHES = 3_600
+
+
+def _counts(root: str) -> str:
+    return f"{root}/counts"
 
 
 def _snapshots(root: str) -> str:
@@ -23,71 +31,71 @@ def _deltas(root: str) -> str:
     return f"{root}/deltas"
 
 
-def next_snapshot(old: DataFrame, changes: DataFrame, k: int) -> DataFrame:
-    """(name, count): the `k` largest of the held names and the newly counted ones.
-
-    Among equal counts, held names stay; then names go by order. Held names join the
-    changes as their oldest entries, so that the changes are read once.
-    """
-    oldest = F.lit(-(2**63)).cast("bigint")
-    entries = changes.select(
-        "name", "count", changelog.change_order().alias("_at"), F.lit(0).alias("_held")
-    ).unionByName(
-        old.select("name", "count", oldest.alias("_at"), F.lit(1).alias("_held"))
-    )
+def next_counts(old: DataFrame, changes: DataFrame) -> DataFrame:
+    """(name, count, seq) of all names that are live after some changes, in one grouping."""
+    entries = old.select("name", "count", "seq").unionByName(changes.select("name", "count", "seq"))
     return (
         entries.groupBy("name")
-        .agg(F.max_by("count", "_at").alias("count"), F.max("_held").alias("_held"))
+        .agg(F.max_by("count", "seq").alias("count"), F.max("seq").alias("seq"))
         .where(F.col("count") > 0)
-        .orderBy(F.col("count").desc(), F.col("_held").desc(), "name")
-        .limit(k)
-        .select("name", "count")
     )
 
 
 def snapshot_deltas(old: DataFrame, new: DataFrame) -> DataFrame:
-    """(name, count): what turns the old snapshot into the new; count 0 removes a name."""
-    before = old.select("name", F.col("count").alias("_old"))
+    """(name, count): what turns the old snapshot into the new; count 0 removes a name.
+
+    Both have K rows at most, so they meet in one task, without a shuffle.
+    """
+    none = F.lit(None).cast("bigint")
+    sides = new.select("name", F.col("count").alias("_new"), none.alias("_old")).unionByName(
+        old.select("name", none.alias("_new"), F.col("count").alias("_old"))
+    )
     return (
-        new.join(before, "name", "full_outer")
-        .where(~F.col("count").eqNullSafe(F.col("_old")))
-        .select("name", F.coalesce("count", F.lit(0)).cast("bigint").alias("count"))
+        sides.coalesce(1)
+        .groupBy("name")
+        .agg(F.max("_new").alias("_new"), F.max("_old").alias("_old"))
+        .where(~F.col("_new").eqNullSafe(F.col("_old")))
+        .select("name", F.coalesce("_new", F.lit(0)).cast("bigint").alias("count"))
     )
 
 
+def _version(spark: SparkSession, root: str, batch_id: int | None, schema: str) -> DataFrame:
+    if batch_id is None:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(storage.version_path(root, batch_id))
+
+
 def update_snapshot(
     changes: DataFrame,
     batch_id: int,
     root: str,
     k: int = changelog.LIVE_ENTRIES,
-    keep_deltas: int | None = None,
+    keep_seconds: float = KEEP_SECONDS,
 ) -> None:
-    """Bring the snapshot below `root` up to date with one batch of count changes.
+    """Bring counts, snapshot and deltas below `root` up to date with one batch of changes.
 
-    The newest snapshot of an earlier batch is the base, so a batch that is run again
-    gives the same result. Deltas stay for ever unless `keep_deltas` says how many.
+    The counts hold every live name, so a name comes into the snapshot whenever it is among
+    the K largest, also when it is others that fall. Among equal counts the first names by
+    order are held. Each version is made from the one of an earlier batch, so a batch that is
+    run again gives the same result; how changes are cut into batches does not matter.
     """
     spark = changes.sparkSession
-    earlier = [v for v in storage.versions(spark, _snapshots(root)) if v < batch_id]
-    old = (
-        spark.read.schema(SNAPSHOT).parquet(
-            storage.version_path(_snapshots(root), earlier[-1])
-        )
-        if earlier
-        else spark.createDataFrame([], SNAPSHOT)
-    )
+    last = storage.newest_version(spark, _snapshots(root), before=batch_id)
+    counts = next_counts(_version(spark, _counts(root), last, COUNTS), changes)
+    counts.write.mode("overwrite").parquet(storage.version_path(_counts(root), batch_id))
+    counts = _version(spark, _counts(root), batch_id, COUNTS)
+    snapshot = changelog.top_k(counts.select("name", "count"), k).coalesce(1)
     target = storage.version_path(_snapshots(root), batch_id)
-    snapshot = next_snapshot(old, changes, k)
-    snapshot.coalesce(1).write.mode("overwrite").parquet(target)
+    snapshot.write.mode("overwrite").parquet(target)
 
-    new = spark.read.schema(SNAPSHOT).parquet(target)
-    deltas = snapshot_deltas(old, new)
-    deltas.coalesce(1).write.mode("overwrite").parquet(
-        storage.version_path(_deltas(root), batch_id)
-    )
-    storage.drop_versions(spark, _snapshots(root), SNAPSHOTS_KEPT)
-    if keep_deltas is not None:
-        storage.drop_versions(spark, _deltas(root), keep_deltas)
+    new = _version(spark, _snapshots(root), batch_id, SNAPSHOT)
+    deltas = snapshot_deltas(_version(spark, _snapshots(root), last, SNAPSHOT), new)
+    block, batch = (F.lit(n).cast("bigint") for n in (batch_id // BLOCK_BATCHES, batch_id))
+    deltas.select(block.alias("block"), batch.alias("batch_id"), "name", "count").write.mode(
+        "append"
+    ).partitionBy("block").parquet(_deltas(root))
+    for kind in (_counts(root), _snapshots(root)):
+        storage.drop_versions(spark, kind, keep_seconds)
 
 
 def live_top_k(
@@ -96,15 +104,15 @@ def live_top_k(
     checkpoint: str,
     k: int = changelog.LIVE_ENTRIES,
     mode: str = "update",
-    keep_deltas: int | None = None,
+    keep_seconds: float = KEEP_SECONDS,
 ) -> DataStreamWriter:
-    """Keep snapshots and deltas below `root` for a stream of count changes.
+    """Keep counts, snapshots and deltas below `root` for a stream of count changes.
 
     Use a trigger of one second for one flush per second.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        update_snapshot(batch, batch_id, root, k, keep_deltas)
+        update_snapshot(batch, batch_id, root, k, keep_seconds)
 
     return (
         changes.writeStream.outputMode(mode)
@@ -113,29 +121,26 @@ def live_top_k(
     )
 
 
-def read_snapshot(spark: SparkSession, root: str) -> tuple[int, DataFrame]:
-    """(batch id, snapshot) for a new subscriber; batch id -1 before the first."""
-    found = storage.versions(spark, _snapshots(root))
-    if not found:
-        return -1, spark.createDataFrame([], SNAPSHOT)
-    path = storage.version_path(_snapshots(root), found[-1])
-    return found[-1], spark.read.schema(SNAPSHOT).parquet(path)
+def read_snapshot(
+    spark: SparkSession, root: str, batch_id: int | None = None
+) -> tuple[int, DataFrame]:
+    """(batch id, snapshot), the newest one or an earlier one; batch id -1 before the first."""
+    if batch_id is None:
+        batch_id = storage.newest_version(spark, _snapshots(root))
+    return -1 if batch_id is None else batch_id, _version(spark, _snapshots(root), batch_id, SNAPSHOT)
 
 
 def read_deltas(spark: SparkSession, root: str, after: int = -1) -> DataFrame:
-    """(batch_id, name, count): the deltas of the batches after `after`."""
-    paths = [
-        storage.version_path(_deltas(root), v)
-        for v in storage.versions(spark, _deltas(root), after)
-    ]
-    if not paths:
-        return spark.createDataFrame([], "batch_id long, " + DELTAS)
-    folder = F.regexp_extract(F.col("_metadata.file_path"), r"/b(\d+)/[^/]*$", 1)
-    return (
-        spark.read.schema(DELTAS)
-        .parquet(*paths)
-        .select(folder.cast("bigint").alias("batch_id"), "name", "count")
-    )
+    """(batch_id, name, count): the deltas of the batches after `after`.
+
+    Only the folders from that batch on are read. A batch that was run again after a failure
+    may have written the same rows twice; they count once.
+    """
+    if not storage.exists(spark, _deltas(root)):
+        return spark.createDataFrame([], "batch_id long, name string, count long")
+    found = spark.read.schema(DELTAS).parquet(_deltas(root))
+    later = (F.col("block") >= max(after, 0) // BLOCK_BATCHES) & (F.col("batch_id") > after)
+    return found.where(later).select("batch_id", "name", "count").distinct()
 
 
 def read_messages(spark: SparkSession, root: str, after: int = -1) -> DataFrame:

@@ -186,3 +186,32 @@ def test_parse_single_update(spark):
     assert [tuple(u) for u in got] == [("x", 3)]
     got = one(spark, messages.parse_increments("v"), '{"name": "x", "increment": 3}')
     assert [tuple(u) for u in got] == [("x", 3)]
+
+
+def test_names_of_all_languages(spark):
+    from namepulse.sources import tables
+
+    df = spark.createDataFrame([("F\u00fcr \u00c9lan, Asunci\u00f3n e\u0301 E\u0301lan x USA \u00df",)], "text string")
+    assert df.select(tables.document_names()).first()[0] == "F\u00fcr,0;\u00c9lan,1;Asunci\u00f3n,2;E\u0301lan,3"
+
+
+def test_malformed_text_gives_the_same_names_everywhere(spark, tmp_path):
+    """A genuine replacement character stays in valid lines; in broken ones both go."""
+    from namepulse.sources import records
+    from namepulse.streaming import rolling
+
+    def line(key, names):
+        return b"\t".join([key, b"20150218230000", *[b""] * 21, names, b"", b"", b"x"])
+
+    sign = "\ufffd".encode()
+    data = [line(b"k1", b"A" + sign + b"B,1"), line(b"k2", b"C" + sign + b"D\xff,1;E\xc3,2")]
+    (tmp_path / "lines.txt").write_bytes(b"\n".join(data))
+    want = {"A\ufffdB,1", "CD,1;E,2"}
+    whole = records.read_lines(spark, str(tmp_path))
+    raw = records.read_lines(spark, str(tmp_path), clean=False)
+    for lines in (whole, raw):
+        assert {r.all_names for r in records.positional_records(lines).collect()} == want
+        assert {r.all_names for r in records.line_view(lines).collect()} == want
+    stream = raw.selectExpr("'k' AS key", "value", "timestamp'2015-02-18 23:00:00' AS timestamp", "0L AS offset")
+    got = {r["name"] for r in rolling.record_mentions(stream).collect()}
+    assert got == {"A\ufffdB", "CD", "E"}

@@ -38,7 +38,7 @@ def write_batches(spark, folder, batches):
     append_batches([mentions(spark, rows) for rows in shifted], folder)
 
 
-def run_changes(spark, folder, delay="0 seconds"):
+def run_changes(spark, folder, delay=rolling.DELAY):
     source = (
         spark.readStream.schema(MENTION).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
     )
@@ -82,32 +82,83 @@ def test_batches_in_time_order_equal_the_batch_form(spark):
     assert rows_of(run_changes(spark, folder)) == want
 
 
-def test_out_of_order_within_the_delay(spark):
-    """Counts end up right although mentions arrive up to ten minutes late."""
+def live_counts(changes):
+    latest = changelog.latest_counts(changes).where("count > 0")
+    return {r["name"]: r["count"] for r in latest.collect()}
+
+
+def histogram(rows):
+    newest, out = max(s for _, s in rows), {}
+    for name, sec in rows:
+        if sec > newest - 3600:
+            out[name] = out.get(name, 0) + 1
+    return out
+
+
+@pytest.mark.parametrize("size", [400, 80, 57])
+@pytest.mark.parametrize("per_arrow_batch", [1, 10_000])
+def test_out_of_order_in_batches_of_any_size(spark, size, per_arrow_batch):
+    """Mentions come up to 70 minutes late; nothing is lost, and the newest counts are right."""
     folder = folder_of(spark)
     r = random.Random(5)
-    rows = sorted(random_mentions(12), key=lambda m: m[1] + r.randrange(600))
-    write_batches(spark, f"{folder}/in", [rows[i : i + 80] for i in range(0, 400, 80)])
-    changes = run_changes(spark, folder, delay="600 seconds")
-    newest = max(s for _, s in rows)
-    got = {r["name"]: r["count"] for r in latest_by_arrival(changes).collect()}
-    at = newest - 600  # what has expired by the watermark
+    rows = sorted(random_mentions(12), key=lambda m: m[1] + r.randrange(4200))
+    write_batches(spark, f"{folder}/in", [rows[i : i + size] for i in range(0, 400, size)])
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, per_arrow_batch)
+    try:
+        changes = run_changes(spark, folder)
+    finally:
+        spark.conf.set(key, before)
+    assert live_counts(changes) == histogram(rows)
+    added = changes.where("op = 'add'").agg(F.sum(F.col("count") - F.col("prev_count"))).first()
+    assert added[0] == 400
+    # Of each name, what a change finds is what the one before has left.
     for name in {n for n, _ in rows}:
-        seen = [s for n, s in rows if n == name]
-        live = sum(1 for s in seen if s > at - 3600)
-        # Seconds between watermark and newest may have expired with a later mention.
-        fewest = sum(1 for s in seen if s > newest - 3600)
-        assert fewest <= got[name] <= live
+        own = changes.where(F.col("name") == name).orderBy("seq").collect()
+        assert len({c.seq for c in own}) == len(own)
+        assert [c["prev_count"] for c in own] == [0, *[c["count"] for c in own[:-1]]]
 
 
-def latest_by_arrival(changes):
-    final = changes.groupBy("name").agg(
-        F.sum(F.col("count") - F.col("prev_count")).alias("count")
-    )
-    return final
+def test_mentions_of_a_filled_gap_count(spark):
+    """Five mentions of a segment that comes 15 minutes after the next one: ten of ten."""
+    folder = folder_of(spark)
+    now, gap = [("a", 9000 + i) for i in range(5)], [("a", 8100 + i) for i in range(5)]
+    write_batches(spark, f"{folder}/in", [now, gap, [("z", 9010)]])
+    assert live_counts(run_changes(spark, folder)) == {"a": 10, "z": 1}
+
+
+def test_older_change_with_the_newer_count(spark):
+    """A mention at an earlier second comes second: its count is the newer one."""
+    folder = folder_of(spark)
+    write_batches(spark, f"{folder}/in", [[("a", 100)], [("a", 99)]])
+    changes = run_changes(spark, folder)
+    assert [(c.event_sec - SHIFT, c["count"]) for c in changes.orderBy("seq").collect()] == [(100, 1), (99, 2)]
+    assert live_counts(changes) == {"a": 2}
+    root = f"{folder}/topk"
+    topk.update_snapshot(changes, 0, root, k=3)
+    assert [tuple(r) for r in topk.read_snapshot(spark, root)[1].collect()] == [("a", 2)]
+
+
+def test_mention_older_than_its_hour_is_added_and_expires(spark):
+    """As in the batch form, both changes are written."""
+    folder = folder_of(spark)
+    write_batches(spark, f"{folder}/in", [[("a", 7000)], [("a", 3000)]])
+    got = [r for r in rows_of(run_changes(spark, folder)) if r[1] == "a"]
+    assert sorted((s, o) for s, _, _, o in got) == [(3000, "add"), (6600, "expire"), (7000, "add")]
+
+
+def test_name_that_comes_back_goes_on_with_larger_seq(spark):
+    folder = folder_of(spark)
+    days = [[("a", 0)], [("z", 20_000)], [("z", 20_001)], [("a", 90_000)], [("z", 90_001)]]
+    write_batches(spark, f"{folder}/in", days)
+    changes = run_changes(spark, folder)
+    own = changes.where("name = 'a'").orderBy("event_sec").collect()
+    assert [(c.event_sec - SHIFT, c["count"]) for c in own] == [(0, 1), (3600, 0), (90_000, 1)]
+    assert [c.seq for c in own] == sorted({c.seq for c in own})
 
 
-def test_late_mention_is_dropped(spark):
+def test_too_late_mention_is_dropped(spark):
     folder = folder_of(spark)
     write_batches(spark, f"{folder}/in", [[("a", 7140)], [("b", 7200)], [("a", 100)]])
     assert rows_of(run_changes(spark, folder)) == [(7140, "a", 1, "add"), (7200, "b", 1, "add")]
@@ -155,8 +206,8 @@ def test_restart_goes_on_where_it_stopped(spark):
     ]
 
 
-def changes_of(spark, rows):
-    data = [(n, i, "add", c - 1, c) for i, (n, c) in enumerate(rows)]
+def changes_of(spark, rows, first=0):
+    data = [(n, i, "add", c - 1, c, first + i) for i, (n, c) in enumerate(rows)]
     return spark.createDataFrame(data, schemas.COUNT_CHANGES)
 
 
@@ -167,12 +218,12 @@ def test_top_k_trace(spark):
         (("y", 5), {("y", 5)}, {"y": 5, "x": 3}),
         (("z", 3), set(), {"y": 5, "x": 3}),
         (("z", 4), {("z", 4), ("x", 0)}, {"y": 5, "z": 4}),
-        (("y", 1), {("y", 1)}, {"z": 4, "y": 1}),
-        (("w", 1), set(), {"z": 4, "y": 1}),
-        (("w", 2), {("w", 2), ("y", 0)}, {"z": 4, "w": 2}),
+        (("y", 1), {("x", 3), ("y", 0)}, {"z": 4, "x": 3}),  # x comes back without a change
+        (("w", 3), {("w", 3), ("x", 0)}, {"z": 4, "w": 3}),
+        (("z", 0), {("x", 3), ("z", 0)}, {"w": 3, "x": 3}),
     ]
     for batch_id, (update, delta, snapshot) in enumerate(steps):
-        changes = changes_of(spark, [update])
+        changes = changes_of(spark, [update], first=batch_id)
         topk.update_snapshot(changes, batch_id, root, k=2)
         # A batch that is run again changes nothing.
         topk.update_snapshot(changes, batch_id, root, k=2)
@@ -180,32 +231,39 @@ def test_top_k_trace(spark):
         assert at == batch_id
         assert {r["name"]: r["count"] for r in held.collect()} == snapshot
         new = topk.read_deltas(spark, root, after=batch_id - 1)
-        assert {(r["name"], r["count"]) for r in new.collect()} == delta
+        assert sorted((r["name"], r["count"]) for r in new.collect()) == sorted(delta)
 
     messages = {r.batch_id: r.message for r in topk.read_messages(spark, root).collect()}
     assert messages[3] == '[{"name":"x","count":0},{"name":"z","count":4}]'
     assert 2 not in messages
     replayed = changelog.materialise(topk.read_deltas(spark, root), "batch_id")
-    assert {r["name"]: r["count"] for r in replayed.collect()} == {"z": 4, "w": 2}
+    assert {r["name"]: r["count"] for r in replayed.collect()} == {"w": 3, "x": 3}
     text = topk.snapshot_message(topk.read_snapshot(spark, root)[1]).collect()
-    assert [r.message for r in text] == ['[{"name":"w","count":2},{"name":"z","count":4}]']
+    assert [r.message for r in text] == ['[{"name":"w","count":3},{"name":"x","count":3}]']
 
 
-def test_name_at_zero_leaves_the_snapshot(spark):
+@pytest.mark.parametrize("size", [1, 7, 60])
+def test_top_k_does_not_depend_on_batches(spark, size):
     root = folder_of(spark)
-    topk.update_snapshot(changes_of(spark, [("x", 3), ("y", 1)]), 0, root, k=2)
-    topk.update_snapshot(changes_of(spark, [("x", 0)]), 1, root, k=2)
-    assert [r["name"] for r in topk.read_snapshot(spark, root)[1].collect()] == ["y"]
-    assert [tuple(r) for r in topk.read_deltas(spark, root, 0).collect()] == [(1, "x", 0)]
+    r = random.Random(4)
+    updates = [(f"n{r.randrange(12)}", r.randrange(0, 9)) for _ in range(60)]
+    for i in range(0, 60, size):
+        if i and size == 1 and i < 50:
+            continue  # one by one for the last ten only
+        rows = updates[i : i + size] if size > 1 or i else updates[:50]
+        topk.update_snapshot(changes_of(spark, rows, first=i), i, root, k=4)
+    truth = dict(updates)
+    want = sorted(((n, c) for n, c in truth.items() if c), key=lambda x: (-x[1], x[0]))[:4]
+    assert {tuple(x) for x in topk.read_snapshot(spark, root)[1].collect()} == set(want)
 
 
 def test_snapshot_then_deltas_equals_later_snapshot(spark):
     """A subscriber that starts in the middle ends up with the same entries."""
     root = folder_of(spark)
     r = random.Random(2)
-    updates = [[(f"n{r.randrange(9)}", r.randrange(1, 30))] for _ in range(14)]
+    updates = [[(f"n{r.randrange(9)}", r.randrange(0, 30))] for _ in range(14)]
     for i, rows in enumerate(updates):
-        topk.update_snapshot(changes_of(spark, rows), i, root, k=4)
+        topk.update_snapshot(changes_of(spark, rows, first=i), i, root, k=4, keep_seconds=1.5)
         if i == 6:
             at, start = topk.read_snapshot(spark, root)
             held = {row["name"]: row["count"] for row in start.collect()}
@@ -215,7 +273,42 @@ def test_snapshot_then_deltas_equals_later_snapshot(spark):
     held = {n: c for n, c in held.items() if c}
     final = topk.read_snapshot(spark, root)[1].collect()
     assert held == {row["name"]: row["count"] for row in final}
-    assert len(storage.versions(spark, f"{root}/snapshots")) == topk.SNAPSHOTS_KEPT
+    kept = storage.versions(spark, f"{root}/snapshots")
+    assert 2 <= len(kept) < 14 and kept[-1] == 13
+
+
+def test_deltas_are_read_from_their_block_on(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK_BATCHES", 2)
+    root = folder_of(spark)
+    assert topk.read_deltas(spark, root).count() == 0
+    for i in range(5):
+        topk.update_snapshot(changes_of(spark, [("x", i + 1)], first=i), i, root, k=2)
+    later = topk.read_deltas(spark, root, after=3)
+    assert [tuple(r) for r in later.collect()] == [(4, "x", 5)]
+    plan = later._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(block" in plan
+    assert {r.split("=")[1] for r in os.listdir(f"{root}/deltas".removeprefix("file:")) if "=" in r} == {"0", "1", "2"}
+
+
+def test_half_written_version_is_neither_read_nor_done(spark):
+    root = folder_of(spark)
+    storage.publish(spark.range(3), root, 1)
+    spark.range(9).write.parquet(storage.version_path(root, 2))
+    os.remove(f"{storage.version_path(root, 2)}/_SUCCESS".removeprefix("file:"))
+    assert storage.versions(spark, root) == [1]
+    assert storage.newest_version(spark, root) == 1
+    assert storage.newest_version(spark, root, before=1) is None
+    storage.publish(spark.range(4), root, 2)
+    assert storage.versions(spark, root) == [1, 2]
+    assert spark.read.parquet(storage.version_path(root, 2)).count() == 4
+
+
+def test_the_two_newest_versions_always_stay(spark):
+    root = folder_of(spark)
+    for i in range(4):
+        storage.publish(spark.range(1), root, i)
+    storage.drop_versions(spark, root, keep_seconds=-1)
+    assert storage.versions(spark, root) == [2, 3]
 
 
 def test_from_segment_files_to_live_top_k(spark, tmp_path):
