@@ -25,11 +25,11 @@ def work_dir(spark: SparkSession) -> str:
         return shared.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    return _temporary()
+    return temporary_dir()
 
 
 @cache
-def _temporary() -> str:
+def temporary_dir() -> str:
     """One folder for the process, removed when it ends."""
     path = tempfile.mkdtemp(prefix="namepulse-")
     atexit.register(shutil.rmtree, path, ignore_errors=True)
