@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .shared import hot_join, kept, once, small_batches
+from .shared import hot_join, kept, once, prepared
 from .tokens import encoded_runs, encoder
 
 CAPACITY = 2048
@@ -75,7 +75,7 @@ def pieces(
     rows = docs.select(
         F.col(id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )
-    small_batches(docs.sparkSession)
+    prepared(docs.sparkSession)
     return rows.mapInArrow(_cut(vocabulary, units, end_id, capacity), PIECES)
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..streaming.storage import fresh_dir
+from ..streaming.storage import fresh_dir, temporary_dir
 
 # Bytes that Unicode-free word patterns treat as white space: \x20 and \x09-\x0D.
 # bytes.split() without arguments splits on exactly these.
@@ -19,10 +22,26 @@ def text_bytes(text: str = "text") -> Column:
 # Most bytes of a batch of rows that a Python worker gets.
 BATCH_BYTES = 8 << 20
 
+# Applications that have this package.
+_SENT: set[str] = set()
+
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound what Python workers hold at once by bytes, not only by rows."""
+def prepared(spark: SparkSession) -> None:
+    """Get a session ready for Python tasks of this package.
+
+    What a worker holds at once is bounded by bytes, not only by rows. The package is sent to
+    the workers once per application, so that they need not have it installed.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    context = spark.sparkContext
+    if context.applicationId not in _SENT:
+        _SENT.add(context.applicationId)
+        package = Path(__file__).resolve().parents[1]
+        sent = Path(temporary_dir()) / f"{package.name}-{context.applicationId}.zip"
+        with zipfile.ZipFile(sent, "w") as out:
+            for file in package.rglob("*.py"):
+                out.write(file, file.relative_to(package.parent))
+        context.addPyFile(str(sent))
 
 
 def once(function, returns: str):
@@ -31,7 +50,7 @@ def once(function, returns: str):
     It is declared not deterministic for that: otherwise the optimizer moves such a filter
     below the projection and computes the function in both.
     """
-    small_batches(SparkSession.active())
+    prepared(SparkSession.active())
     return F.arrow_udf(function, returns).asNondeterministic()
 
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .shared import once, small_batches
+from .shared import once, prepared
 from .tokens import encoded_runs, encoder
 
 ROW_INDEX_ROWS = 1_000
@@ -68,7 +68,7 @@ def write(
         .repartitionByRange("doc_id", F.xxhash64("text"))
         .sortWithinPartitions("doc_id", "text")
     )
-    small_batches(docs.sparkSession)
+    prepared(docs.sparkSession)
     (
         ordered.mapInArrow(_encode(vocabulary, cut, end_id), SCHEMA)
         .write.option("compression", "zstd")

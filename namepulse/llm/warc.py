@@ -28,7 +28,7 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
-from .shared import hot_join, kept
+from .shared import hot_join, kept, prepared
 
 SCHEMA = (
     "page_id bigint, url string, record_type string, refers_to bigint, "
@@ -237,6 +237,7 @@ class Warc(DataSource):
 
 def register(spark: SparkSession) -> None:
     """Make the format known to the session and let it take filters."""
+    prepared(spark)
     spark.dataSource.register(Warc)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
 
