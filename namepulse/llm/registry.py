@@ -6,9 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..streaming.storage import fresh_dir
 from . import decontamination, html_text, licenses, packing, preferences, quality, secrets, simhash, token_files, warc
-from .shared import table
+from .shared import scratch_dir, table
 from .tokens import public_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,7 +34,7 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, written as ORC and read back."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = fresh_dir(spark, "token-files")
+    out = scratch_dir(spark, "token-files")
     token_files.write(docs, out, public_path("byte_bpe_50k.json"))
     return token_files.digests(token_files.read(spark, out))
 
@@ -129,7 +128,7 @@ def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page archived as a WARC record and read back."""
-    out = fresh_dir(spark, "warc")
+    out = scratch_dir(spark, "warc")
     warc.write(table(spark, sf_dir, "pages"), out)
     return warc.digests(warc.read(spark, out))
 

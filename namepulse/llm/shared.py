@@ -62,17 +62,21 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
-def kept(df: DataFrame, name: str) -> DataFrame:
-    """df written as a Parquet table in the shared folder and read back: cuts the lineage.
-
-    The folder is removed when the session's file systems close.
-    """
-    spark = df.sparkSession
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A new folder among the shared ones, removed when the session's file systems close."""
     path = fresh_dir(spark, f"llm-{name}")
-    df.write.parquet(path)
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
-    return spark.read.schema(df.schema).parquet(path)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(at)  # only what exists can be registered
+    fs.deleteOnExit(at)
+    return path
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """df written as a Parquet table in the shared folder and read back: cuts the lineage."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.mode("append").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def hot_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:

@@ -71,7 +71,8 @@ def write(
     prepared(docs.sparkSession)
     (
         ordered.mapInArrow(_encode(vocabulary, cut, end_id), SCHEMA)
-        .write.option("compression", "zstd")
+        .write.mode("append")
+        .option("compression", "zstd")
         .option("orc.bloom.filter.columns", "doc_id")
         .option("orc.bloom.filter.fpp", "0.01")
         .option("orc.row.index.stride", ROW_INDEX_ROWS)
