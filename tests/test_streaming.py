@@ -458,3 +458,36 @@ def test_table_as_stream(spark, tmp_path, path):
 
 def test_work_dir_is_the_shared_folder(spark):
     assert storage.work_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+@pytest.mark.parametrize("pace", [lifecycle.per_segment, lifecycle.per_second])
+def test_a_paced_query_begins_at_once(spark, pace):
+    """The first batch does not wait for the interval to pass."""
+    folder = folder_of(spark)
+    write_batches(spark, f"{folder}/in", [[("a", 1)]])
+    source = spark.readStream.schema(MENTION).parquet(f"{folder}/in")
+    query = pace(lifecycle.file_writer(source, f"{folder}/out", f"{folder}/state")).start()
+    end = time.time() + 60
+    while not query.recentProgress and time.time() < end:
+        time.sleep(0.1)
+    assert spark.read.parquet(f"{folder}/out").count() == 1
+    assert lifecycle.stop(query)
+
+
+def test_files_per_trigger_limit_a_batch(spark):
+    folder = folder_of(spark)
+    streams.write_slices(spark.range(9), f"{folder}/in", (F.col("id") % 3).cast("int"), 3)
+    source = streams._load(spark.readStream, "parquet", streams.file_options(1), "id long", f"{folder}/in")
+    seen = []
+    writer = source.writeStream.option("checkpointLocation", f"{folder}/state").foreachBatch(
+        lambda batch, _: seen.append(sorted(r.id for r in batch.collect()))
+    )
+    lifecycle.run_available(writer)
+    assert seen == [[0, 3, 6], [1, 4, 7], [2, 5, 8]]
+
+
+def test_topics_need_the_connector(spark):
+    """Without it the writers say so; with it they would send these rows."""
+    rows = stream_sinks.change_messages(changes_of(spark, [("x", 3)]))
+    with pytest.raises(Exception, match="(?i)kafka"):
+        stream_sinks.write_to_kafka(rows, stream_sinks.kafka_writer_options("t"))
