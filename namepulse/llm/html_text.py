@@ -22,7 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .shared import kept, once, unused
+from .shared import hot_join, kept, once, unused
 
 # A subtree on this share of a host's different pages, and on this many, is template. A host
 # then has at most (subtrees of a page) / LEAST_SHARE templates on average.
@@ -243,8 +243,7 @@ def templates(
     counts = different.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").count()
     least = F.greatest(F.lit(least_pages), F.ceil(F.col("pages") * least_share))
     return (
-        counts.where(F.col("count") >= least_pages)
-        .join(sizes, "host")
+        hot_join(counts.where(F.col("count") >= least_pages), sizes, ["host"])
         .where(F.col("count") >= least)
         .groupBy("host")
         .agg(F.sort_array(F.collect_list("hash")).alias("templates"))

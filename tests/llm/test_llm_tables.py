@@ -152,6 +152,21 @@ def test_token_files_round_trip(spark, tmp_path):
     assert "doc_id" in some._jdf.queryExecution().executedPlan().toString().split("PushedFilters")[1]
 
 
+def test_token_files_hold_indexes_filters_and_runs(spark, tmp_path):
+    docs = spark.range(3000).selectExpr("id AS doc_id", "'a b c' AS text")
+    token_files.write(docs, str(tmp_path / "files"), public_path("byte_bpe_50k.json"))
+    orc, hadoop = spark._jvm.org.apache.orc, spark._jvm.org.apache.hadoop.fs
+    file = next(f for f in (tmp_path / "files").iterdir() if f.suffix == ".orc")
+    options = orc.OrcFile.readerOptions(spark._jsc.hadoopConfiguration())
+    reader = orc.OrcFile.createReader(hadoop.Path(str(file)), options)
+    assert reader.getRowIndexStride() == token_files.ROW_INDEX_ROWS
+    footer = reader.rows().readStripeFooter(reader.getStripes().get(0))
+    kinds = {(s.getColumn(), s.getKind().toString()) for s in footer.getStreamsList()}
+    assert {(1, "BLOOM_FILTER_UTF8"), (1, "ROW_INDEX"), (6, "DATA")} <= kinds
+    # Integers are run-length encoded by the second version of the format.
+    assert footer.getColumnsList()[6].getKind().toString() == "DIRECT_V2"
+
+
 def test_token_files_edges(spark, tmp_path):
     docs = docs_of(spark, ["a"])
     token_files.write(docs.limit(0), str(tmp_path / "none"), public_path("byte_bpe_50k.json"))
