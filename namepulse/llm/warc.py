@@ -209,6 +209,9 @@ class WarcReader(DataSourceReader):
             for header, payload in _Members(file).records(wanted):
                 if not self._passes(header):
                     continue
+                whole = payload is not None and header["record_type"] == "response"
+                if whole and hashlib.sha256(payload).hexdigest() != header["payload_digest"]:
+                    raise ValueError(f"the payload of {header['page_id']} is not what was written")
                 rows.append({**{c: header[c] for c in FIELDS[:-1]}, "payload": payload})
                 size += len(payload or b"")
                 if len(rows) >= 1_000 or size >= 16 << 20:

@@ -1,5 +1,7 @@
 """Operators that group, join, write or read tables, against plain Python."""
 
+import gzip
+import hashlib
 import os
 import re
 import zlib
@@ -9,6 +11,7 @@ import numpy as np
 import pytest
 import xxhash
 from hypothesis import given, settings, strategies as st
+from pyspark.sql.datasource import EqualTo, GreaterThan, InputPartition
 from tokenizers import Tokenizer
 
 from namepulse.llm import components, html_text, packing, simhash, token_files, warc
@@ -330,8 +333,6 @@ def test_archive_predicates_and_skipped_payloads(spark, tmp_path):
     assert [r["page_id"] for r in warc.read(spark, out).where("page_id = 3 AND length(url) > 1").collect()] == [3]
     assert warc.read(spark, out, payload=False).where("payload IS NOT NULL").count() == 0
     reader = warc.WarcReader(out, True)
-    from pyspark.sql.datasource import EqualTo, GreaterThan
-
     other = GreaterThan(("page_id",), 3)
     assert list(reader.pushFilters([EqualTo(("record_type",), "revisit"), other])) == [other]
     asked = []
@@ -341,6 +342,17 @@ def test_archive_predicates_and_skipped_payloads(spark, tmp_path):
     assert asked == ["revisit", "revisit"]
 
 
+def test_archive_that_was_changed_is_refused(tmp_path):
+    row = {"page_id": 1, "url": "u", "record_type": "response", "refers_to": None, "payload_bytes": 3,
+           "payload_digest": hashlib.sha256(b"abc").hexdigest(), "payload": b"abd"}
+    (tmp_path / "x.warc.gz").write_bytes(gzip.compress(warc.record(row)))
+    part = InputPartition("x.warc.gz")
+    with pytest.raises(ValueError):
+        list(warc.WarcReader(str(tmp_path), True).read(part))
+    (batch,) = warc.WarcReader(str(tmp_path), False).read(part)  # the payload is not looked at
+    assert batch["page_id"].to_pylist() == [1]
+
+
 def test_archive_of_nothing_and_unfinished(spark, tmp_path):
     out = str(tmp_path / "none")
     warc.write(pages_of(spark, []), out)
