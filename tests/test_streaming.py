@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from namepulse import schemas
 from namepulse.operators import changelog, rolling as batch_rolling
 from namepulse.sinks import streams as stream_sinks
-from namepulse.sources import records, streams
+from namepulse.sources import streams
 from namepulse.streaming import intake, lifecycle, rolling, storage, topk
 from test_rolling import EPOCH, mentions, random_mentions
 from test_segments import START, write_segment
