@@ -35,18 +35,19 @@ def _mark() -> list[Column]:
     return [F.count("*"), F.expr("bit_xor(xxhash64(a, b))"), F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF)))]
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, rows: int | None = None) -> DataFrame:
     """(node, root) for every node of edges (a, b): root is the component's smallest node.
 
     Alternates large-star and small-star steps until nothing changes, which takes a number of
     rounds logarithmic in the nodes. Every round is a table in the shared folder, so that lost
     executors cost one round at most. A node of any degree is split over tasks. Self-loops and
-    repeated edges do not matter; no edges give no rows.
+    repeated edges do not matter; no edges give no rows. `rows`: about how many edges there
+    may be, for the number of files of the first table; a round never adds edges.
     """
-    now = kept(_normal(edges), "edges")
+    now = kept(_normal(edges), "edges", rows)
     mark = tuple(now.agg(*_mark()).first())
     while mark[0]:
-        after = kept(_normal(_small_star(_normal(_large_star(now)))), "edges")
+        after = kept(_normal(_small_star(_normal(_large_star(now)))), "edges", mark[0])
         now, before, mark = after, mark, tuple(after.agg(*_mark()).first())
         if mark == before:
             break

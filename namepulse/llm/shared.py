@@ -72,9 +72,18 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
-def kept(df: DataFrame, name: str) -> DataFrame:
-    """df written as a Parquet table in the shared folder and read back: cuts the lineage."""
+# Rows of a few bytes that are put into one file.
+ROWS_PER_FILE = 250_000
+
+
+def kept(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """df written as a Parquet table in the shared folder and read back: cuts the lineage.
+
+    With `rows`, an upper bound of the rows of a slim table, it is written as few files.
+    """
     path = scratch_dir(df.sparkSession, name)
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // ROWS_PER_FILE)))
     df.write.mode("append").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

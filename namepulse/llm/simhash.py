@@ -247,10 +247,9 @@ def near_duplicates(
     """
     rows = with_fingerprint(docs.select(F.col(id).alias("id"), F.col(text).alias("_text")), "_text")
     rows = kept(rows.select("id", "fingerprint"), "fingerprints")
-    classes = kept(
-        rows.groupBy("fingerprint").agg(F.min("id").alias("least"), F.count("*").alias("n")), "classes"
-    )
-    roots = components(links(classes.select("fingerprint"), radius, max_tree))
+    n = rows.count()
+    classes = kept(rows.groupBy("fingerprint").agg(F.min("id").alias("least")), "classes", n)
+    roots = components(links(classes.select("fingerprint"), radius, max_tree), n)
     rooted = hot_join(classes.withColumnRenamed("fingerprint", "node"), roots, ["node"], "left").select(
         F.col("node").alias("fingerprint"), F.coalesce("root", "node").alias("root"), "least"
     )
@@ -272,6 +271,7 @@ def first_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", **opt
         .groupBy(F.col(id).alias(first))
         .agg(F.count("*").alias(rows)),
         "firsts",
+        docs.count(),
     )
     same = F.col(id) == F.col(first)
     repeated = firsts.where(F.col(rows) > 1)
