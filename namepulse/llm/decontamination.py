@@ -117,17 +117,35 @@ class Block:
                     k += 1
         return found
 
+    def _enough(self, n: int, equal: int, size: int) -> bool:
+        """Whether a run of n words, of which so many are equal, is an overlap with an item of `size` words."""
+        whole = n >= self.item_share * size or n > self.long_run
+        return n >= min(self.least_words, size) and equal >= self.identity * n and whole
+
     def _overlap(self, words: np.ndarray, item: np.ndarray, diagonal: int):
-        """The run of words on a diagonal with the most equal words beyond the share asked for."""
+        """(first word, words, equal words) of the overlap on a diagonal, or None.
+
+        The run with the most equal words beyond the share asked for or, where that one is too
+        short, the longest run with the share: if any run is an overlap, the longest is.
+        """
         begin = max(0, diagonal)
         end = min(len(words), diagonal + len(item))
         equal = words[begin:end] == item[begin - diagonal : end - diagonal]
-        # Highest sum of a run, where an equal word weighs 1 - identity and another - identity.
+        # An equal word weighs 1 - identity and another - identity: a run has the share if its sum is not negative.
         sums = np.concatenate([[0.0], np.cumsum(np.where(equal, 1.0 - self.identity, -self.identity))])
         lows = np.minimum.accumulate(sums)
         last = int(np.argmax(sums - lows))
         first = int(np.flatnonzero(sums[: last + 1] == lows[last])[-1]) if last else 0
-        return begin + first, last - first, int(equal[first:last].sum())
+        n_equal = int(equal[first:last].sum())
+        if not self._enough(last - first, n_equal, len(item)):
+            # The longest run up to each place begins at the first low that is not above its sum.
+            firsts = np.searchsorted(-lows, -sums - 1e-9)
+            last = int(np.argmax(np.arange(len(sums)) - firsts))
+            first = int(firsts[last])
+            n_equal = int(equal[first:last].sum())
+            if not self._enough(last - first, n_equal, len(item)):
+                return None
+        return begin + first, last - first, n_equal
 
     def hits(self, data: bytes) -> list[tuple]:
         """The best overlap with each item, by item."""
@@ -135,11 +153,10 @@ class Block:
         best: dict[int, tuple] = {}
         for k, diagonal in self._diagonals(words):
             item = self.words[k]
-            first, n, equal = self._overlap(words, item, diagonal)
-            share = n / len(item)
-            enough = n >= min(self.least_words, len(item)) and equal >= self.identity * n
-            if enough and (share >= self.item_share or n > self.long_run):
-                found = (equal, -first, n, share)
+            overlap = self._overlap(words, item, diagonal)
+            if overlap is not None:
+                first, n, equal = overlap
+                found = (equal, -first, n, n / len(item))
                 if k not in best or found > best[k]:
                     best[k] = found
         return [(self.item_ids[k], -f, n, e, s) for k, (e, f, n, s) in sorted(best.items())]

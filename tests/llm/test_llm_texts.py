@@ -240,6 +240,43 @@ def test_seeds_find_what_comparison_finds(shift, equal):
         assert block.hits(" ".join(text).encode())
 
 
+def brute_overlap(equal):
+    """Whether a run of a diagonal that covers the item is an overlap by the stated limits."""
+    size = len(equal)
+    return any(
+        b - a >= min(8, size) and 5 * sum(equal[a:b]) >= 4 * (b - a) and (2 * (b - a) >= size or b - a > 50)
+        for a in range(size)
+        for b in range(a + 1, size + 1)
+    )
+
+
+def replaced(item, places):
+    return [f"x{w}" if i in places else w for i, w in enumerate(item)]
+
+
+@pytest.mark.parametrize(
+    "size, places",
+    [(40, range(18, 23)), (60, range(28, 36)), (30, range(12, 18)), (50, range(20, 30)), (40, range(0, 40, 5))],
+)
+def test_replaced_words_that_stand_together(size, places):
+    item = numbered(0, size)
+    block = decontamination.Block.of([(1, " ".join(item).encode())])
+    text = " ".join(numbered(900, 930) + replaced(item, places) + numbered(950, 960)).encode()
+    (hit,) = block.hits(text)
+    assert hit[3] >= 0.8 * hit[2] and hit[4] >= 0.5
+
+
+@given(st.integers(15, 60).flatmap(lambda n: st.tuples(st.just(n), st.sets(st.integers(0, n - 1), max_size=n // 3))))
+@settings(max_examples=300, deadline=None)
+def test_overlaps_by_brute_force(case):
+    size, places = case
+    item = numbered(0, size)
+    block = decontamination.Block.of([(1, " ".join(item).encode())])
+    text = " ".join(numbered(900, 930) + replaced(item, places) + numbered(950, 960)).encode()
+    seeded = bool(block._diagonals(decontamination.word_hashes(text)))
+    assert bool(block.hits(text)) == (seeded and brute_overlap([i not in places for i in range(size)]))
+
+
 # --- secrets -----------------------------------------------------------------------
 
 ASSIGN = re.compile(
