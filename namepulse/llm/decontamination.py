@@ -28,8 +28,10 @@ from pyspark.sql import DataFrame, functions as F
 from .licenses import words_of
 from .shared import once, text_bytes, unused
 
-# 1: the word counts. Replaced words may be every third, fourth or fifth, or irregular.
-MASKS = ("1111011", "110110111", "1110101101")
+# 1: the word counts. No run of 8 words or more with 80 % equal is without a hit: with k words
+# replaced, its equal words stand in k + 1 gaps, one of which has four of them, but for 10, 11
+# and 15 words, where three equal words, one replaced and two equal ones may be all there is.
+MASKS = ("1111", "111011")
 
 # An overlap has at least this share of equal words, over at least this many words, and over
 # this share of the item or more than `LONG_RUN` words.
@@ -131,19 +133,23 @@ class Block:
         begin = max(0, diagonal)
         end = min(len(words), diagonal + len(item))
         equal = words[begin:end] == item[begin - diagonal : end - diagonal]
+        size = len(item)
+        least = max(min(self.least_words, size), min(self.item_share * size, self.long_run))
+        if np.count_nonzero(equal) < self.identity * least - 1e-9:  # no run can be long enough
+            return None
         # An equal word weighs 1 - identity and another - identity: a run has the share if its sum is not negative.
         sums = np.concatenate([[0.0], np.cumsum(np.where(equal, 1.0 - self.identity, -self.identity))])
         lows = np.minimum.accumulate(sums)
         last = int(np.argmax(sums - lows))
         first = int(np.flatnonzero(sums[: last + 1] == lows[last])[-1]) if last else 0
         n_equal = int(equal[first:last].sum())
-        if not self._enough(last - first, n_equal, len(item)):
+        if not self._enough(last - first, n_equal, size):
             # The longest run up to each place begins at the first low that is not above its sum.
             firsts = np.searchsorted(-lows, -sums - 1e-9)
             last = int(np.argmax(np.arange(len(sums)) - firsts))
             first = int(firsts[last])
             n_equal = int(equal[first:last].sum())
-            if not self._enough(last - first, n_equal, len(item)):
+            if not self._enough(last - first, n_equal, size):
                 return None
         return begin + first, last - first, n_equal
 

@@ -3,6 +3,7 @@
 import hashlib
 import re
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -273,8 +274,17 @@ def test_overlaps_by_brute_force(case):
     item = numbered(0, size)
     block = decontamination.Block.of([(1, " ".join(item).encode())])
     text = " ".join(numbered(900, 930) + replaced(item, places) + numbered(950, 960)).encode()
-    seeded = bool(block._diagonals(decontamination.word_hashes(text)))
-    assert bool(block.hits(text)) == (seeded and brute_overlap([i not in places for i in range(size)]))
+    assert bool(block.hits(text)) == brute_overlap([i not in places for i in range(size)])
+
+
+def test_every_run_with_the_share_has_a_seed():
+    for size in range(8, 21):
+        for places in combinations(range(size), size // 5):
+            assert any(
+                not any(i + o in places for o in decontamination._offsets(m))
+                for m in decontamination.MASKS
+                for i in range(size - len(m) + 1)
+            )
 
 
 # --- secrets -----------------------------------------------------------------------
