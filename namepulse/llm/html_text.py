@@ -8,8 +8,8 @@ where a page marks its article, only that is text, of which headings, paragraphs
 are never deleted as template.
 
 Defined results: a null html is empty and gives no text; without tags all is text. A null url
-belongs to the host "". Copies of a page count once towards a template. Unclosed, misnested and
-unknown elements are taken as they come. Repeated rows are extracted each.
+belongs to the host "". Copies of a page count once towards a template. Unclosed,
+misnested and unknown elements are taken as they come. Repeated rows are extracted each.
 """
 
 from __future__ import annotations
@@ -42,7 +42,8 @@ BLOCKS = frozenset(
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main ol p pre section summary table tbody td "
     "tfoot th thead tr ul".split()
 )
-PROSE = frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre b i em strong a span br".split())
+INLINE = frozenset("b i em strong a span br".split())
+PROSE = INLINE | frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre".split())
 CLOSES = {  # an opening tag ends open elements of these names, up to their container
     "p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
     "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
@@ -59,36 +60,52 @@ PURPOSE = frozenset(
     "complementary contentinfo search alert alertdialog dialog form".split()
 )
 
+# Words that say nothing more about it.
+PARTS = frozenset("area bar block box container list post posts section site wrap wrapper".split())
+
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
     r"""|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+# Attributes one after the other, values whole, so that nothing in a value is taken for a name.
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _WORD = re.compile(r"[a-z]+")
 
 
 class Element:
-    __slots__ = ("name", "label", "role", "children", "dropped", "hash")
+    __slots__ = ("name", "label", "role", "children", "dropped", "hash", "inside")
 
-    def __init__(self, name: str, attributes: str):
+    def __init__(self, name: str, attributes: str, inside: bool = False):
         self.name = name
         self.children: list[Element | str] = []
         self.label = self.role = ""
         self.dropped = name in DROPPED
         self.hash = 0
+        self.inside = inside  # an article
         if attributes and not attributes.isspace():
             for key, *values in _ATTRIBUTE.findall(attributes):
-                value, key = "".join(values).lower(), key.lower()
+                key = key.lower()
                 if key == "hidden":
                     self.dropped = True
+                if key not in ("class", "id", "role"):
                     continue
+                value = "".join(values).lower()
                 self.label += f" {value}"
                 if key == "role":
                     self.role = value
-                if name not in ("html", "body", "article", "main") and not PURPOSE.isdisjoint(_WORD.findall(value)):
+                if name in ("html", "body", "article", "main"):
+                    continue
+                words = _WORD.findall(value)
+                if PURPOSE.isdisjoint(words):
+                    continue
+                # Ids inside an article are often made from headings: all words must speak of a purpose.
+                if key != "id" or not inside or (name not in PROSE and PURPOSE.union(PARTS).issuperset(words)):
                     self.dropped = True
 
+    def is_article(self) -> bool:
+        return self.name in ("article", "main") or self.role in ("article", "main")
+
 
 def parsed(html: str) -> Element:
     """The tree of a page; comments and declarations are left out."""
@@ -116,7 +133,7 @@ def parsed(html: str) -> Element:
                     break
                 if open_[k].name in CONTAINERS:
                     break
-        element = Element(name, attributes)
+        element = Element(name, attributes, open_[-1].inside or open_[-1].is_article())
         open_[-1].children.append(element)
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(html, at)

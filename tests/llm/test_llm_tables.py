@@ -302,6 +302,21 @@ def test_site_templates_are_removed(spark):
     assert html_text.with_text(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<div style='overflow:hidden'><article><p>a</p></article></div>", "a"),
+        ("<p>a <a href='/docs/hidden/x'>b</a> <span aria-hidden=false>c</span></p>", "a b c"),
+        ("<p>a <a href='/q?id=search'>b</a> <a href=/q?id=search>c</a> <i title='class=ad'>d</i></p>", "a b c d"),
+        ("<article><h2 id='social-history'>a</h2><section id=related-work>b</section></article>", "a\n\nb"),
+        ("<article>a<div id=related-posts>b</div><p ID=comments>c</p></article>", "a\n\nc"),
+        ("<div data-x='y' HIDDEN>a</div><div id='site-footer'>b</div><div data-id=ad>c</div>", "c"),
+    ],
+)
+def test_attributes_are_read_one_by_one(html, text):
+    assert html_text.extract(html) == text
+
+
 def test_archive_round_trip(spark, tmp_path):
     body = "<p>" + "é" * 100
     rows = [(5, "http://a/\r\nx%0A", body), (3, None, body), (4, "u", body), (1, "u", None), (2, "u", ""), (6, "u", "short"),
