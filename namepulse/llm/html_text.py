@@ -1,11 +1,11 @@
 """Main text of web pages, with site templates removed.
 
-The elements of every page are hashed from their subtrees (name, class, text, children). Spark
-counts for each host on how many different pages a subtree occurs; one that recurs on many of
-them is the site's template and is deleted before the text is taken. What pages call navigation,
-header, footer, sidebar, notice, advert, form or comments is left out by name and class, and
-where a page marks its article, only that is text, of which headings, paragraphs and quotations
-are never deleted as template.
+The elements of every page are hashed from their subtrees (name, class, text, children), those of
+navigation, headers and footers as well. Spark counts for each host on how many different pages a
+subtree occurs; one that recurs on many of them is the site's template and is deleted before the
+text is taken. In addition, what pages call navigation, header, footer, sidebar, notice, advert,
+form or comments is left out by name and class, and where a page marks its article, only that is
+text, of which headings, paragraphs and quotations are never deleted as template.
 
 Defined results: a null html is empty and gives no text; without tags all is text. A null url
 belongs to the host "". Copies of a page count once towards a template. Unclosed,
@@ -145,15 +145,18 @@ def parsed(html: str) -> Element:
     return root
 
 
-def hashed(element: Element, found: set[int], in_article: bool = False) -> bool:
-    """Set the hashes of the subtrees that have text; add those that may be template to found."""
-    stack: list[tuple[Element, bool, bool]] = [(element, in_article, False)]
+def hashed(element: Element, found: set[int]) -> bool:
+    """Set the hashes of the subtrees that have text; add those that may be template to found.
+
+    What names and classes drop is hashed too, but is no part of the hash of what is around it.
+    """
+    stack: list[tuple[Element, bool, bool]] = [(element, False, False)]
     while stack:
-        own, inside, ready = stack.pop()
-        within = inside or own.name in ("article", "main") or own.role == "main"
+        own, below, ready = stack.pop()
         if not ready:
-            stack.append((own, inside, True))
-            stack.extend((c, within, False) for c in own.children if isinstance(c, Element) and not c.dropped)
+            stack.append((own, below, True))
+            within = below or own.dropped
+            stack.extend((c, within, False) for c in own.children if isinstance(c, Element))
             continue
         digest, some = xxhash.xxh64(f"{own.name}{own.label}"), False
         for c in own.children:
@@ -161,15 +164,18 @@ def hashed(element: Element, found: set[int], in_article: bool = False) -> bool:
                 if text := " ".join(c.split()):
                     some = True
                     digest.update(text.encode("utf-8", "surrogatepass"))
-            elif c.hash:
+            elif c.hash and (below or own.dropped or not c.dropped):
                 some = True
                 digest.update(c.hash.to_bytes(8, "little", signed=True))
+            elif c.dropped:
+                continue
             digest.update(b"\0")
         if some:
             value = digest.intdigest()
             own.hash = (value - (1 << 64) if value >> 63 else value) or 1
-            whole = own.name in ("html", "body", "article", "main") or own.role == "main"
-            if not whole and not (inside and own.name in PROSE):
+            whole = own.name in ("html", "body") or own.is_article()
+            # Links and the like in what is dropped may be words of a sentence elsewhere.
+            if not whole and not (own.inside and own.name in PROSE) and not (below and own.name in INLINE):
                 found.add(own.hash)
     return bool(element.hash)
 
@@ -210,7 +216,9 @@ def text_of(root: Element, template: Callable[[int], bool]) -> str:
             end_block()
         elif isinstance(e, str):
             line.append(e)
-        elif e.dropped or (e.name == "header" and not marked) or template(e.hash):
+        elif template(e.hash) and not (e.inside and e.name in PROSE):
+            continue
+        elif e.dropped or (e.name == "header" and not marked):
             continue
         elif e.name == "br":
             line.append("\n")

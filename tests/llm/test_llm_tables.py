@@ -317,6 +317,26 @@ def test_attributes_are_read_one_by_one(html, text):
     assert html_text.extract(html) == text
 
 
+def test_what_names_drop_is_counted_too(spark):
+    def page(i):
+        frame = "<nav><ul><li><a>Home</a></ul></nav>", "<div class=ad>Buy</div>", "<footer>f</footer>"
+        return f"<body>{frame[0]}{frame[1]}<p>Text <a>Home</a> {i}</p>{frame[2]}<footer>{i}</footer></body>"
+
+    pages = pages_of(spark, [(i, "http://a.example/", page(i)) for i in range(8)])
+    (row,) = html_text.templates(pages).collect()
+    root = html_text.parsed(page(0))
+    html_text.hashed(root, set())
+    body = root.children[0]
+    dropped = {e.hash for e in body.children if e.name in ("nav", "div", "footer")}
+    assert len(dropped & set(row["templates"])) == 3
+    only_by_count = html_text.parsed(page(0))
+    html_text.hashed(only_by_count, set())
+    for e in only_by_count.children[0].children:
+        e.dropped = False
+    known = set(row["templates"])
+    assert "Buy" not in html_text.text_of(only_by_count, lambda h: h in known)
+
+
 def test_archive_round_trip(spark, tmp_path):
     body = "<p>" + "é" * 100
     rows = [(5, "http://a/\r\nx%0A", body), (3, None, body), (4, "u", body), (1, "u", None), (2, "u", ""), (6, "u", "short"),
