@@ -8,7 +8,7 @@ form or comments is left out by name and class, and where a page marks its artic
 text, of which headings, paragraphs and quotations are never deleted as template.
 
 Defined results: a null html is empty and gives no text; without tags all is text. A null url
-belongs to the host "". Copies of a page count once towards a template. Unclosed,
+belongs to the host "". Pages with the same main text count once towards a template. Unclosed,
 misnested and unknown elements are taken as they come. Repeated rows are extracted each.
 """
 
@@ -231,10 +231,14 @@ def text_of(root: Element, template: Callable[[int], bool]) -> str:
     return "\n\n".join(blocks)
 
 
-def subtrees(html: str) -> set[int]:
+def subtrees(html: str) -> tuple[int, list[int]]:
+    """A hash of the main text, templates included, and those of the subtrees that may be template."""
     found: set[int] = set()
-    hashed(parsed(html), found)
-    return found
+    root = parsed(html)
+    hashed(root, found)
+    text = text_of(root, lambda h: False).encode("utf-8", "surrogatepass")
+    value = xxhash.xxh64_intdigest(text)
+    return value - (1 << 64) if value >> 63 else value, sorted(found)
 
 
 def extract(html: str, templates: frozenset[int] | set[int] = frozenset()) -> str:
@@ -257,12 +261,14 @@ def templates(
     """(host, templates): hashes of the subtrees that recur on a host; hosts with none are left out."""
 
     def find(htmls: pa.Array) -> pa.Array:
-        return pa.array([sorted(subtrees(h)) for h in htmls.to_pylist()], pa.list_(pa.int64()))
+        pages_, found = zip(*map(subtrees, htmls.to_pylist())) if len(htmls) else ((), ())
+        columns = [pa.array(pages_, pa.int64()), pa.array(found, pa.list_(pa.int64()))]
+        return pa.StructArray.from_arrays(columns, ["page", "hashes"])
 
     rows = pages.select(host(url).alias("host"), F.coalesce(F.col(html), F.lit("")).alias("html"))
-    found = rows.select("host", once(find, "array<bigint>")("html").alias("hashes"))
-    # Pages with the same subtrees are copies; each counts once.
-    different = found.groupBy("host", F.xxhash64("hashes").alias("page")).agg(F.first("hashes").alias("hashes"))
+    found = rows.select("host", once(find, "struct<page:bigint,hashes:array<bigint>>")("html").alias("found"))
+    # Pages with the same main text are copies; each text counts once.
+    different = found.groupBy("host", "found.page").agg(F.min("found.hashes").alias("hashes"))
     different = kept(different, "subtrees")
     sizes = different.groupBy("host").agg(F.count("*").alias("pages"))
     counts = different.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").count()

@@ -317,6 +317,15 @@ def test_attributes_are_read_one_by_one(html, text):
     assert html_text.extract(html) == text
 
 
+def test_pages_that_differ_in_prose_only_are_different(spark):
+    block = "<div class=cta>Follow us for more</div>"
+    rows = [(i, "http://a.example/", f"<article><h1>Own {i}</h1><p>own</p>{block}</article>") for i in range(20)]
+    # One text in many frames is a copy each time.
+    rows += [(100 + i, "http://b.example/", f"<main><div>b</div></main><i>{i}</i>") for i in range(20)]
+    want = {i: f"Own {i}\n\nown" for i in range(20)} | {100 + i: "b" for i in range(20)}
+    assert {r["page_id"]: r["main_text"] for r in html_text.with_text(pages_of(spark, rows)).collect()} == want
+
+
 def test_what_names_drop_is_counted_too(spark):
     def page(i):
         frame = "<nav><ul><li><a>Home</a></ul></nav>", "<div class=ad>Buy</div>", "<footer>f</footer>"
