@@ -372,18 +372,22 @@ def increment_messages(spark, sf):
 # it wrote. The watermark ends at the newest event, so later expiries are still to come.
 
 
-def _changes_of(spark: SparkSession, events: DataFrame, name: str, folder: str) -> DataFrame:
-    configure(spark, streaming=True)
+def _run_changes(events: DataFrame, name: str, folder: str) -> None:
     changes = stream_rolling.rolling_changes(tables.event_mentions(events, name))
     lifecycle.run_available(
         lifecycle.file_writer(changes, f"{folder}/changes", f"{folder}/changes-state")
     )
+
+
+def _changes_of(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(schemas.COUNT_CHANGES).parquet(f"{folder}/changes")
 
 
 def _stream_changes(spark: SparkSession, sf: str, name: str, folder: str) -> DataFrame:
+    configure(spark, streaming=True)
     events = streams.table_stream(spark, f"{sf}/events.parquet", tables.EVENTS)
-    return _changes_of(spark, events, name, folder)
+    _run_changes(events, name, folder)
+    return _changes_of(spark, folder)
 
 
 # Ends of the slices, in epoch seconds, that tables are fed to a stream in.
@@ -400,10 +404,13 @@ def _sliced_changes(
 ) -> DataFrame:
     """Rolling counts of events that come in slices by their time of arrival."""
     events = tables.events(spark, sf).select("event_id", "ts", "user_id", "event_type")
-    streams.write_slices(events, f"{folder}/in", _slice_of(arrives), len(SLICES) + 1)
-    one = streams.file_options(1)
-    source = spark.readStream.schema(events.schema).options(**one).parquet(f"{folder}/in")
-    return _changes_of(spark, source, name, folder)
+    configure(spark, streaming=True)
+
+    def run() -> None:
+        _run_changes(spark.readStream.schema(events.schema).parquet(f"{folder}/in"), name, folder)
+
+    streams.write_slices(events, f"{folder}/in", _slice_of(arrives), len(SLICES) + 1, run)
+    return _changes_of(spark, folder)
 
 
 def stream_record_mentions(spark, sf):
@@ -449,11 +456,14 @@ def _live_slices(spark: SparkSession, sf: str) -> str:
     """Snapshots and deltas of a stream of changes in slices; the folder they are in."""
     folder = storage.fresh_dir(spark, "topk")
     changes = rolling.rolling_changes(_users(spark, sf))
-    streams.write_slices(changes, f"{folder}/in", _slice_of(F.col("event_sec")), len(SLICES) + 1)
-    source = streams.change_stream(spark, f"{folder}/in", options=streams.file_options(1))
-    lifecycle.run_available(
-        topk.live_top_k(source, f"{folder}/topk", f"{folder}/topk-state", K)
-    )
+
+    def run() -> None:
+        source = streams.change_stream(spark, f"{folder}/in")
+        lifecycle.run_available(
+            topk.live_top_k(source, f"{folder}/topk", f"{folder}/topk-state", K)
+        )
+
+    streams.write_slices(changes, f"{folder}/in", _slice_of(F.col("event_sec")), len(SLICES) + 1, run)
     return f"{folder}/topk"
 
 
@@ -475,18 +485,20 @@ def stream_coalesced_updates(spark, sf):
     """The newest count of each name and day, of changes that come in slices."""
     folder = storage.fresh_dir(spark, "coalesced")
     changes = rolling.rolling_changes(_types(spark, sf))
-    streams.write_slices(changes, f"{folder}/in", _slice_of(F.col("event_sec")), len(SLICES) + 1)
-    source = streams.change_stream(spark, f"{folder}/in", options=streams.file_options(1))
-    latest = changelog.coalesced_updates(source, 86_400)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         storage.publish(batch, f"{folder}/out", batch_id)
 
-    lifecycle.run_available(
-        latest.writeStream.outputMode("update")
-        .option("checkpointLocation", f"{folder}/state")
-        .foreachBatch(write)
-    )
+    def run() -> None:
+        source = streams.change_stream(spark, f"{folder}/in")
+        latest = changelog.coalesced_updates(source, 86_400)
+        lifecycle.run_available(
+            latest.writeStream.outputMode("update")
+            .option("checkpointLocation", f"{folder}/state")
+            .foreachBatch(write)
+        )
+
+    streams.write_slices(changes, f"{folder}/in", _slice_of(F.col("event_sec")), len(SLICES) + 1, run)
     versions = [storage.version_path(f"{folder}/out", v) for v in storage.versions(spark, f"{folder}/out")]
     number = F.regexp_extract(F.col("_metadata.file_path"), r"/b(\d+)/[^/]*$", 1).cast("bigint")
     updates = spark.read.parquet(*versions).withColumn("batch_id", number)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -123,15 +123,25 @@ def segment_stream(
     )
 
 
-def write_slices(df: DataFrame, path: str, slice_of: Column, slices: int) -> None:
-    """A table as files of a folder, one after the other: `slice_of` says which, from 0.
+def write_slices(
+    df: DataFrame, path: str, slice_of: Column, slices: int, then: Callable[[], None] | None = None
+) -> None:
+    """A table as files of a folder, one slice after the other: `slice_of` says which, from 0.
 
-    A stream of the folder with one file per trigger gets them in this order.
+    `then` is called after each slice, as with a stream of the folder that processes what is
+    there on one checkpoint; a slice is as many files as its rows came in. Without it a slice
+    is one file, written by one task, and a stream with one file per trigger gets them in this
+    order: for small tables only. df is computed once.
     """
-    numbered = df.withColumn("_slice", slice_of)
+    staged = f"{path.rstrip('/')}-staged"
+    df.withColumn("_slice", slice_of).write.partitionBy("_slice").parquet(staged)
+    schema = T.StructType([*df.schema.fields, T.StructField("_slice", T.IntegerType())])
+    numbered = df.sparkSession.read.schema(schema).parquet(staged)
     for k in range(slices):
         own = numbered.where(F.col("_slice") == k).drop("_slice")
-        own.coalesce(1).write.mode("append").parquet(path)
+        (own if then else own.coalesce(1)).write.mode("append").parquet(path)
+        if then:
+            then()
 
 
 def table_stream(

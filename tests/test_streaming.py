@@ -486,6 +486,30 @@ def test_files_per_trigger_limit_a_batch(spark):
     assert seen == [[0, 3, 6], [1, 4, 7], [2, 5, 8]]
 
 
+def test_slices_are_many_files_and_one_batch_each(spark):
+    folder = folder_of(spark)
+    seen, files = [], []
+
+    def run():
+        source = spark.readStream.schema("id long").parquet(f"{folder}/in")
+        writer = source.writeStream.option("checkpointLocation", f"{folder}/state").foreachBatch(
+            lambda batch, k: seen.append((k, sorted(r.id for r in batch.collect())))
+        )
+        lifecycle.run_available(writer)
+        files.append(len(spark.read.parquet(f"{folder}/in").inputFiles()))
+
+    df = spark.range(0, 600, 1, 4)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        streams.write_slices(df, f"{folder}/in", (F.col("id") % 3).cast("int"), 3, run)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert seen == [(k, list(range(k, 600, 3))) for k in range(3)]
+    assert files[0] > 1 and files == sorted(set(files))
+
+
 def test_topics_need_the_connector(spark):
     """Without it the writers say so; with it they would send these rows."""
     rows = stream_sinks.change_messages(changes_of(spark, [("x", 3)]))
