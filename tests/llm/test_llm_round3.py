@@ -1,0 +1,356 @@
+"""Conversation repair, whitening and URL filters, against plain Python."""
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+
+import duckdb
+import oracle
+from namepulse.llm import registry, repair, url_filters, whitening
+
+# --- conversation repair -----------------------------------------------------------
+
+
+def brute_edits(rows):
+    """(cost, letters, lines) of rows (role, text), every state with whole strings, no pruning."""
+    seen, states = set(), {0: (0, "", [])}
+    following = {0: {"s": 1, "u": 2}, 1: {"u": 2}, 2: {"a": 3}, 3: {"u": 2}}
+    made = {0: (2, "user"), 1: (2, "user"), 2: (3, "assistant"), 3: (2, "user")}
+
+    def least(found):
+        out = {}
+        for q, c, s, lines in found:
+            if q not in out or (c, s) < out[q][:2]:
+                out[q] = (c, s, lines)
+        return out
+
+    def inserted(now):
+        for _ in range(3):
+            more = [(made[q][0], c + 3, s + "I", [*lines, f"{made[q][1]}:"]) for q, (c, s, lines) in now.items()]
+            now = least([(q, *v) for q, v in now.items()] + more)
+        return now
+
+    states = inserted(states)
+    for role, text in rows:
+        words = text.strip(" \t\n\r\x0b\x0c")
+        gone = not words or (role, text) in seen
+        seen.add((role, text))
+        late = 3 if not gone and words[-1] not in ".!?" else 0
+        found = []
+        for q, (c, s, lines) in states.items():
+            found.append((q, c + 4, s + "D", lines))
+            if not gone:
+                if role[:1] in following[q]:
+                    found.append((following[q][role[:1]], c + late, s + "K", [*lines, f"{role}:{text}"]))
+                to, name = made[q]
+                found.append((to, c + 3 + late, s + "R", [*lines, f"{name}:{text}"]))
+        states = inserted(least(found))
+    return min((states[q] for q in (0, 3) if q in states), key=lambda v: v[:2])
+
+
+def brute_audit(rows):
+    """rows: (turn, role, text), unordered."""
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode()))
+    seen, blank, duplicate, truncated = set(), 0, 0, 0
+    for _, role, text in rows:
+        words = text.strip(" \t\n\r\x0b\x0c")
+        if not words:
+            blank += 1
+        elif (role, text) in seen:
+            duplicate += 1
+        else:
+            truncated += words[-1] not in ".!?"
+        seen.add((role, text))
+    illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(rows, rows[1:]))
+    turns = {t for t, _, _ in rows if t is not None}
+    gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+    cost, audit, lines = brute_edits([r[1:] for r in rows])
+    digest = hashlib.sha256("\n".join(lines).encode()).hexdigest()
+    return gaps, blank, duplicate, truncated, illegal, cost, audit, digest
+
+
+ROLE = st.sampled_from(["user", "assistant", "system", "tool", "", "u"])
+SAID = st.sampled_from(["Yes.", "no", "", " \n", "Why?", "Go!\t", "é", "ok. then"])
+
+
+@given(st.lists(st.tuples(ROLE, SAID), max_size=14))
+@settings(max_examples=400, deadline=None)
+def test_survivors_find_the_least_of_the_cheapest(rows):
+    path, facts, letters, turns = repair.Survivors(), repair.Facts(), [], []
+    for role, text in rows:
+        gone, late = facts.row(0, role.encode(), text.encode(), 1, None)
+        path.delete(1) if gone else path.row(role.encode(), text.encode(), late)
+    cost = path.finish()
+    for some, turn in path.take():
+        letters.append(some)
+        turns += [turn] if turn else []
+    want = brute_edits(rows)
+    assert (cost, "".join(letters)) == want[:2]
+    assert [(r + b":" + t).decode() for r, t in turns] == want[2]
+
+
+def test_undecided_edits_stay_few():
+    path, most, rng = repair.Survivors(), 0, random.Random(3)
+    for i in range(20_000):
+        path.row(rng.choice([b"user", b"assistant", b"system"]), b"%d." % i, False)
+        path.take()
+        most = max(most, max(len(s) for _, s in path.pending().values()))
+    assert most < 60
+
+
+def conversations(seed, n=60, longest=25):
+    rng = random.Random(seed)
+    out = []
+    for c in range(n):
+        for turn in range(rng.randint(1, longest)):
+            role = rng.choice(["user", "assistant", "user", "assistant", "system", "tool", None])
+            text = rng.choice(["Yes.", "No", None, "", "Why?", f"T {rng.random()}.", f"cut {rng.random()}"])
+            t = rng.choice([turn, turn, turn, turn + 2, None, 5])
+            out.append((c if c else None, t, role, text))
+            if rng.random() < 0.1:
+                out.append(out[-1])
+    return out
+
+
+def brute_damaged(rows):
+    found = {}
+    for conv, turn, role, text in rows:
+        own = found.setdefault(conv, [])
+        key = f"{' ' if conv is None else conv}:{' ' if turn is None else turn}"
+        fault, role, text = zlib.crc32(key.encode()) % 20, role or " ", " " if text is None else text
+        if fault == 1:
+            text = ""
+        if fault == 2:
+            text = "".join(c for c in text if c not in ".!?")
+        role = "user" if fault == 4 else role
+        own += [(turn, role, text)] * (0 if fault == 0 else 2 if fault == 3 else 1)
+    return found
+
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+@pytest.mark.parametrize("run_rows", [None, 4, 1])
+def test_audits(spark, run_rows):
+    """Also with conversations cut into runs, one row a run at the least."""
+    rows = conversations(7)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    found = repair.audited(repair.damaged(df), "times", run_rows).collect()
+    want = {c: brute_audit(own) for c, own in brute_damaged(rows).items()}
+    assert len(found) == len(want)
+    assert {r["conv_id"]: tuple(r)[1:] for r in found} == want
+
+
+def test_repaired_turns_are_whole(spark, monkeypatch):
+    monkeypatch.setattr(repair, "PIECE_BYTES", 200)
+    rows = [(1, i, "user" if i % 2 == 0 else "assistant", f"{'é' * 50} {i}.") for i in range(40)]
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("audit", F.lit("x"))
+    pieces = sorted(repair.repaired(df).collect(), key=lambda p: (p["run"], p["piece"]))
+    assert [(t["role"], t["text"]) for p in pieces for t in p["turns"]] == [r[2:] for r in rows]
+    assert "".join(p["audit"] for p in pieces) == "K" * 40
+    assert repair.audited(df).first()["audit"] == "K" * 40
+
+
+@pytest.mark.parametrize("run_rows", [None, 2])
+def test_a_conversation_of_equal_rows(spark, run_rows):
+    df = spark.range(5000).selectExpr("1L AS conv_id", "3L AS turn", "'user' AS role", "'Yes.' AS text")
+    row = repair.audited(df, run_rows=run_rows).first()
+    assert (row["duplicate"], row["cost"]) == (4999, 4999 * 4 + 3)
+    assert row["audit"] == "K" + "D" * 4999 + "I"
+
+
+def test_repair_of_nothing(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert repair.audited(repair.damaged(empty), "times").count() == 0
+    assert repair.repaired(empty).count() == 0
+    gone = spark.createDataFrame([(4, 1, "user", "Hi.", 0)], SCHEMA + ", times int")
+    row = repair.audited(gone, "times").first()
+    assert tuple(row) == (4, 0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())
+
+
+def test_repair_sql_with_nulls(spark, tmp_path):
+    rows = conversations(9, 40)
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(str(tmp_path / "conversations.parquet"))
+    found = registry.op12_conversation_repair(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    assert oracle.difference(found, con, registry.ORACLE["op12_conversation_repair"]) is None
+
+
+# --- whitening ---------------------------------------------------------------------
+
+LONG = st.one_of(st.integers(-300, 300), st.integers(-(2**63), 2**63 - 1))
+
+
+@given(st.integers(1, 4).flatmap(lambda d: st.lists(st.lists(LONG, min_size=d, max_size=d), min_size=1, max_size=70)))
+@settings(max_examples=150, deadline=None)
+def test_scatter_is_exact(rows):
+    sums, cross = whitening.scatter(np.array(rows, np.int64))
+    dims = range(len(rows[0]))
+    assert sums == [sum(r[i] for r in rows) for i in dims]
+    assert all(cross[i][j] == sum(r[i] * r[j] for r in rows) for i in dims for j in dims if i <= j)
+
+
+def test_limbs_add_up():
+    for v in (0, 1, -1, 2**32, -(2**70) + 5, 10**40):
+        assert sum(limb << (whitening.LIMB * k) for k, limb in whitening._limbs(v)) == v
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<float>, whitened string, n int")
+
+
+def test_whitening_against_numpy(spark):
+    rng = np.random.default_rng(5)
+    data = (rng.normal(size=(400, 9)) @ rng.normal(size=(9, 9))).astype(np.float32)
+    rows = [(i, v.tolist(), "mine", 1) for i, v in enumerate(data)]
+    rows += [(1000 + i, data[0].tolist(), None, None) for i in range(300)]  # a third are copies
+    rows += [(7, None, "", 0), (8, [float("nan")] * 9, "", 0), (9, [float("inf")] + [0.0] * 8, "", 0)]
+    rows += [(10, [None] + [0.0] * 8, "", 0)]
+    df = vectors(spark, rows).repartition(6)
+    model, error = whitening.fit(df)
+    found, name = whitening.whitened(df, model)
+    assert name == "_whitened" and found.columns[:4] == df.columns
+    got = {r["vec_id"]: r[name] for r in found.collect() if r["vec_id"] >= 11 or r["whitened"] == "mine"}
+    assert len(got) == 700 and found.count() == 700
+
+    x = np.floor(256 * data.astype(float)).astype(int)
+    once = np.unique(x, axis=0)
+    n, total = len(once), once.sum(axis=0)
+    values, basis = np.linalg.eigh(np.cov(once.T, bias=True))
+    order = np.argsort(-values)[:4]
+    want = (x - total / n) @ basis[:, order] / np.sqrt(values[order])
+    have = np.array([got[i]["components"] for i in range(400)])
+    assert np.allclose(np.abs(have), np.abs(want), atol=1e-9)
+    assert (np.sign(have * want) == np.sign(have[0] * want[0])).all()
+    assert [got[i]["deviation"] for i in range(400)] == ((n * x - total) ** 2).sum(axis=1).tolist()
+    assert got[1005] == got[0] and model.n == n and error < 1e-9
+    assert np.allclose(model.explained, values[order] / values.sum(), rtol=1e-12)
+
+
+def test_whitening_of_little(spark):
+    model, error = whitening.fit(vectors(spark, []))
+    assert (model.n, error) == (0, 0.0)
+    assert whitening.whitened(vectors(spark, []), model)[0].count() == 0
+    one = vectors(spark, [(1, [0.5, 0.25], "", 0)] * 3)
+    model, _ = whitening.fit(one)
+    assert model.n == 1 and len(model.values) == 0
+    assert [r["_whitened"]["deviation"] for r in whitening.whitened(one, model)[0].collect()] == [0] * 3
+    empty = vectors(spark, [(1, [], "", 0), (2, None, "", 0)])
+    model, _ = whitening.fit(empty)
+    assert whitening.whitened(empty, model)[0].count() == 1
+    ragged = vectors(spark, [(1, [1.0], "", 0), (2, [1.0, 2.0], "", 0), (3, [1.0, 0.0], "", 0)])
+    model, _ = whitening.fit(ragged)
+    assert model.n == 2 and model.sums == (512, 512)
+    far = vectors(spark, [(1, [3e38], "", 0), (2, [-3e38], "", 0)])
+    model, _ = whitening.fit(far)
+    assert model.sums == (-1,) and whitening.whitened(far, model)[0].first()["_whitened"]["deviation"] is None
+
+
+def test_whitening_query(spark):
+    rows = registry.op11_embedding_whitening(spark, "/root/testdata/sf0.001").collect()
+    ids = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").count()
+    assert len(rows) == 4 * ids and {r["component"] for r in rows} == {1, 2, 3, 4}
+    assert rows[0]["identity_error"] < 1e-4
+
+
+# --- URL filters -------------------------------------------------------------------
+
+
+def urls(spark, rows):
+    return spark.createDataFrame(rows, "page_id long, url string, host string, verdict string")
+
+
+RULES = registry.URL_RULES
+
+
+JUDGED = [
+    ("http://A.Example.NET/x", "a.example.net", "/x", "net/", "block"),
+    ("http://example.net/en/1", "example.net", "/en/1", "example.net/en/", "allow"),
+    ("http://badexample.net/en/1", "badexample.net", "/en/1", "net/", "block"),
+    ("http://x.net", "x.net", "", None, "allow"),
+    ("http://y.net?/y", "y.net", "", None, "allow"),
+    ("http://x.org/fr/#a://b/c", "x.org", "/fr/", "org/fr/", "allow"),
+    ("http://É.example.com/de/", "É.example.com", "/de/", "example.com/de/", "block"),
+    ("x.net/en", "", "", None, "allow"),
+    ("", "", "", None, "allow"),
+    (None, "", "", None, "allow"),
+    ("a://b://c/d", "b:", "//c/d", None, "allow"),
+    ("://net/", "net", "/", "net/", "block"),
+]
+
+
+def test_rules(spark):
+    df = urls(spark, [(i, j[0], "old", "old") for i, j in enumerate(JUDGED) for _ in range(2)])
+    found, name = url_filters.judged(df, RULES)
+    rows = found.collect()
+    assert len(rows) == 2 * len(JUDGED) and name == "url_filter"
+    for r in rows:
+        assert tuple(r)[:4] == (r["page_id"], JUDGED[r["page_id"]][0], "old", "old")
+        assert tuple(r[name]) == JUDGED[r["page_id"]][1:]
+
+
+def fitted(spark, paths):
+    """paths: (path, pages, blocked)"""
+    rows = [(f"http://h.com{p}", b) for p, n, b in paths for _ in range(n)]
+    templates, _ = url_filters.fit(spark.createDataFrame(rows, "url string, blocked boolean"))
+    return {r["template"]: r for r in templates.collect()}
+
+
+def test_templates(spark):
+    paths = [(f"/shop/{i}", 1, True) for i in range(90)]  # ids become a wildcard; mostly blocked
+    paths += [(f"/news/{i}", 1, False) for i in range(90)]  # unlike its siblings: its own branch
+    paths += [(f"/blog/{i}", 1, None) for i in range(60)]  # without labels: its own branch
+    paths += [(f"/{i}/a", 1, None) for i in range(20)]  # rare ones, whose children are all the same
+    found = fitted(spark, paths)
+    assert set(found) == {"/shop/*", "/news/*", "/blog/*", "/*/a"}
+    assert found["/shop/*"]["rejected"] and not found["/news/*"]["rejected"]
+    assert found["/blog/*"]["purity"] == url_filters.PRIOR and not found["/blog/*"]["rejected"]
+
+
+def test_similar_branches_merge(spark):
+    paths = [(f"/{c}/{i}", 1, True) for c in "ab" for i in range(30)]
+    paths += [("/c/d/e", 5, None), ("/x", 40, False)]
+    found = fitted(spark, paths)
+    assert "/b/*" not in found and "/x" in found
+    assert found["/a/*"]["pages"] == 60 and found["/a/*"]["rejected"]
+    rare = [(f"/{c}/1", 1, True) for c in range(60)]  # what is like the rare ones becomes `*`
+    found = fitted(spark, [*rare, *paths])
+    assert found["/*/*"]["pages"] == 120 and "/a/*" not in found
+
+
+def test_deep_and_odd_paths(spark):
+    deep = "/a" * 50
+    found = fitted(spark, [(deep, 4, True), ("/*/x", 9, None), ("", 2, None), ("//", 3, None)])
+    assert found["/a" * 6 + "/**"]["pages"] == 4 and found[""]["pages"] == 5
+    assert found["/*/x"]["pages"] == 9
+
+
+def test_urls_of_nothing(spark):
+    found, _ = url_filters.judged(urls(spark, []), RULES)
+    assert found.count() == 0
+
+
+def test_url_filters_stay_in_the_engine(spark):
+    """No Python in the plan, as asked of operators marked native."""
+    found = registry.op13_url_filters(spark, "/root/testdata/sf0.001")
+    plan = found._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_url_sql_with_odd_urls(spark, tmp_path):
+    rng = random.Random(1)
+    rows = [(i, f"http://h{rng.randint(0, 2)}.{rng.choice(['example.com', 'x.org', 'example.net'])}/"
+             f"{rng.choice(['de', 'fr', 'en', 'a', 'b', str(i)])}/{rng.choice(['p', str(i)])}{'/q' * rng.randint(0, 8)}")
+            for i in range(600)]
+    rows += [(1, None), (1, ""), (2, "http://x.org"), (2, "http://x.org/fr/")]
+    spark.createDataFrame(rows, "page_id long, url string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    found = registry.op13_url_filters(spark, str(tmp_path))
+    assert oracle.difference(found, con, registry.ORACLE["op13_url_filters"]) is None
