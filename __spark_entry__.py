@@ -22,7 +22,7 @@ from namepulse.plans import daily as daily_plans  # noqa: E402
 from namepulse.plans.session import bytes_below, configure  # noqa: E402
 from namepulse.sinks import daily as daily_sinks, streams as stream_sinks  # noqa: E402
 from namepulse.sources import records, segments, streams, tables  # noqa: E402
-from namepulse.streaming import lifecycle, storage, topk  # noqa: E402
+from namepulse.streaming import intake, lifecycle, storage, topk  # noqa: E402
 from namepulse.streaming import rolling as stream_rolling  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -428,6 +428,43 @@ def stream_record_mentions(spark, sf):
     return mentions.groupBy("name").agg(F.count(F.lit(1)).alias("count"))
 
 
+def stream_published_log(spark, sf):
+    """How often a stream of a published log gives each line, and how many names it has.
+
+    The lines are published in three batches. The second loses its marker, the stream runs,
+    and the batch is published again under new file names, after the stream and then once more
+    when the stream has read it.
+    """
+    folder = storage.fresh_dir(spark, "published")
+    root = f"{folder}/log"
+    lines = _lines(spark, sf).withColumn("offset", F.lit(None).cast("bigint"))
+    part = F.pmod(F.xxhash64("key"), F.lit(3))
+
+    def publish(batch_id: int) -> None:
+        storage.publish(lines.where(part == batch_id), root, batch_id)
+
+    def run() -> None:
+        field = F.split_part("value", F.lit("\t"), F.lit(schemas.NAMES_FIELD + 1))
+        names = F.size(text.name_list(field, exclude=())).cast("bigint")
+        counted = intake.log_stream(spark, root).select("key", names.alias("names"))
+        lifecycle.run_available(lifecycle.file_writer(counted, f"{folder}/out", f"{folder}/state"))
+
+    publish(0)
+    publish(1)
+    storage.unmark(spark, root, 1)
+    run()
+    publish(2)
+    publish(1)
+    run()
+    storage.unmark(spark, root, 1)
+    publish(1)
+    run()
+    seen = spark.read.schema("key string, names long").parquet(f"{folder}/out")
+    return seen.groupBy("key").agg(
+        F.count(F.lit(1)).alias("copies"), F.sum("names").alias("names")
+    )
+
+
 def stream_rolling_changelog(spark, sf):
     folder = storage.fresh_dir(spark, "rolling")
     in_order = times.whole_seconds("ts")
@@ -600,6 +637,7 @@ QUERIES: tuple[Query, ...] = (
     running_increments,
     increment_messages,
     stream_record_mentions,
+    stream_published_log,
     stream_rolling_changelog,
     stream_out_of_order_histogram,
     stream_topk_snapshot,
@@ -860,6 +898,11 @@ ORACLE: dict[str, str] = {
     "stream_record_mentions": f"""WITH {_NAMES}
         SELECT name, count(*) AS "count" FROM names WHERE NOT contains(name, 'Category')
         GROUP BY name""",
+    "stream_published_log": """SELECT
+          strftime(DATE '2024-01-01' + CAST(doc_id % 30 AS INTEGER), '%Y%m%d000000') || '-' || doc_id AS key,
+          CAST(1 AS BIGINT) AS copies,
+          CAST(len(regexp_extract_all(text, '\\p{Lu}[\\p{Ll}\\p{M}]+')) AS BIGINT) AS names
+        FROM documents""",
     "stream_rolling_changelog": f"""WITH {_CHANGES}
         SELECT name, event_sec, op, "count" FROM changes
         WHERE op = 'add' OR event_sec <= (SELECT max({_SEC}) FROM events)""",

@@ -98,6 +98,19 @@ def publish(df: DataFrame, root: str, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(target)
 
 
+def unmark(spark: SparkSession, root: str, batch_id: int) -> None:
+    """Take a version's marker away: it does not count until it is published again."""
+    fs, at, hadoop = _fs(spark, version_path(root, batch_id))
+    fs.delete(hadoop.Path(at, "_SUCCESS"), False)
+
+
+def read_versions(spark: SparkSession, root: str, schema, after: int = -1) -> DataFrame:
+    """The rows of the complete versions after a batch."""
+    paths = [version_path(root, i) for i in versions(spark, root, after)]
+    reader = spark.read.schema(schema)
+    return reader.parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
 def drop_versions(spark: SparkSession, root: str, keep_seconds: float) -> None:
     """Delete versions written more than `keep_seconds` before the newest.
 

@@ -1,0 +1,121 @@
+"""Published logs as streams: every complete version once."""
+
+from datetime import datetime, timedelta
+
+from namepulse import schemas
+from namepulse.sources import streams
+from namepulse.streaming import intake, lifecycle, published, rolling, storage
+from test_segments import START, write_segment
+
+AT = datetime(2015, 2, 18, 23, 0, 0, 250_000)
+
+
+def lines(spark, keys):
+    return spark.createDataFrame([(k, f"line {k}", AT, i) for i, k in enumerate(keys)], schemas.RECORD_STREAM)
+
+
+def run(spark, folder, starting="earliest"):
+    source = intake.log_stream(spark, f"{folder}/log", starting)
+    lifecycle.run_available(lifecycle.file_writer(source, f"{folder}/out", f"{folder}/state"))
+
+
+def read_keys(spark, folder):
+    return sorted(r.key for r in spark.read.schema(schemas.RECORD_STREAM).parquet(f"{folder}/out").collect())
+
+
+def test_a_batch_that_runs_again_is_read_once(spark):
+    folder = storage.fresh_dir(spark, "published")
+    root = f"{folder}/log"
+    storage.publish(lines(spark, ["k0"]), root, 0)
+    storage.publish(lines(spark, ["k1"]), root, 1)
+    storage.unmark(spark, root, 1)
+    run(spark, folder)
+    assert read_keys(spark, folder) == ["k0"]
+    storage.publish(lines(spark, ["k1"]), root, 1)
+    run(spark, folder)
+    assert read_keys(spark, folder) == ["k0", "k1"]
+    storage.unmark(spark, root, 1)  # also when it was read before
+    storage.publish(lines(spark, ["k1"]), root, 1)
+    run(spark, folder)
+    assert read_keys(spark, folder) == ["k0", "k1"]
+    assert [r.key for r in intake.read_log(spark, root).orderBy("key").collect()] == ["k0", "k1"]
+
+
+def test_an_unfinished_batch_holds_back_later_ones(spark):
+    folder = storage.fresh_dir(spark, "published")
+    root = f"{folder}/log"
+    for i in range(4):
+        storage.publish(lines(spark, [f"k{i}"]), root, i)
+    storage.unmark(spark, root, 2)
+    run(spark, folder)
+    assert read_keys(spark, folder) == ["k0", "k1"]
+    storage.publish(lines(spark, ["k2"]), root, 2)
+    run(spark, folder)
+    run(spark, folder)
+    assert read_keys(spark, folder) == ["k0", "k1", "k2", "k3"]
+
+
+def test_values_and_times_are_whole(spark):
+    folder = storage.fresh_dir(spark, "published")
+    given = lines(spark, ["a", "é", None])
+    storage.publish(given, f"{folder}/log", 0)
+    storage.publish(lines(spark, []), f"{folder}/log", 1)
+    run(spark, folder)
+    found = spark.read.schema(schemas.RECORD_STREAM).parquet(f"{folder}/out")
+    assert sorted(map(str, found.collect())) == sorted(map(str, given.collect()))
+
+
+def test_a_stream_may_begin_with_what_comes(spark):
+    folder = storage.fresh_dir(spark, "published")
+    storage.publish(lines(spark, ["old"]), f"{folder}/log", 0)
+    source = intake.log_stream(spark, f"{folder}/log", "latest")
+    query = lifecycle.file_writer(source, f"{folder}/out", f"{folder}/state").start()
+    query.processAllAvailable()
+    storage.publish(lines(spark, ["new"]), f"{folder}/log", 1)
+    query.processAllAvailable()
+    assert lifecycle.stop(query)
+    assert read_keys(spark, folder) == ["new"]
+
+
+def test_a_log_that_is_not_there_yet(spark):
+    folder = storage.fresh_dir(spark, "published")
+    run(spark, folder)
+    assert intake.read_log(spark, f"{folder}/log").count() == 0
+    storage.publish(lines(spark, ["k"]), f"{folder}/log", 0)
+    run(spark, folder)
+    assert read_keys(spark, folder) == ["k"]
+
+
+def test_offsets_look_at_each_version_once(spark):
+    root = storage.fresh_dir(spark, "published")
+    for i in (0, 1, 4):
+        storage.publish(lines(spark, [f"k{i}"]), root, i)
+    reader = published.PublishedReader(root, schemas.RECORD_STREAM, False)
+    assert reader.initialOffset() == {"version": -1} and reader.latestOffset() == {"version": 4}
+    storage.unmark(spark, root, 0)
+    assert reader.latestOffset() == {"version": 4}
+    files = reader.partitions({"version": 0}, {"version": 4})
+    assert {p.value.split("/")[-2] for p in files} == {"b000000000001", "b000000000004"}
+
+
+def test_counts_of_a_retried_intake(spark, tmp_path):
+    """From segment files to rolling counts, with an intake batch that fails before its marker."""
+    folder, segment_dir = storage.fresh_dir(spark, "published"), tmp_path / "segment"
+    segment_dir.mkdir()
+    write_segment(segment_dir, START, 12)
+    files = streams.segment_stream(spark, str(segment_dir), streams.file_options(1, "*.gkg.csv"))
+    lifecycle.run_available(intake.intake(files, f"{folder}/log", f"{folder}/log-state"))
+
+    def count():
+        source = intake.log_stream(spark, f"{folder}/log")
+        changes = rolling.rolling_changes(rolling.record_mentions(source))
+        lifecycle.run_available(lifecycle.file_writer(changes, f"{folder}/changes", f"{folder}/changes-state"))
+        found = spark.read.schema(schemas.COUNT_CHANGES).parquet(f"{folder}/changes")
+        return found.where("op = 'add'").selectExpr("sum(count - prev_count) AS n").first()["n"]
+
+    whole = count()
+    storage.unmark(spark, f"{folder}/log", 0)
+    storage.publish(intake.read_log(spark, f"{folder}/log").limit(0), f"{folder}/log", 0)
+    write_segment(segment_dir, START + timedelta(minutes=15), 12)
+    lifecycle.run_available(intake.intake(files, f"{folder}/log", f"{folder}/log-state"))
+    assert count() == 2 * whole > 0
