@@ -40,8 +40,8 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col(f"{s}.n_dup_lines").alias("n_dup_lines"),
         F.col(f"{s}.n_repeat_words").alias("n_repeat_words"),
         "base_failed",
-        "rule",
         "kept",
+        "rule",
     )
 
 
@@ -132,11 +132,13 @@ def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scanned(docs, secrets.fit(docs))
     by_kind = [F.col("secrets")[k] for k in secrets.KINDS]
     base = secrets.span_list(F.concat(*by_kind[:3]))
+    counts = [F.size(c).cast("bigint").alias(f"n_{k}") for k, c in zip(secrets.KINDS, by_kind)]
     return found.select(
         "doc_id",
-        *[F.size(c).cast("bigint").alias(f"n_{k}") for k, c in zip(secrets.KINDS, by_kind)],
+        *counts[:3],
         F.sha2(base, 256).alias("base_sha256"),
         secrets.span_list(F.concat(*by_kind)).alias("spans"),
+        *counts[3:],
     )
 
 
