@@ -69,15 +69,21 @@ def _grown(array: np.ndarray, size: int) -> np.ndarray:
 
 
 class UnitEncoder:
-    """Ids of texts, by way of a bounded memory of units."""
+    """Ids of texts, by way of a bounded memory of units.
 
-    def __init__(self, path: str, cut: str, max_units: int = MAX_UNITS):
+    With `special`, the strings of the vocabulary's special tokens get their ids wherever they
+    stand, as the library does it; else they are ordinary text.
+    """
+
+    def __init__(self, path: str, cut: str, max_units: int = MAX_UNITS, special: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         os.environ.setdefault("RAYON_NUM_THREADS", "1")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text here
+        self.tokenizer.encode_special_tokens = not special
+        self.special = self._special_strings() if special else []
+        self.at_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         self.cut = CUTS[cut]
         self.max_units = max_units
         self.mark = self.tokenizer.encode(f" {_MARK}", add_special_tokens=False).ids
@@ -85,6 +91,20 @@ class UnitEncoder:
         self.starts = np.zeros(1, np.int64)  # of each unit's ids in flat, and the end of the last
         self.flat = np.zeros(0, np.uint32)
 
+    def _special_strings(self) -> list[str]:
+        """The strings that the library takes out of a text first, the longest ones first."""
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        if any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added):
+            raise ValueError("special tokens that depend on what is around them")
+        return sorted((t.content for t in added if t.content), key=len, reverse=True)
+
+    def _units(self, text: str) -> list[str]:
+        """Units of a text; a special token's string is one, and the text ends and begins there."""
+        if not any(s in text for s in self.special):
+            return self.cut(text)
+        parts = self.at_special.split(text)  # text and special strings by turns
+        return list(chain.from_iterable([p] if k % 2 else self.cut(p) for k, p in enumerate(parts)))
+
     def _encoded(self, units: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """(the units in another order, number of ids of each, all their ids)."""
         plain, odd = [], []
@@ -146,7 +166,7 @@ class UnitEncoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, place where each text's ids end)."""
-        per_text = [self.cut(t) for t in texts]
+        per_text = [self._units(t) for t in texts]
         units = list(chain.from_iterable(per_text))
         which = np.fromiter(map(self.number.get, units, repeat(-1)), np.int64, len(units))
         missing = np.flatnonzero(which < 0)
@@ -167,9 +187,12 @@ _ENCODERS: dict[tuple[str, str], UnitEncoder] = {}
 
 
 def encoder(path: str, cut: str, max_units: int = MAX_UNITS) -> UnitEncoder:
-    """The Python worker's encoder for a vocabulary file; it lives as long as the worker."""
+    """The Python worker's encoder for a vocabulary file; it lives as long as the worker.
+
+    It gives the library's own ids, those of special tokens included.
+    """
     if (path, cut) not in _ENCODERS:
-        _ENCODERS[path, cut] = UnitEncoder(path, cut, max_units)
+        _ENCODERS[path, cut] = UnitEncoder(path, cut, max_units, special=True)
     return _ENCODERS[path, cut]
 
 
