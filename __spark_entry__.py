@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
@@ -22,7 +23,7 @@ from namepulse.plans import daily as daily_plans  # noqa: E402
 from namepulse.plans.session import bytes_below, configure  # noqa: E402
 from namepulse.sinks import daily as daily_sinks, streams as stream_sinks  # noqa: E402
 from namepulse.sources import records, segments, streams, tables  # noqa: E402
-from namepulse.streaming import intake, lifecycle, storage, topk  # noqa: E402
+from namepulse.streaming import intake, lifecycle, published, storage, topk  # noqa: E402
 from namepulse.streaming import rolling as stream_rolling  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -399,6 +400,28 @@ def _slice_of(sec: Column) -> Column:
     return sum(((sec > end).cast("int") for end in sorted(SLICES)), F.lit(0))
 
 
+def _in_slices(
+    df: DataFrame, folder: str, second: Column, start: Callable[[DataFrame], DataStreamWriter]
+) -> None:
+    """Run one query over a table whose slices, by a second, are published one after the other.
+
+    It starts with the first of them, which is its batch 0.
+    """
+    source = published.stream(df.sparkSession, f"{folder}/in", df.schema)
+    running: list[StreamingQuery] = []
+
+    def run() -> None:
+        if not running:
+            running.append(start(source).start())
+        running[0].processAllAvailable()
+
+    try:
+        storage.publish_slices(df, f"{folder}/in", _slice_of(second), len(SLICES) + 1, run)
+    finally:
+        for query in running:
+            lifecycle.stop(query)
+
+
 def _sliced_changes(
     spark: SparkSession, sf: str, name: str, folder: str, arrives: Column
 ) -> DataFrame:
@@ -406,10 +429,11 @@ def _sliced_changes(
     events = tables.events(spark, sf).select("event_id", "ts", "user_id", "event_type")
     configure(spark, streaming=True)
 
-    def run() -> None:
-        _run_changes(spark.readStream.schema(events.schema).parquet(f"{folder}/in"), name, folder)
+    def start(source: DataFrame) -> DataStreamWriter:
+        changes = stream_rolling.rolling_changes(tables.event_mentions(source, name))
+        return lifecycle.file_writer(changes, f"{folder}/changes", f"{folder}/changes-state")
 
-    streams.write_slices(events, f"{folder}/in", _slice_of(arrives), len(SLICES) + 1, run)
+    _in_slices(events, folder, arrives, start)
     return _changes_of(spark, folder)
 
 
@@ -494,13 +518,11 @@ def _live_slices(spark: SparkSession, sf: str) -> str:
     folder = storage.fresh_dir(spark, "topk")
     changes = rolling.rolling_changes(_users(spark, sf))
 
-    def run() -> None:
-        source = streams.change_stream(spark, f"{folder}/in")
-        lifecycle.run_available(
-            topk.live_top_k(source, f"{folder}/topk", f"{folder}/topk-state", K)
-        )
+    def start(source: DataFrame) -> DataStreamWriter:
+        return topk.live_top_k(source, f"{folder}/topk", f"{folder}/topk-state", K)
 
-    streams.write_slices(changes, f"{folder}/in", _slice_of(F.col("event_sec")), len(SLICES) + 1, run)
+    configure(spark, streaming=True)
+    _in_slices(changes, folder, F.col("event_sec"), start)
     return f"{folder}/topk"
 
 
@@ -526,16 +548,16 @@ def stream_coalesced_updates(spark, sf):
     def write(batch: DataFrame, batch_id: int) -> None:
         storage.publish(batch, f"{folder}/out", batch_id)
 
-    def run() -> None:
-        source = streams.change_stream(spark, f"{folder}/in")
+    def start(source: DataFrame) -> DataStreamWriter:
         latest = changelog.coalesced_updates(source, 86_400)
-        lifecycle.run_available(
+        return (
             latest.writeStream.outputMode("update")
             .option("checkpointLocation", f"{folder}/state")
             .foreachBatch(write)
         )
 
-    streams.write_slices(changes, f"{folder}/in", _slice_of(F.col("event_sec")), len(SLICES) + 1, run)
+    configure(spark, streaming=True)
+    _in_slices(changes, folder, F.col("event_sec"), start)
     versions = [storage.version_path(f"{folder}/out", v) for v in storage.versions(spark, f"{folder}/out")]
     number = F.regexp_extract(F.col("_metadata.file_path"), r"/b(\d+)/[^/]*$", 1).cast("bigint")
     updates = spark.read.parquet(*versions).withColumn("batch_id", number)

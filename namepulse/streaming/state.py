@@ -6,8 +6,9 @@ need no copy of the package.
 
 from __future__ import annotations
 
+import heapq
 import sys
-from collections import deque
+from bisect import insort
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -18,6 +19,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CHANGE = Row("name", "event_sec", "op", "prev_count", "count", "seq")
+TOP = Row("shard", "name", "count")
 BUCKET_COLUMNS = "name string, sec long, n long, timestamp timestamp"
 
 # Changes of a name in one second that leave its seq ahead of what came before.
@@ -44,12 +46,14 @@ def combine_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 class RollingCount(StatefulProcessor):
     """Count of a name's mentions in the last `window` seconds of event time.
 
-    State is one value per name: the latest second seen, the last seq, and the live seconds
-    with their mentions, at most `window` of them. It is read once and written once per batch.
-    Seconds that have expired by the time of a new mention are dropped with it, before the
-    mention is added. One timer per name waits for the oldest second to expire. The watermark
-    is `delay` seconds behind the newest mention, so timers are set that much earlier: names
-    that fall idle expire with the newest time seen, while late mentions still count.
+    State is a head of fixed size per name (latest second, last seq, total, oldest live second,
+    which blocks are live) and a map of blocks: the live seconds of a sixtieth of the window
+    with their mentions. A batch reads and writes the head and the blocks that its mentions and
+    expiries touch, so one new mention costs the same however many seconds are live. Seconds
+    that have expired by the time of a new mention are dropped with it, before the mention is
+    added. One timer per name waits for the oldest second to expire. The watermark is `delay`
+    seconds behind the newest mention, so timers are set that much earlier: names that fall
+    idle expire with the newest time seen, while late mentions still count.
 
     A name without live seconds keeps its seq for another `window`, then leaves no state. By
     then a seq that begins with the newest time is larger than any it has had.
@@ -57,12 +61,14 @@ class RollingCount(StatefulProcessor):
 
     def __init__(self, window: int, delay: int):
         self.window, self.delay = window, delay
+        self.width = -(-window // BLOCKS)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.live = handle.getValueState(
-            "live", "latest long, seq long, secs array<long>, counts array<long>"
+        self.head = handle.getValueState(
+            "head", "latest long, seq long, total long, oldest long, base long, live long"
         )
+        self.blocks = handle.getMapState("blocks", "block long", "secs array<long>, counts array<long>")
 
     def close(self) -> None:
         pass
@@ -86,12 +92,12 @@ class RollingCount(StatefulProcessor):
 
         When the timer has fired, also what has expired by the newest time.
         """
-        stored = self.live.get() if self.live.exists() else None
-        latest, seq = (stored[0], stored[1]) if stored else (None, newest * SEQ_PER_SECOND)
-        live = dict(zip(stored[2], stored[3])) if stored else {}
-        in_order = deque(live)  # stored in time order
-        due = self._due(latest, in_order)
-        total = sum(live.values())
+        seconds = LiveSeconds(self.blocks, self.width)
+        head = self.head.get() if self.head.exists() else None
+        latest, seq, total = head[:3] if head else (None, newest * SEQ_PER_SECOND, 0)
+        if head:
+            seconds.begin(*head[3:])
+        due = self._due(latest, seconds.oldest)
         changed = False
 
         def change(sec: int, op: str, delta: int) -> Row:
@@ -100,9 +106,9 @@ class RollingCount(StatefulProcessor):
             return CHANGE(name, sec, op, total - delta, total, seq)
 
         def expired(now: int) -> Iterator[Row]:
-            while in_order and in_order[0] <= now - self.window:
-                sec = in_order.popleft()
-                yield change(sec + self.window, "expire", -live.pop(sec))
+            while seconds.oldest is not None and seconds.oldest <= now - self.window:
+                sec = seconds.oldest
+                yield change(sec + self.window, "expire", -seconds.pop_oldest())
 
         for sec in sorted(added):
             latest = sec if latest is None else max(latest, sec)
@@ -111,28 +117,23 @@ class RollingCount(StatefulProcessor):
                 yield change(sec, "add", added[sec])
                 yield change(sec + self.window, "expire", -added[sec])
                 continue
-            if sec not in live:
-                late = bool(in_order) and in_order[-1] > sec
-                in_order.append(sec)
-                if late:
-                    in_order = deque(sorted(in_order))
-            live[sec] = live.get(sec, 0) + added[sec]
+            seconds.add(sec, added[sec])
             yield change(sec, "add", added[sec])
         if fired:
             yield from expired(newest)
 
-        if not live and fired and newest >= latest + 2 * self.window:
-            self.live.clear()
+        seconds.save()
+        if seconds.oldest is None and fired and newest >= latest + 2 * self.window:
+            self.head.clear()
             return
-        self._wait(due, self._due(latest, in_order), fired)
+        self._wait(due, self._due(latest, seconds.oldest), fired)
         if changed:
-            secs = list(in_order)
-            self.live.update((latest, seq, secs, [live[s] for s in secs]))
+            self.head.update((latest, seq, total, *seconds.end()))
 
-    def _due(self, latest: int | None, in_order: deque) -> int | None:
+    def _due(self, latest: int | None, oldest: int | None) -> int | None:
         """When the oldest second expires, or the state of a name that has none."""
-        if in_order:
-            return in_order[0] + self.window
+        if oldest is not None:
+            return oldest + self.window
         return None if latest is None else latest + 2 * self.window
 
     def _wait(self, before: int | None, now: int, fired: bool) -> None:
@@ -145,3 +146,140 @@ class RollingCount(StatefulProcessor):
 
     def _timer(self, due: int) -> int:
         return max(due - self.delay, 1) * 1000
+
+
+# Blocks of a window; live seconds lie in two more at most, which fit the bits of a long.
+BLOCKS = 60
+
+
+class LiveSeconds:
+    """A name's live seconds with their mentions, in blocks of a map that are read when touched."""
+
+    def __init__(self, stored, width: int):
+        self.stored, self.width = stored, width
+        self.oldest: int | None = None
+        self.live: list[int] = []  # numbers of the blocks that hold a second, ascending
+        self.known: frozenset[int] = frozenset()  # those that are in the map
+        self.read: dict[int, dict[int, int]] = {}
+        self.touched: set[int] = set()
+
+    def begin(self, oldest: int | None, base: int, live: int) -> None:
+        """Go on from what `end` gave."""
+        self.oldest = oldest
+        self.live = [base + i for i in range(live.bit_length()) if live >> i & 1]
+        self.known = frozenset(self.live)
+
+    def end(self) -> tuple[int | None, int, int]:
+        base = self.live[0] if self.live else 0
+        return self.oldest, base, sum(1 << (b - base) for b in self.live)
+
+    def _block(self, number: int) -> dict[int, int]:
+        if number not in self.read:
+            found = self.stored.getValue((number,)) if number in self.known else None
+            self.read[number] = dict(zip(found[0], found[1])) if found else {}
+        return self.read[number]
+
+    def add(self, sec: int, n: int) -> None:
+        number = sec // self.width
+        block = self._block(number)
+        if not block:
+            insort(self.live, number)
+        block[sec] = block.get(sec, 0) + n
+        self.touched.add(number)
+        self.oldest = sec if self.oldest is None else min(self.oldest, sec)
+
+    def pop_oldest(self) -> int:
+        """Drop the oldest second; its mentions."""
+        number = self.live[0]
+        block = self._block(number)
+        n = block.pop(self.oldest)
+        self.touched.add(number)
+        if not block:
+            del self.live[0]
+        first = self._block(self.live[0]) if self.live else None
+        self.oldest = min(first) if first else None
+        return n
+
+    def save(self) -> None:
+        """Write the blocks that changed, and drop those that are empty."""
+        for number in self.touched:
+            block = self.read[number]
+            if block:
+                secs = sorted(block)
+                self.stored.updateValue((number,), (secs, [block[s] for s in secs]))
+            elif number in self.known:
+                self.stored.removeKey((number,))
+
+
+def newest_in_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each name the change with the largest seq, inside each batch, ahead of the shuffle."""
+    for batch in batches:
+        if batch.num_rows:
+            table = pa.Table.from_batches([batch]).sort_by("seq")
+            last = table.group_by(["shard", "name"], use_threads=False).aggregate([("count", "last"), ("seq", "last")])
+            yield from last.select(["shard", "name", "count_last", "seq_last"]).rename_columns(
+                ["shard", "name", "count", "seq"]
+            ).to_batches()
+
+
+class ShardTop(StatefulProcessor):
+    """The `k` largest counts among the names of a shard, given whenever they change.
+
+    State is a map of all live names (count, seq), of which a batch writes those that it
+    changes, and a list of the best SPARE * k names with a bound: every name outside of the
+    list ranks at the bound or behind it. Names that fall or leave shorten the list; only when
+    fewer than k are left is the map looked through again, which so many falls pay for.
+
+    Rows are (shard, name, count); a shard without names gives one row without a name.
+    """
+
+    SPARE = 4
+
+    def __init__(self, k: int):
+        self.k = k
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.counts = handle.getMapState("counts", "name string", "count long, seq long")
+        self.best = handle.getValueState(
+            "best", "names array<string>, counts array<long>, bound_count long, bound_name string"
+        )
+
+    def close(self) -> None:
+        pass
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        newest: dict[str, tuple[int, int]] = {}
+        for _, name, count, seq in rows:
+            if name not in newest or seq > newest[name][1]:
+                newest[name] = (count, seq)
+        held = self.best.get() if self.best.exists() else None
+        ranked = [(-c, n) for n, c in zip(held[0], held[1])] if held else []
+        bound = (-held[2], held[3]) if held and held[3] is not None else None
+        before = ranked[: self.k]
+
+        best = {n: c for c, n in ranked}
+        for name, (count, seq) in newest.items():
+            old = self.counts.getValue((name,))
+            if old is not None and old[1] >= seq:
+                continue
+            best.pop(name, None)
+            if count > 0:
+                self.counts.updateValue((name,), (count, seq))
+                if bound is None or (-count, name) < bound:
+                    best[name] = -count
+            elif old is not None:
+                self.counts.removeKey((name,))
+        ranked = sorted((c, n) for n, c in best.items())
+        if len(ranked) < self.k and bound is not None:
+            everyone = ((-value[0], name[0]) for name, value in self.counts.iterator())
+            ranked, bound = heapq.nsmallest(self.SPARE * self.k + 1, everyone), None
+        if len(ranked) > self.SPARE * self.k:
+            bound = ranked[self.SPARE * self.k]
+            ranked = ranked[: self.SPARE * self.k]
+        names, counts = [n for _, n in ranked], [-c for c, _ in ranked]
+        self.best.update((names, counts, *((-bound[0], bound[1]) if bound else (None, None))))
+
+        now = ranked[: self.k]
+        if now != before or not held:
+            for count, name in now or [(0, None)]:
+                yield TOP(key[0], name, -count)

@@ -6,9 +6,10 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 _PREFIX = "b"
 
@@ -98,6 +99,23 @@ def publish(df: DataFrame, root: str, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(target)
 
 
+def publish_slices(
+    df: DataFrame, root: str, slice_of: Column, slices: int, after: Callable[[], None]
+) -> None:
+    """Publish a table slice by slice: `slice_of` says which, from 0; `after` is called after each.
+
+    A stream of the versions gets a slice as a whole. df is computed once; a slice is as many
+    files as its rows came in.
+    """
+    staged = f"{root.rstrip('/')}-staged"
+    df.withColumn("_slice", slice_of).write.partitionBy("_slice").parquet(staged)
+    schema = T.StructType([*df.schema.fields, T.StructField("_slice", T.IntegerType())])
+    numbered = df.sparkSession.read.schema(schema).parquet(staged)
+    for k in range(slices):
+        publish(numbered.where(F.col("_slice") == k).drop("_slice"), root, k)
+        after()
+
+
 def unmark(spark: SparkSession, root: str, batch_id: int) -> None:
     """Take a version's marker away: it does not count until it is published again."""
     fs, at, hadoop = _fs(spark, version_path(root, batch_id))

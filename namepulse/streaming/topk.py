@@ -1,4 +1,9 @@
-"""Live top K: a snapshot of bounded size, its deltas, and the JSON messages."""
+"""Live top K: a snapshot of bounded size, its deltas, and the JSON messages.
+
+Names are dealt to shards, each of which keeps its counts and its own K largest in Spark's
+state store and gives them when they change. A batch merges the shards' entries, SHARDS * K at
+most, into the snapshot, so what it writes follows the names that it changes.
+"""
 
 from __future__ import annotations
 
@@ -6,8 +11,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators import changelog
-from . import storage
+from . import state, storage
+
+# Shards that live names are dealt to; it stays the same for a checkpoint's whole life.
+SHARDS = 32
 
+CHANGES = "shard int, name string, count long, seq long"
+TOPS = "shard int, name string, count long"
 COUNTS = "name string, count long, seq long"
 SNAPSHOT = "name string, count long"
 DELTAS = "block long, batch_id long, name string, count long"
@@ -23,6 +33,14 @@ def _counts(root: str) -> str:
     return f"{root}/counts"
 
 
+def _changed(root: str) -> str:
+    return f"{root}/changed"
+
+
+def _tops(root: str) -> str:
+    return f"{root}/tops"
+
+
 def _snapshots(root: str) -> str:
     return f"{root}/snapshots"
 
@@ -65,6 +83,18 @@ def _version(spark: SparkSession, root: str, batch_id: int | None, schema: str)
     return spark.read.schema(schema).parquet(storage.version_path(root, batch_id))
 
 
+def _publish(spark: SparkSession, snapshot: DataFrame, last: int | None, batch_id: int, root: str) -> None:
+    """Write a batch's snapshot, and what turns the one of batch `last` into it."""
+    target = storage.version_path(_snapshots(root), batch_id)
+    snapshot.coalesce(1).write.mode("overwrite").parquet(target)
+    new = _version(spark, _snapshots(root), batch_id, SNAPSHOT)
+    deltas = snapshot_deltas(_version(spark, _snapshots(root), last, SNAPSHOT), new)
+    block, batch = (F.lit(n).cast("bigint") for n in (batch_id // BLOCK_BATCHES, batch_id))
+    deltas.select(block.alias("block"), batch.alias("batch_id"), "name", "count").write.mode(
+        "append"
+    ).partitionBy("block").parquet(_deltas(root))
+
+
 def update_snapshot(
     changes: DataFrame,
     batch_id: int,
@@ -74,30 +104,59 @@ def update_snapshot(
 ) -> None:
     """Bring counts, snapshot and deltas below `root` up to date with one batch of changes.
 
-    The counts hold every live name, so a name comes into the snapshot whenever it is among
-    the K largest, also when it is others that fall. Among equal counts the first names by
-    order are held. Each version is made from the one of an earlier batch, so a batch that is
-    run again gives the same result; how changes are cut into batches does not matter.
+    The form without a stream: the counts of every live name are a table that each batch
+    writes anew, which suits few and large batches; `live_top_k` keeps them in state. A name
+    comes into the snapshot whenever it is among the K largest, also when it is others that
+    fall. Among equal counts the first names by order are held. Each version is made from the
+    one of an earlier batch, so a batch that is run again gives the same result; how changes
+    are cut into batches does not matter.
     """
     spark = changes.sparkSession
     last = storage.newest_version(spark, _snapshots(root), before=batch_id)
     counts = next_counts(_version(spark, _counts(root), last, COUNTS), changes)
     counts.write.mode("overwrite").parquet(storage.version_path(_counts(root), batch_id))
     counts = _version(spark, _counts(root), batch_id, COUNTS)
-    snapshot = changelog.top_k(counts.select("name", "count"), k).coalesce(1)
-    target = storage.version_path(_snapshots(root), batch_id)
-    snapshot.write.mode("overwrite").parquet(target)
-
-    new = _version(spark, _snapshots(root), batch_id, SNAPSHOT)
-    deltas = snapshot_deltas(_version(spark, _snapshots(root), last, SNAPSHOT), new)
-    block, batch = (F.lit(n).cast("bigint") for n in (batch_id // BLOCK_BATCHES, batch_id))
-    deltas.select(block.alias("block"), batch.alias("batch_id"), "name", "count").write.mode(
-        "append"
-    ).partitionBy("block").parquet(_deltas(root))
+    _publish(spark, changelog.top_k(counts.select("name", "count"), k), last, batch_id, root)
     for kind in (_counts(root), _snapshots(root)):
         storage.drop_versions(spark, kind, keep_seconds)
 
 
+def shard_tops(changes: DataFrame, k: int = changelog.LIVE_ENTRIES, mode: str = "update") -> DataFrame:
+    """(shard, name, count): the K largest of each shard in which they changed."""
+    shard = F.pmod(F.xxhash64("name"), F.lit(SHARDS)).cast("int").alias("shard")
+    dealt = changes.where("name IS NOT NULL").select(shard, "name", "count", "seq")
+    return (
+        dealt.mapInArrow(state.newest_in_batch, CHANGES)
+        .groupBy("shard")
+        .transformWithState(state.ShardTop(k), TOPS, mode, "None")
+    )
+
+
+def merge_tops(
+    tops: DataFrame,
+    batch_id: int,
+    root: str,
+    k: int = changelog.LIVE_ENTRIES,
+    keep_seconds: float = KEEP_SECONDS,
+) -> None:
+    """Bring snapshot and deltas below `root` up to date with the shards that changed.
+
+    `tops` is computed once. A batch that is run again starts from the same earlier version.
+    """
+    spark = tops.sparkSession
+    last = storage.newest_version(spark, _snapshots(root), before=batch_id)
+    path = storage.version_path(_changed(root), batch_id)
+    tops.repartition(1).write.mode("overwrite").parquet(path)
+    changed = _version(spark, _changed(root), batch_id, TOPS)
+    others = _version(spark, _tops(root), last, TOPS).join(changed.select("shard"), "shard", "left_anti")
+    path = storage.version_path(_tops(root), batch_id)
+    others.unionByName(changed).coalesce(1).write.mode("overwrite").parquet(path)
+    entries = _version(spark, _tops(root), batch_id, TOPS).where("name IS NOT NULL")
+    _publish(spark, changelog.top_k(entries.select("name", "count"), k), last, batch_id, root)
+    for kind in (_changed(root), _tops(root), _snapshots(root)):
+        storage.drop_versions(spark, kind, keep_seconds)
+
+
 def live_top_k(
     changes: DataFrame,
     root: str,
@@ -106,16 +165,17 @@ def live_top_k(
     mode: str = "update",
     keep_seconds: float = KEEP_SECONDS,
 ) -> DataStreamWriter:
-    """Keep counts, snapshots and deltas below `root` for a stream of count changes.
+    """Keep snapshots and deltas below `root` for a stream of count changes.
 
-    Use a trigger of one second for one flush per second.
+    All live names are ranked, so a name comes back when others fall; ties go by name. Use a
+    trigger of one second for one flush per second.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        update_snapshot(batch, batch_id, root, k, keep_seconds)
+        merge_tops(batch, batch_id, root, k, keep_seconds)
 
     return (
-        changes.writeStream.outputMode(mode)
+        shard_tops(changes, k, mode).writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .foreachBatch(write)
     )
