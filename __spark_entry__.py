@@ -18,7 +18,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from namepulse import schemas  # noqa: E402
 from namepulse.functions import messages, text, times  # noqa: E402
-from namepulse.operators import changelog, daily, log, ranking, rolling  # noqa: E402
+from namepulse.operators import changelog, daily, log, rolling  # noqa: E402
 from namepulse.plans import daily as daily_plans  # noqa: E402
 from namepulse.plans.session import bytes_below, configure  # noqa: E402
 from namepulse.sinks import daily as daily_sinks, streams as stream_sinks  # noqa: E402
@@ -269,13 +269,8 @@ def next_boundary(spark, sf):
 
 
 def spread_event_times(spark, sf):
-    lines = _event_lines(spark, sf)
-    spread = segments.spread_event_times(
-        lines,
-        ["segment"],
-        ranking.order_runs(lines, "event_id"),
-        ["event_id"],
-        times.segment_start_of_key("key"),
+    spread = segments.spread_in_order(
+        _event_lines(spark, sf), ["segment"], "event_id", times.segment_start_of_key("key")
     )
     return spread.select("event_id", "segment", "position", "total", "event_ms")
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import as_column
+from ..streaming.storage import fresh_dir
 
 # About so many rows of one group at most are put in order by one task.
 RUN_ROWS = 1 << 18
@@ -100,6 +101,54 @@ def position_in_group(
     )
 
 
+def placed_in_order(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    first: Column | None = None,
+    run_rows: int | None = None,
+) -> DataFrame:
+    """What `position_in_group` adds, by one ordering column and without runs given.
+
+    Up to `run_rows` rows are put in order group by group. More are dealt out by range of keys
+    and order, so that a task holds about that many of them, whosever they are, and written to
+    the shared folder in this order. A row's position is its place in its partition, less where
+    its group begins there, plus the group's rows in the partitions before: a running sum over
+    one count per partition and group. A group spans neighbouring partitions, so these counts
+    are at most as many as partitions and groups together. Rows with a NULL key are dropped.
+    """
+    keys, run_rows = list(keys), run_rows or RUN_ROWS
+    known = df.dropna(subset=keys)
+    rows = known.count()
+    if rows <= run_rows:
+        group = Window.partitionBy(*keys)
+        placed = known.withColumn("position", (F.row_number().over(group.orderBy(order)) - 1).cast("bigint"))
+        placed = placed.withColumn("total", F.count(F.lit(1)).over(group))
+        return placed if first is None else placed.withColumn("first", F.min_by(first, order).over(group))
+
+    spark = df.sparkSession
+    path = fresh_dir(spark, "positions")
+    dealt = known.repartitionByRange(-(-rows // run_rows), *keys, order).sortWithinPartitions(*keys, order)
+    in_order = dealt.withColumns({"_run": F.spark_partition_id(), "_at": F.monotonically_increasing_id()})
+    in_order.write.parquet(path)
+    written = spark.read.schema(in_order.schema).parquet(path)
+
+    counts = [F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_begins")]
+    if first is not None:
+        counts.append(F.min_by(first, "_at").alias("_first"))
+    runs = written.groupBy(*keys, "_run").agg(*counts)
+    group = Window.partitionBy(*keys)
+    before = F.sum("_n").over(group.orderBy("_run").rowsBetween(Window.unboundedPreceding, -1))
+    placed = [F.coalesce(before, F.lit(0)).alias("_before"), F.sum("_n").over(group).alias("total"), "_begins"]
+    if first is not None:
+        placed.append(F.first("_first").over(group.orderBy("_run")).alias("first"))
+    return (
+        written.join(runs.select(*keys, "_run", *placed), [*keys, "_run"])
+        .withColumn("position", F.col("_before") + F.col("_at") - F.col("_begins"))
+        .drop("_run", "_at", "_before", "_begins")
+    )
+
+
 def top_in_group(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import times
 from ..functions.text import as_column, first_field
-from ..operators.ranking import position_in_group
+from ..operators.ranking import placed_in_order, position_in_group
 from .records import read_positioned_lines, with_line_order
 
 # How a segment file is named and found in an index line.
@@ -97,6 +97,20 @@ def spread_event_times(
     )
 
 
+def spread_in_order(
+    lines: DataFrame,
+    group: Sequence[str],
+    order: str,
+    start: Column,
+    minutes: int = times.SEGMENT_MINUTES,
+) -> DataFrame:
+    """What `spread_event_times` adds, for lines of which one column tells the order."""
+    placed = placed_in_order(lines, group, order, first=start)
+    return placed.withColumn(
+        "event_ms", times.spread_millis("first", "position", "total", minutes)
+    )
+
+
 def keyed_lines(
     lines: DataFrame, minutes: int = times.SEGMENT_MINUTES
 ) -> DataFrame:

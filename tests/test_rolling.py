@@ -203,3 +203,23 @@ def test_rows_without_name_or_time_are_no_mentions(spark):
         ("a", 1)
     ]
     assert {r.tick for r in rolling.histogram_by_tick(df).collect()} == {900, 1800, 2700, 3600}
+
+
+@pytest.mark.parametrize("run_rows", [None, 300, 7])
+def test_placed_in_order(spark, run_rows):
+    """One group holds two thirds of the rows; ids are sparse; some keys are null."""
+    r = random.Random(8)
+    ids = r.sample(range(-(10**12), 10**12), 1000)
+    rows = [(r.choice(["hot", "hot", "hot", "hot", "a", "b", None]), i) for i in ids]
+    df = spark.createDataFrame(rows, "g string, id long").repartition(5)
+    got = ranking.placed_in_order(df, ["g"], "id", F.col("id") * 2, run_rows)
+    found = sorted((x["g"], x["id"], x["position"], x["total"], x["first"]) for x in got.collect())
+    groups = {}
+    for g, i in rows:
+        groups.setdefault(g, []).append(i)
+    groups.pop(None)
+    want = [
+        (g, i, k, len(own), min(own) * 2) for g, own in groups.items() for k, i in enumerate(sorted(own))
+    ]
+    assert found == sorted(want)
+    assert ranking.placed_in_order(df.limit(0), ["g"], "id").count() == 0
