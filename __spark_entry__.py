@@ -7,6 +7,7 @@ mentioned at ts; event_id orders the mentions.
 
 from __future__ import annotations
 
+import os
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -19,11 +20,11 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from namepulse import schemas  # noqa: E402
 from namepulse.functions import messages, text, times  # noqa: E402
 from namepulse.operators import changelog, daily, log, rolling  # noqa: E402
-from namepulse.plans import daily as daily_plans  # noqa: E402
+from namepulse.plans import daily as daily_plans, refresh  # noqa: E402
 from namepulse.plans.session import bytes_below, configure  # noqa: E402
 from namepulse.sinks import daily as daily_sinks, streams as stream_sinks  # noqa: E402
 from namepulse.sources import records, segments, streams, tables  # noqa: E402
-from namepulse.streaming import intake, lifecycle, published, storage, topk  # noqa: E402
+from namepulse.streaming import cadence, intake, lifecycle, published, storage, topk  # noqa: E402
 from namepulse.streaming import rolling as stream_rolling  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -112,6 +113,31 @@ def daily_result_lines(spark, sf):
     return daily_sinks.result_lines(daily.day_pairs(line_top_names(spark, sf)))
 
 
+def daily_top_names_refreshed(spark, sf):
+    """Documents as three segments, added one by one; the second came without half its lines first."""
+    root = storage.fresh_dir(spark, "refreshed")
+    found = _records(spark, sf).withColumn("_part", F.pmod(F.xxhash64("record_id"), F.lit(6)))
+    for segment, parts in (("a", (0, 1)), ("b", (2,)), ("c", (4, 5)), ("b", (2, 3))):
+        own = daily_plans.record_mentions(found.where(F.col("_part").isin(*parts)))
+        refresh.add_segment(own, segment, root)
+    return refresh.read_top(spark, root)
+
+
+def daily_lines_of_paths(spark, sf):
+    """Lines from the path that the environment names, results to the other one."""
+    folder = storage.fresh_dir(spark, "paths")
+    _lines(spark, sf).select("value").write.text(f"{folder}/in")
+    paths = {"DATA_PATH": f"{folder}/in", "OUT_PATH": f"{folder}/out"}
+    before = {name: os.environ.get(name) for name in paths}
+    os.environ.update(paths)
+    try:
+        daily_plans.write_top_names_of_lines(spark)
+    finally:
+        for name, value in before.items():
+            os.environ.pop(name) if value is None else os.environ.update({name: value})
+    return spark.read.text(f"{folder}/out")
+
+
 def daily_display_lines(spark, sf):
     return daily_sinks.display_lines(daily.day_pairs(daily_top_names(spark, sf)))
 
@@ -498,6 +524,60 @@ def stream_out_of_order_histogram(spark, sf):
     return changelog.latest_counts(changes).where(F.col("count") > 0)
 
 
+def stream_segment_counts(spark, sf):
+    """Mentions per quarter of an hour, of a stream in which they come up to 40 minutes late."""
+    folder = storage.fresh_dir(spark, "segments")
+    events = tables.events(spark, sf).select("event_id", "ts", "user_id", "event_type")
+    late = times.whole_seconds("ts") + F.pmod("event_id", F.lit(5)) * 600
+    configure(spark, streaming=True)
+
+    def start(source: DataFrame) -> DataStreamWriter:
+        counts = cadence.segment_counts(tables.event_mentions(source))
+        return lifecycle.file_writer(counts, f"{folder}/counts", f"{folder}/counts-state")
+
+    _in_slices(events, folder, late, start)
+    return spark.read.schema("segment string, name string, count long").parquet(f"{folder}/counts")
+
+
+BACKLOG, AT_ONCE = 7, 2
+
+
+def stream_limited_batches(spark, sf):
+    """Rows of each batch of a stream that takes two files at a time from a backlog of seven."""
+    folder = storage.fresh_dir(spark, "limited")
+    events = tables.events(spark, sf).select("event_id", "user_id")
+    part = F.pmod("user_id", F.lit(BACKLOG)).cast("int")
+    streams.write_slices(events, f"{folder}/in", part, BACKLOG)
+    options = streams.file_options(AT_ONCE)
+    source = spark.readStream.schema(events.schema).options(**options).parquet(f"{folder}/in")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        counted = batch.agg(F.count(F.lit(1)).alias("rows"))
+        storage.publish(counted.select(F.lit(batch_id).alias("batch_id"), "rows"), f"{folder}/out", batch_id)
+
+    lifecycle.run_available(
+        source.writeStream.option("checkpointLocation", f"{folder}/state").foreachBatch(write)
+    )
+    return storage.read_versions(spark, f"{folder}/out", "batch_id int, rows long")
+
+
+def stream_restarted_counts(spark, sf):
+    """Events per type from a stream that ends and starts again, on one checkpoint, after each slice."""
+    folder = storage.fresh_dir(spark, "restarted")
+    events = tables.events(spark, sf).select("event_id", "ts", "event_type")
+
+    def run() -> None:
+        source = spark.readStream.schema(events.schema).parquet(f"{folder}/in")
+        lifecycle.run_available(lifecycle.file_writer(source, f"{folder}/out", f"{folder}/state"))
+
+    in_order = times.whole_seconds("ts")
+    streams.write_slices(events, f"{folder}/in", _slice_of(in_order), len(SLICES) + 1, run)
+    seen = spark.read.schema(events.schema).parquet(f"{folder}/out")
+    return seen.groupBy(F.col("event_type").alias("name")).agg(
+        F.count(F.lit(1)).alias("count"), F.countDistinct("event_id").alias("events")
+    )
+
+
 def stream_topk_snapshot(spark, sf):
     folder = storage.fresh_dir(spark, "topk")
     _stream_changes(spark, sf, "user_id", folder)
@@ -618,6 +698,8 @@ QUERIES: tuple[Query, ...] = (
     typed_record_top_names,
     line_view_top_names,
     daily_result_lines,
+    daily_top_names_refreshed,
+    daily_lines_of_paths,
     daily_display_lines,
     daily_counts_keep_empty,
     sorted_name_counts,
@@ -657,6 +739,9 @@ QUERIES: tuple[Query, ...] = (
     stream_published_log,
     stream_rolling_changelog,
     stream_out_of_order_histogram,
+    stream_segment_counts,
+    stream_limited_batches,
+    stream_restarted_counts,
     stream_topk_snapshot,
     stream_topk_deltas,
     stream_topk_replay,
@@ -754,6 +839,12 @@ _DELTAS = f"""{_TOP_TICKS}, deltas AS (
 )"""
 _AS_OF_SEC = f"s > {AS_OF_TICK} - 3600 AND s <= {AS_OF_TICK}"
 
+_RESULT_LINES = f"""WITH {_TOP_ONE}
+    SELECT 'DateResult(' || {_DAY_FIRST} || ',List('
+        || string_agg('(' || name || ',' || "count" || ')', ',' ORDER BY "rank")
+        || '))' AS value
+    FROM top GROUP BY day"""
+
 ORACLE: dict[str, str] = {
     "daily_top_names": f'WITH {_TOP} SELECT day, "rank", name, "count" FROM top',
     "daily_name_counts": f'WITH {_COUNTS} SELECT day, name, "count" FROM counts',
@@ -767,11 +858,9 @@ ORACLE: dict[str, str] = {
     ),
     "typed_record_top_names": f'WITH {_TOP} SELECT day, "rank", name, "count" FROM top',
     "line_view_top_names": f'WITH {_TOP} SELECT day, "rank", name, "count" FROM top',
-    "daily_result_lines": f"""WITH {_TOP_ONE}
-        SELECT 'DateResult(' || {_DAY_FIRST} || ',List('
-            || string_agg('(' || name || ',' || "count" || ')', ',' ORDER BY "rank")
-            || '))' AS value
-        FROM top GROUP BY day""",
+    "daily_result_lines": _RESULT_LINES,
+    "daily_top_names_refreshed": f'WITH {_TOP} SELECT day, "rank", name, "count" FROM top',
+    "daily_lines_of_paths": _RESULT_LINES,
     "daily_display_lines": f"""WITH {_TOP}
         SELECT day || ' : ('
             || string_agg('[' || name || ',' || "count" || ']', ', ' ORDER BY "rank")
@@ -926,6 +1015,14 @@ ORACLE: dict[str, str] = {
     "stream_out_of_order_histogram": f"""SELECT name, count(*) AS "count" FROM (
           SELECT event_type AS name, {_SEC} AS s FROM events)
         WHERE s > (SELECT max({_SEC}) FROM events) - 3600 GROUP BY name""",
+    "stream_segment_counts": f"""SELECT strftime({_QUARTER}, '%Y%m%d%H%M00') AS segment,
+          event_type AS name, count(*) AS "count" FROM events
+        WHERE epoch_ms({_QUARTER}) + 900000 <= (SELECT epoch_ms(max(ts)) FROM events) - 3600000
+        GROUP BY ALL""",
+    "stream_limited_batches": f"""SELECT CAST((user_id % {BACKLOG}) // {AT_ONCE} AS INTEGER) AS batch_id,
+          count(*) AS rows FROM events GROUP BY 1""",
+    "stream_restarted_counts": """SELECT event_type AS name, count(*) AS "count",
+          count(DISTINCT event_id) AS events FROM events GROUP BY 1""",
     "stream_topk_deltas": f"""WITH {_SLICED}
         SELECT coalesce(n.batch_id, o.batch_id + 1) AS batch_id, coalesce(n.name, o.name) AS name,
           CAST(coalesce(n."count", 0) AS BIGINT) AS "count"

@@ -67,6 +67,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(at)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all that is in it, if it is there."""
+    fs, at, _ = _fs(spark, path)
+    fs.delete(at, True)
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether a folder was written to its end."""
     fs, at, hadoop = _fs(spark, path)
