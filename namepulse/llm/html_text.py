@@ -5,7 +5,9 @@ navigation, headers and footers as well. Spark counts for each host on how many
 subtree occurs; one that recurs on many of them is the site's template and is deleted before the
 text is taken. In addition, what pages call navigation, header, footer, sidebar, notice, advert,
 form or comments is left out by name and class, and where a page marks its article, only that is
-text, of which headings, paragraphs and quotations are never deleted as template.
+text, of which headings, paragraphs and quotations are never deleted as template. Inside an
+article a class or id drops nothing unless all its words speak of a purpose, and never prose; on
+a page without a marked article classes and ids count only if they leave any text.
 
 Defined results: a null html is empty and gives no text; without tags all is text. A null url
 belongs to the host "". Pages with the same main text count once towards a template. Unclosed,
@@ -35,8 +37,9 @@ MOST_SENT = 1_000_000
 SPREAD = 64
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math object".split())
+RAW = frozenset("script style template textarea title iframe svg".split())
 DROPPED = RAW | frozenset("head nav footer aside form button select menu dialog canvas video audio map".split())
+OUTSIDE = frozenset(["noscript"])  # dropped but for what an article has of it
 BLOCKS = frozenset(
     "address article blockquote body caption center dd details div dl dt fieldset figcaption figure "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main ol p pre section summary table tbody td "
@@ -61,26 +64,33 @@ PURPOSE = frozenset(
 )
 
 # Words that say nothing more about it.
-PARTS = frozenset("area bar block box container list post posts section site wrap wrapper".split())
+PARTS = frozenset(
+    "area bar block bottom box button buttons container group icons inline inner item items left link "
+    "links list outer page post posts right row section site slot top unit wrap wrapper".split()
+)
 
+# A quote opens a value only behind an equals sign; elsewhere it is a character like others.
+# What was matched is never tried in another way, so that the time is in proportion.
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"""|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""",
+    r"""|<(/?)([A-Za-z][^\s/>]*+)((?:[^>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+')|[="'])*+)>""",
     re.S,
 )
+_UNENDED = re.compile(r"<!--|<!\[CDATA\[")
 # Attributes one after the other, values whole, so that nothing in a value is taken for a name.
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _WORD = re.compile(r"[a-z]+")
 
 
 class Element:
-    __slots__ = ("name", "label", "role", "children", "dropped", "hash", "inside")
+    __slots__ = ("name", "label", "role", "children", "dropped", "by_label", "hash", "inside")
 
     def __init__(self, name: str, attributes: str, inside: bool = False):
         self.name = name
         self.children: list[Element | str] = []
         self.label = self.role = ""
-        self.dropped = name in DROPPED
+        self.dropped = name in DROPPED or (name in OUTSIDE and not inside)
+        self.by_label = False  # dropped, but only for a class, an id or a role
         self.hash = 0
         self.inside = inside  # an article
         if attributes and not attributes.isspace():
@@ -94,54 +104,91 @@ class Element:
                 self.label += f" {value}"
                 if key == "role":
                     self.role = value
-                if name in ("html", "body", "article", "main"):
-                    continue
-                words = _WORD.findall(value)
-                if PURPOSE.isdisjoint(words):
-                    continue
-                # Ids inside an article are often made from headings: all words must speak of a purpose.
-                if key != "id" or not inside or (name not in PROSE and PURPOSE.union(PARTS).issuperset(words)):
-                    self.dropped = True
+                if name not in ("html", "body", "article", "main") and self._says_purpose(key, value):
+                    self.by_label = True
+        if self.dropped:
+            self.by_label = False
+        self.dropped |= self.by_label
+
+    def _says_purpose(self, key: str, value: str) -> bool:
+        words = _WORD.findall(value)
+        if PURPOSE.isdisjoint(words):
+            return False
+        if key == "role" or not self.inside:
+            return True
+        # Names inside an article are often made from headings and layouts: all words must agree.
+        return self.name not in PROSE and PURPOSE.union(PARTS).issuperset(words)
 
     def is_article(self) -> bool:
         return self.name in ("article", "main") or self.role in ("article", "main")
 
 
+class _Open:
+    """The open elements; where the last one of a name is, is known without a search."""
+
+    def __init__(self, root: Element):
+        self.elements = [root]
+        self.places: dict[str, list[int]] = {}
+        self.containers = [0]
+
+    def push(self, element: Element) -> None:
+        at = len(self.elements)
+        self.elements.append(element)
+        self.places.setdefault(element.name, []).append(at)
+        if element.name in CONTAINERS:
+            self.containers.append(at)
+
+    def last(self, name: str) -> int:
+        """Where the innermost element of a name is; 0 if none is open."""
+        places = self.places.get(name)
+        return places[-1] if places else 0
+
+    def close(self, at: int) -> None:
+        """End the element at a place and all in it."""
+        while len(self.elements) > at:
+            self.places[self.elements.pop().name].pop()
+        while self.containers[-1] >= at:
+            self.containers.pop()
+
+
 def parsed(html: str) -> Element:
     """The tree of a page; comments and declarations are left out."""
     root = Element("html", "")
-    open_, at = [root], 0
-    while found := _TAG.search(html, at):
+    open_, at = _Open(root), 0
+    last = html.rfind(">") + 1  # no tag ends behind it
+    while found := _TAG.search(html, at, last):
         if found.start() > at:
-            open_[-1].children.append(html[at : found.start()])
+            open_.elements[-1].children.append(html[at : found.start()])
         at = found.end()
         closing, name, attributes = found.groups()
         if not name:
+            if found[0].startswith("<!--") and not found[0].endswith("-->"):
+                at = len(html)
+            elif found[0].startswith("<![CDATA[") and not found[0].endswith("]]>"):
+                at = len(html)
             continue
         name = name.lower()
         if closing:
-            for k in range(len(open_) - 1, 0, -1):
-                if open_[k].name == name:
-                    del open_[k:]
-                    break
+            if place := open_.last(name):
+                open_.close(place)
             continue
-        ends = CLOSES.get(name, set()) | ({"p"} if name in ENDS_P else set())
-        if ends:
-            for k in range(len(open_) - 1, 0, -1):
-                if open_[k].name in ends:
-                    del open_[k:]
-                    break
-                if open_[k].name in CONTAINERS:
-                    break
-        element = Element(name, attributes, open_[-1].inside or open_[-1].is_article())
-        open_[-1].children.append(element)
+        ends = CLOSES.get(name, frozenset()) | ({"p"} if name in ENDS_P else frozenset())
+        place = max((open_.last(e) for e in ends), default=0)
+        if place and place >= open_.containers[-1]:
+            open_.close(place)
+        above = open_.elements[-1]
+        element = Element(name, attributes, above.inside or above.is_article())
+        above.children.append(element)
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(html, at)
             at = end.end() if end else len(html)
         elif name not in VOID and not attributes.endswith("/"):
-            open_.append(element)
-    if at < len(html):
-        open_[-1].children.append(html[at:])
+            open_.push(element)
+    rest = html[at:]
+    if unended := _UNENDED.search(rest):
+        rest = rest[: unended.start()]
+    if rest:
+        open_.elements[-1].children.append(rest)
     return root
 
 
@@ -200,6 +247,16 @@ def _articles(root: Element) -> list[Element]:
 
 def text_of(root: Element, template: Callable[[int], bool]) -> str:
     """The blocks of the main text, white space folded, joined with an empty line."""
+    articles = _articles(root)
+    marked = articles[0] is not root
+    blocks = _blocks(articles, template, marked, labels=True)
+    if not blocks and not marked:
+        blocks = _blocks(articles, template, marked, labels=False)
+    return "\n\n".join(blocks)
+
+
+def _blocks(articles: list[Element], template: Callable[[int], bool], marked: bool, labels: bool) -> list[str]:
+    """The blocks' texts; without `labels`, classes and ids drop nothing."""
     blocks, line = [], []
 
     def end_block() -> None:
@@ -207,8 +264,6 @@ def text_of(root: Element, template: Callable[[int], bool]) -> str:
             blocks.append(text)
         line.clear()
 
-    articles = _articles(root)
-    marked = articles[0] is not root
     left: list[Element | str | None] = [*reversed(articles)]
     while left:
         e = left.pop()
@@ -218,7 +273,7 @@ def text_of(root: Element, template: Callable[[int], bool]) -> str:
             line.append(e)
         elif template(e.hash) and not (e.inside and e.name in PROSE):
             continue
-        elif e.dropped or (e.name == "header" and not marked):
+        elif (e.dropped and (labels or not e.by_label)) or (e.name == "header" and not marked):
             continue
         elif e.name == "br":
             line.append("\n")
@@ -228,7 +283,7 @@ def text_of(root: Element, template: Callable[[int], bool]) -> str:
                 left.append(None)
             left.extend(reversed(e.children))
     end_block()
-    return "\n\n".join(blocks)
+    return blocks
 
 
 def subtrees(html: str) -> tuple[int, list[int]]:
