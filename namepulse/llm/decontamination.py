@@ -17,6 +17,7 @@ Repeated rows, of documents or items, are each reported.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,10 +29,13 @@ from pyspark.sql import DataFrame, functions as F
 from .licenses import words_of
 from .shared import once, text_bytes, unused
 
-# 1: the word counts. No run of 8 words or more with 80 % equal is without a hit: with k words
-# replaced, its equal words stand in k + 1 gaps, one of which has four of them, but for 10, 11
-# and 15 words, where three equal words, one replaced and two equal ones may be all there is.
-MASKS = ("1111", "111011")
+# 1: the word counts. No run of 8 words or more with 80 % equal is without a hit: a longer run has
+# a part of 8 to 15 words with that share, and for these lengths all places that replaced words
+# can take were gone through; in each case one of the masks finds its four equal words.
+MASKS = ("11101", "1100101")
+
+# Pairs of equal seeds that are looked at in one go.
+PAIRS_AT_ONCE = 1 << 18
 
 # An overlap has at least this share of equal words, over at least this many words, and over
 # this share of the item or more than `LONG_RUN` words.
@@ -103,21 +107,55 @@ class Block:
             tables.append((offsets, span, salt, hashes[order], items_of[order], places[order]))
         return cls([i for i, _ in items], words, tables, **options)
 
-    def _diagonals(self, words: np.ndarray) -> set[tuple[int, int]]:
-        """(item, place in the text less place in the item) of all hits."""
-        found = set()
+    def _parts(self, words: np.ndarray, done: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(items, places in the text less places in the item) of all hits, a bounded part at a time.
+
+        Hits of an item on diagonals from `done` on are left out, as that changes meanwhile.
+        """
         for offsets, span, salt, hashes, items_of, places in self.tables:
             own = seeds(words, offsets, span, salt)
-            if not len(own):
-                continue
             low = np.searchsorted(hashes, own)
-            near = np.minimum(low, len(hashes) - 1)
-            for at in np.flatnonzero(hashes[near] == own):
-                k = low[at]
-                while k < len(hashes) and hashes[k] == own[at]:
-                    found.add((int(items_of[k]), int(at - places[k])))
-                    k += 1
-        return found
+            at = np.flatnonzero(hashes[np.minimum(low, len(hashes) - 1)] == own)
+            each = np.searchsorted(hashes, own[at], "right") - low[at]
+            ends = np.cumsum(each)
+            begin = 0
+            while begin < len(at):
+                before = ends[begin - 1] if begin else 0
+                end = max(begin + 1, int(np.searchsorted(ends, before + PAIRS_AT_ONCE, "right")))
+                n = each[begin:end]
+                first = np.repeat(low[at[begin:end]] - (ends[begin:end] - n - before), n)
+                pairs = first + np.arange(int(n.sum()))
+                items, diagonals = items_of[pairs], np.repeat(at[begin:end], n) - places[pairs]
+                new = diagonals < done[items]
+                yield items[new], diagonals[new]
+                begin = end
+
+    def _diagonals(self, words: np.ndarray) -> set[tuple[int, int]]:
+        """(item, diagonal) of all hits."""
+        everything = np.full(len(self.words), len(words) + 1)
+        return {pair for k, d in self._parts(words, everything) for pair in zip(k.tolist(), d.tolist())}
+
+    def _promising(self, words: np.ndarray, item: np.ndarray, diagonals: np.ndarray) -> list[tuple[int, int]]:
+        """(equal words, diagonal) of the diagonals with an overlap, the most equal words first.
+
+        There is one exactly if a run of the least length that counts, or longer, has the share:
+        if the sum behind it is not below the lowest sum so much further ahead.
+        """
+        size = len(item)
+        least = min(max(min(self.least_words, size), min(math.ceil(self.item_share * size), self.long_run + 1)), size)
+        found = []
+        at_once = max(1, PAIRS_AT_ONCE // size)
+        for k in range(0, len(diagonals), at_once):
+            own = diagonals[k : k + at_once]
+            places = own[:, None] + np.arange(size)
+            equal = (places >= 0) & (places < len(words))
+            equal &= words[np.clip(places, 0, len(words) - 1)] == item
+            sums = np.zeros((len(own), size + 1))
+            np.cumsum(np.where(equal, 1.0 - self.identity, -self.identity), axis=1, out=sums[:, 1:])
+            lows = np.minimum.accumulate(sums, axis=1)
+            some = (lows[:, : size + 1 - least] <= sums[:, least:] + 1e-9).any(axis=1)
+            found += zip(equal.sum(axis=1)[some].tolist(), own[some].tolist())
+        return sorted(found, key=lambda f: (-f[0], f[1]))
 
     def _enough(self, n: int, equal: int, size: int) -> bool:
         """Whether a run of n words, of which so many are equal, is an overlap with an item of `size` words."""
@@ -157,14 +195,24 @@ class Block:
         """The best overlap with each item, by item."""
         words = word_hashes(data)
         best: dict[int, tuple] = {}
-        for k, diagonal in self._diagonals(words):
-            item = self.words[k]
-            overlap = self._overlap(words, item, diagonal)
-            if overlap is not None:
-                first, n, equal = overlap
-                found = (equal, -first, n, n / len(item))
-                if k not in best or found > best[k]:
-                    best[k] = found
+        # Nothing beats a whole item but the same further ahead: diagonals behind it are left out.
+        done = np.full(len(self.words), len(words) + 1)
+        for items, diagonals in self._parts(words, done):
+            for k in np.unique(items).tolist():
+                item = self.words[k]
+                for most, diagonal in self._promising(words, item, np.unique(diagonals[items == k])):
+                    equal, ahead, *_ = best.get(k, (0, 0))
+                    if most < equal or (most == equal and diagonal > -ahead):
+                        continue  # it has no more equal words, or as many further behind
+                    overlap = self._overlap(words, item, diagonal)
+                    if overlap is None:
+                        continue
+                    first, n, equal = overlap
+                    found = (equal, -first, n, n / len(item))
+                    if k not in best or found > best[k]:
+                        best[k] = found
+                    if equal == len(item):
+                        done[k] = min(done[k], diagonal)
         return [(self.item_ids[k], -f, n, e, s) for k, (e, f, n, s) in sorted(best.items())]
 
 
