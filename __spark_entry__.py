@@ -23,7 +23,7 @@ from namepulse.operators import changelog, daily, log, rolling  # noqa: E402
 from namepulse.plans import daily as daily_plans, refresh  # noqa: E402
 from namepulse.plans.session import bytes_below, configure  # noqa: E402
 from namepulse.sinks import daily as daily_sinks, streams as stream_sinks  # noqa: E402
-from namepulse.sources import records, segments, streams, tables  # noqa: E402
+from namepulse.sources import footers, records, segments, streams, tables  # noqa: E402
 from namepulse.streaming import cadence, intake, lifecycle, published, storage, topk  # noqa: E402
 from namepulse.streaming import rolling as stream_rolling  # noqa: E402
 
@@ -310,6 +310,20 @@ def last_key(spark, sf):
     return log.last_key(_event_lines(spark, sf), "key", "event_id")
 
 
+def newest_event(spark, sf):
+    """The event with the largest id, which the footers tell."""
+    newest = footers.newest_rows(spark, f"{sf}/events.parquet", "event_id", tables.EVENTS)
+    return newest.select("event_id", "user_id", "event_type", _time_text("ts").alias("ts"))
+
+
+def event_bounds(spark, sf):
+    """First and last event id and their number, without a data page."""
+    low, high, rows = footers.bounds(spark, f"{sf}/events.parquet", "event_id", tables.EVENTS)
+    found = spark.read.schema(tables.EVENTS).parquet(f"{sf}/events.parquet")
+    at_ends = found.where(F.col("event_id").isin(low, high)).agg(F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"))
+    return at_ends.withColumn("events", F.lit(rows).cast("bigint"))
+
+
 # --- rolling hour --------------------------------------------------------------------
 
 
@@ -720,6 +734,8 @@ QUERIES: tuple[Query, ...] = (
     spread_event_times,
     new_segments_only,
     last_key,
+    newest_event,
+    event_bounds,
     rolling_hour_adds,
     rolling_hour_adds_by_user,
     rolling_hour_changelog,
@@ -964,6 +980,10 @@ ORACLE: dict[str, str] = {
         WHERE strftime({_QUARTER}, '%Y%m%d%H%M00') > '20240110120000' GROUP BY 1""",
     "last_key": f"""SELECT arg_max(strftime({_QUARTER}, '%Y%m%d%H%M00') || '-' || event_id,
           event_id) AS last_key FROM events""",
+    "newest_event": """SELECT event_id, user_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts
+        FROM events WHERE event_id = (SELECT max(event_id) FROM events)""",
+    "event_bounds": """SELECT min(event_id) AS first_id, max(event_id) AS last_id, count(*) AS events
+        FROM events""",
     "rolling_hour_adds": _adds("event_type"),
     "rolling_hour_adds_by_user": _adds("user_id"),
     "rolling_hour_changelog": (
