@@ -317,11 +317,12 @@ def newest_event(spark, sf):
 
 
 def event_bounds(spark, sf):
-    """First and last event id and their number, without a data page."""
+    """The events with the first and the last id, and how many there are, from footers."""
     low, high, rows = footers.bounds(spark, f"{sf}/events.parquet", "event_id", tables.EVENTS)
-    found = spark.read.schema(tables.EVENTS).parquet(f"{sf}/events.parquet")
-    at_ends = found.where(F.col("event_id").isin(low, high)).agg(F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"))
-    return at_ends.withColumn("events", F.lit(rows).cast("bigint"))
+    ends = tables.events(spark, sf).where(F.col("event_id").isin(low, high))
+    return ends.select(
+        "event_id", (F.col("event_id") == F.lit(high)).alias("is_last"), F.lit(rows).cast("bigint").alias("events")
+    )
 
 
 # --- rolling hour --------------------------------------------------------------------
@@ -982,8 +983,9 @@ ORACLE: dict[str, str] = {
           event_id) AS last_key FROM events""",
     "newest_event": """SELECT event_id, user_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts
         FROM events WHERE event_id = (SELECT max(event_id) FROM events)""",
-    "event_bounds": """SELECT min(event_id) AS first_id, max(event_id) AS last_id, count(*) AS events
-        FROM events""",
+    "event_bounds": """SELECT event_id, event_id = n.last AS is_last, events FROM events,
+          (SELECT min(event_id) AS first, max(event_id) AS last, count(*) AS events FROM events) n
+        WHERE event_id IN (n.first, n.last)""",
     "rolling_hour_adds": _adds("event_type"),
     "rolling_hour_adds_by_user": _adds("user_id"),
     "rolling_hour_changelog": (
