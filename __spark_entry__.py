@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from datetime import datetime, timedelta
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -23,8 +24,8 @@ from namepulse.operators import changelog, daily, log, rolling  # noqa: E402
 from namepulse.plans import daily as daily_plans, refresh  # noqa: E402
 from namepulse.plans.session import bytes_below, configure  # noqa: E402
 from namepulse.sinks import daily as daily_sinks, streams as stream_sinks  # noqa: E402
-from namepulse.sources import footers, records, segments, streams, tables  # noqa: E402
-from namepulse.streaming import cadence, intake, lifecycle, published, storage, topk  # noqa: E402
+from namepulse.sources import footers, records, segments, streams, tables, timed  # noqa: E402
+from namepulse.streaming import cadence, intake, lifecycle, progress, published, storage, topk  # noqa: E402
 from namepulse.streaming import rolling as stream_rolling  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -306,6 +307,19 @@ def new_segments_only(spark, sf):
     return newer.groupBy("segment").agg(F.count(F.lit(1)).alias("lines"))
 
 
+def timed_segments(spark, sf):
+    """Lines of the five days before AS_OF, from files of a day each that the window plans."""
+    folder = storage.fresh_dir(spark, "timed")
+    days = F.date_format("ts", "yyyyMMdd000000").alias("day")
+    events = tables.events(spark, sf).select(F.col("event_id").cast("string").alias("value"), days)
+    events.write.partitionBy("day").text(folder)
+    until = datetime.fromisoformat(AS_OF)
+    lines = timed.read_timed(spark, folder, until - timedelta(days=5), until, "day={}", 24 * 60)
+    return lines.groupBy(_time_text("segment").alias("day")).agg(
+        F.count(F.lit(1)).alias("lines"), F.sum(F.col("value").cast("long")).alias("ids")
+    )
+
+
 def last_key(spark, sf):
     return log.last_key(_event_lines(spark, sf), "key", "event_id")
 
@@ -576,6 +590,58 @@ def stream_limited_batches(spark, sf):
     return storage.read_versions(spark, f"{folder}/out", "batch_id int, rows long")
 
 
+TRIGGERS = 5
+
+
+def _paced() -> list[int]:
+    """The batch of each of BACKLOG versions, TRIGGERS seconds before the next are due."""
+    left, batches = BACKLOG, []
+    for k in range(TRIGGERS):
+        taken = -(-left // (TRIGGERS - k))
+        batches += [k] * taken
+        left -= taken
+    return batches
+
+
+def stream_paced_backlog(spark, sf):
+    """Rows of each batch of a stream that spreads a backlog over the time that is left."""
+    folder = storage.fresh_dir(spark, "paced")
+    events = tables.events(spark, sf).select("event_id", "user_id")
+    part = F.pmod("user_id", F.lit(BACKLOG)).cast("int")
+    storage.publish_slices(events, f"{folder}/in", part, BACKLOG, lambda: None)
+    source = published.paced_stream(
+        spark, f"{folder}/in", events.schema, f"{folder}/pace", interval=TRIGGERS, clock=0
+    )
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        counted = batch.agg(F.count(F.lit(1)).alias("rows"))
+        storage.publish(counted.select(F.lit(batch_id).alias("batch_id"), "rows"), f"{folder}/out", batch_id)
+
+    query = source.writeStream.option("checkpointLocation", f"{folder}/state").foreachBatch(write).start()
+    try:
+        query.processAllAvailable()
+    finally:
+        lifecycle.stop(query)
+    return storage.read_versions(spark, f"{folder}/out", "batch_id int, rows long")
+
+
+LATE_AFTER = 600
+
+
+def stream_late_mentions(spark, sf):
+    """Rows of each batch, and those a watermark of ten minutes drops: they come up to 40 minutes late."""
+    folder = storage.fresh_dir(spark, "reports")
+    events = tables.events(spark, sf).select("event_id", "ts", "user_id", "event_type")
+    late = times.whole_seconds("ts") + F.pmod("event_id", F.lit(5)) * 600
+
+    def start(source: DataFrame) -> DataStreamWriter:
+        mentions = tables.event_mentions(source)
+        return progress.reports(mentions, f"{folder}/reports", f"{folder}/state", LATE_AFTER)
+
+    _in_slices(events, folder, late, start)
+    return progress.read_reports(spark, f"{folder}/reports")
+
+
 def stream_restarted_counts(spark, sf):
     """Events per type from a stream that ends and starts again, on one checkpoint, after each slice."""
     folder = storage.fresh_dir(spark, "restarted")
@@ -734,6 +800,7 @@ QUERIES: tuple[Query, ...] = (
     next_boundary,
     spread_event_times,
     new_segments_only,
+    timed_segments,
     last_key,
     newest_event,
     event_bounds,
@@ -758,6 +825,8 @@ QUERIES: tuple[Query, ...] = (
     stream_out_of_order_histogram,
     stream_segment_counts,
     stream_limited_batches,
+    stream_paced_backlog,
+    stream_late_mentions,
     stream_restarted_counts,
     stream_topk_snapshot,
     stream_topk_deltas,
@@ -983,6 +1052,10 @@ ORACLE: dict[str, str] = {
           event_id) AS last_key FROM events""",
     "newest_event": """SELECT event_id, user_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts
         FROM events WHERE event_id = (SELECT max(event_id) FROM events)""",
+    "timed_segments": f"""SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS day, count(*) AS lines,
+          CAST(sum(event_id) AS BIGINT) AS ids FROM events
+        WHERE date_trunc('day', ts) >= TIMESTAMP '{AS_OF}' - INTERVAL 5 DAY
+          AND date_trunc('day', ts) < TIMESTAMP '{AS_OF}' GROUP BY 1""",
     "event_bounds": """SELECT event_id, event_id = n.last AS is_last, events FROM events,
           (SELECT min(event_id) AS first, max(event_id) AS last, count(*) AS events FROM events) n
         WHERE event_id IN (n.first, n.last)""",
@@ -1043,6 +1116,16 @@ ORACLE: dict[str, str] = {
         GROUP BY ALL""",
     "stream_limited_batches": f"""SELECT CAST((user_id % {BACKLOG}) // {AT_ONCE} AS INTEGER) AS batch_id,
           count(*) AS rows FROM events GROUP BY 1""",
+    "stream_paced_backlog": f"""SELECT CAST({_paced()}[user_id % {BACKLOG} + 1] AS INTEGER) AS batch_id,
+          count(*) AS rows FROM events GROUP BY 1""",
+    "stream_late_mentions": f"""WITH e AS (
+          SELECT {_SEC} AS s, {" + ".join(f"CAST({_SEC} + event_id % 5 * 600 > {end} AS BIGINT)" for end in SLICES)} AS b
+          FROM events
+        ), n AS (SELECT b, max(s) AS newest FROM e GROUP BY b)
+        SELECT b AS batch_id, count(*) AS rows,
+          CAST(count(*) FILTER (s <= (SELECT max(newest) FROM n WHERE n.b < e.b) - {LATE_AFTER}) AS BIGINT) AS late,
+          max(s) AS newest
+        FROM e GROUP BY b""",
     "stream_restarted_counts": """SELECT event_type AS name, count(*) AS "count",
           count(DISTINCT event_id) AS events FROM events GROUP BY 1""",
     "stream_topk_deltas": f"""WITH {_SLICED}

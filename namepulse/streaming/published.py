@@ -7,13 +7,18 @@ so that a version is read when it is complete, in order, and never again, whatev
 its files afterwards. A version without its marker holds back those after it until it has run
 again.
 
+Read with a pace, a backlog does not come at once: each trigger takes what is waiting divided by
+the seconds that are left of the interval, so that the backlog is gone when the next one is due.
+
 This module imports nothing from the package and is pickled by value, so that executors need
 no copy of the package. It reaches any file system that Arrow knows by a URI.
 """
 
 from __future__ import annotations
 
+import json
 import sys
+import time
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -95,8 +100,60 @@ class PublishedReader(DataSourceStreamReader):
                 )
 
 
+class PacedReader(PublishedReader):
+    """Takes versions at a pace that empties the backlog at the end of each interval.
+
+    The version given last is kept in the file `pace`, written before it is given: a reader that
+    starts again goes on from there and never gives an older one. Should the query have ended
+    between the two, its next batch also has the versions of the one that was lost.
+    """
+
+    def __init__(self, path: str, schema: T.StructType, newest_only: bool, pace: str, interval: int, clock: int | None):
+        super().__init__(path, schema, newest_only)
+        self.pace, self.interval, self.clock = pace, interval, clock
+
+    def _given(self) -> dict:
+        """The version given last, how many triggers there were, and the version to begin after."""
+        system, path = _file_system(self.pace)
+        if system.get_file_info(path).type == fs.FileType.NotFound:
+            first = super().initialOffset()["version"]
+            return self._give(first, 0, first)
+        with system.open_input_stream(path) as file:
+            return json.loads(file.read())
+
+    def _give(self, version: int, trigger: int, first: int) -> dict:
+        system, path = _file_system(self.pace)
+        system.create_dir(path.rsplit("/", 1)[0], recursive=True)
+        given = {"version": version, "trigger": trigger, "first": first}
+        with system.open_output_stream(f"{path}.next") as file:
+            file.write(json.dumps(given).encode())
+        system.move(f"{path}.next", path)
+        return given
+
+    def _seconds_left(self, trigger: int) -> int:
+        now = int(time.time()) if self.clock is None else self.clock + trigger
+        return self.interval - now % self.interval
+
+    def initialOffset(self) -> dict:
+        # Spark asks for it after the latest one of the first trigger.
+        return {"version": self._given()["first"]}
+
+    def latestOffset(self) -> dict:
+        given, newest = self._given(), self._newest()
+        system, root = _file_system(self.path)
+        waiting = sorted(n for n in _folders(system, root) if given["version"] < n <= newest)
+        if waiting:
+            taken = -(-len(waiting) // self._seconds_left(given["trigger"]))
+            given = self._give(waiting[taken - 1], given["trigger"] + 1, given["first"])
+        return {"version": given["version"]}
+
+
 class Published(DataSource):
-    """Options: path; startingVersions, `earliest` (the default) or `latest`."""
+    """Options: path; startingVersions, `earliest` (the default) or `latest`.
+
+    With `pace`, the path of a file of the query's own: interval, in seconds; clock, the second
+    of the first trigger, each later one being a second on, in place of the system's clock.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -104,11 +161,33 @@ class Published(DataSource):
 
     def streamReader(self, schema: T.StructType) -> PublishedReader:
         latest = self.options.get("startingversions", "earliest").lower() == "latest"
-        return PublishedReader(self.options["path"], schema, latest)
+        given = self.options["path"], schema, latest
+        if "pace" not in self.options:
+            return PublishedReader(*given)
+        clock = self.options.get("clock")
+        return PacedReader(*given, self.options["pace"], int(self.options["interval"]), int(clock) if clock else None)
 
 
-def stream(spark: SparkSession, root: str, schema: T.StructType, starting: str = "earliest") -> DataFrame:
+def stream(spark: SparkSession, root: str, schema: T.StructType, starting: str = "earliest", **options) -> DataFrame:
     """The rows of the versions below `root` as a stream; `latest` leaves out those marked by now."""
     spark.dataSource.register(Published)
     reader = spark.readStream.format(FORMAT).schema(schema).option("startingVersions", starting)
-    return reader.load(root)
+    return reader.options(**options).load(root)
+
+
+def paced_stream(
+    spark: SparkSession,
+    root: str,
+    schema: T.StructType,
+    pace: str,
+    interval: int = 900,
+    clock: int | None = None,
+    starting: str = "earliest",
+) -> DataFrame:
+    """The same stream, a backlog spread over the triggers of a second left of the interval.
+
+    `pace` is a file that belongs to the query as its checkpoint does. `availableNow` takes one
+    trigger's share; use a trigger of a second.
+    """
+    options = {"pace": pace, "interval": interval} | ({} if clock is None else {"clock": clock})
+    return stream(spark, root, schema, starting, **options)
