@@ -6,6 +6,12 @@ plans a partition for every file, takes predicates on record type and other head
 a record's header first and decodes and checks the payload only of records that pass. With the
 option `payload` = false no payload is decoded at all.
 
+Predicates are given when an archive is loaded (`where` of `read`), and each load has its own.
+Spark 4.1 keeps the filters that it pushed last with the loaded relation, for all scans of it: an
+archive filtered in two ways, or filtered and then read whole, would lose rows. So the source
+takes none from Spark's plans; `DataFrame.where` is right on any archive, but reads all headers
+and payloads.
+
 Records are response or revisit, by WARC 1.1: ids are URNs of UUIDs, a response's block is an
 HTTP response, a revisit names its profile and refers to the response with an equal payload and
 carries none itself. Fields of our own keep the page's id, and the payload's length. A member's
@@ -23,7 +29,7 @@ import json
 import struct
 import uuid
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -364,6 +370,19 @@ def _test(f) -> tuple[str, type, object, bool] | None:
     return f.attribute[0], type(f), value, True
 
 
+# The comparisons of `read`'s predicates.
+KINDS = {"=": EqualTo, "in": In, "starts with": StringStartsWith}
+
+
+def _filter(field: str, how: str, value):
+    """One predicate of `read` as a filter of the data source."""
+    kind = KINDS.get(how.removeprefix("not "))
+    if kind is None:
+        raise ValueError(f"no comparison {how!r}")
+    found = kind((field,), tuple(value) if kind is In else value)
+    return Not(found) if how.startswith("not ") else found
+
+
 def _holds(header: dict, test: tuple) -> bool:
     """SQL's answer: a null on either side is no match, negated or not."""
     field, kind, value, positive = test
@@ -393,6 +412,15 @@ class WarcReader(DataSourceReader):
             if not (test and isinstance(f, (EqualTo, In))):
                 yield f
 
+    @classmethod
+    def of(cls, path: str, payload: bool, manifest: bool, where: list[list]) -> WarcReader:
+        """A reader of the records that pass `where`, as `read` takes it."""
+        reader = cls(path, payload, manifest)
+        left = list(WarcReader.pushFilters(reader, [_filter(*test) for test in where]))
+        if any(_test(f) is None for f in left):
+            raise ValueError(f"predicates are on {', '.join(HEADER_FIELDS)}")
+        return reader
+
     def partitions(self) -> list[InputPartition]:
         system, root = _file_system(self.path)
         if not self.manifest:
@@ -434,9 +462,15 @@ class WarcReader(DataSourceReader):
             yield pa.RecordBatch.from_pylist(rows, ARROW)
 
 
+class LoadedReader(WarcReader):
+    """Keeps to the predicates that it was loaded with; see the module."""
+
+    pushFilters = DataSourceReader.pushFilters
+
+
 class Warc(DataSource):
     """Options: path; level, of compression (1); payload, false to leave payloads out; manifest,
-    false for files of any origin."""
+    false for files of any origin; where, JSON of the predicates that `read` takes."""
 
     @classmethod
     def name(cls) -> str:
@@ -447,17 +481,16 @@ class Warc(DataSource):
 
     def reader(self, schema) -> WarcReader:
         payload, manifest = (self.options.get(o, "true").lower() == "true" for o in ("payload", "manifest"))
-        return WarcReader(self.options["path"], payload, manifest)
+        return LoadedReader.of(self.options["path"], payload, manifest, json.loads(self.options.get("where", "[]")))
 
     def writer(self, schema, overwrite: bool) -> WarcWriter:
         return WarcWriter(self.options["path"], int(self.options.get("level", "1")))
 
 
 def register(spark: SparkSession) -> None:
-    """Make the format known to the session and let it take filters."""
+    """Make the format known to the session."""
     prepared(spark)
     spark.dataSource.register(Warc)
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
 
 
 def records(
@@ -503,20 +536,35 @@ def write(pages: DataFrame, path: str, **options) -> None:
     records(pages, **options).write.format("warc").mode("append").save(path)
 
 
-def read(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
-    register(spark)
-    return spark.read.format("warc").option("payload", str(payload).lower()).load(path)
+def read(spark: SparkSession, path: str, payload: bool = True, where: Sequence[tuple] = ()) -> DataFrame:
+    """The records of an archive that pass all of `where`: (header field, comparison, value).
 
+    Comparisons are `=`, `in` (a list) and `starts with`, or these after `not `, with SQL's
+    answer for nulls on either side. They are decided by headers: a record that fails costs
+    neither its payload nor a row.
+    """
+    return _load(spark, path, payload, where, manifest=True)
 
-def read_files(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
+
+def read_files(spark: SparkSession, path: str, payload: bool = True, where: Sequence[tuple] = ()) -> DataFrame:
     """The records of a `.warc` or `.warc.gz` file, or of all below a folder, whoever wrote them.
 
     `payload_bytes` is null where the header does not say it and the payload is not read; a
-    digest by another function than SHA-256 keeps its name, and is not checked.
+    digest by another function than SHA-256 keeps its name, and is not checked. `where` is as
+    for `read`.
     """
+    return _load(spark, path, payload, where, manifest=False)
+
+
+def _load(spark: SparkSession, path: str, payload: bool, where: Sequence[tuple], manifest: bool) -> DataFrame:
     register(spark)
-    reader = spark.read.format("warc").option("manifest", "false")
-    return reader.option("payload", str(payload).lower()).load(path)
+    given = [(field, how, list(value) if how.endswith("in") else value) for field, how, value in where]
+    for test in given:
+        if test[0] not in HEADER_FIELDS:
+            raise ValueError(f"predicates are on {', '.join(HEADER_FIELDS)}")
+        _filter(*test)
+    options = {"payload": str(payload).lower(), "manifest": str(manifest).lower(), "where": json.dumps(given)}
+    return spark.read.format("warc").options(**options).load(path)
 
 
 def digests(archive: DataFrame) -> DataFrame:
