@@ -1,12 +1,15 @@
 """Near-duplicates by SimHash: fingerprints, BK-trees of their shards, components of links.
 
-Two fingerprints that differ in at most `radius` bits agree in at least two of radius + 2
-blocks of bits. Every pair of blocks with its bits is therefore the key of a shard, and linked
-fingerprints share one at least. The fingerprints of a shard form a BK-tree (children keyed by
-their integer Hamming distance to the parent); each is searched following only the edges within
-the radius. Trees travel to their queries by shard key: all trees together grow with the corpus
-and so are never broadcast. A shard of more than `MAX_TREE` fingerprints is cut into trees of
-about that size, and every pair of its parts is searched in a cell of its own, in any task.
+Two fingerprints that differ in at most `radius` bits agree in at least k of radius + k blocks
+of bits. Every choice of k blocks with bits of theirs is therefore the key of a shard, and
+linked fingerprints share one at least. The number of fingerprints decides on k and on how many
+bits a key has, so that a shard holds about `SHARD` of them at any size of the corpus: a key
+narrows the search, the tree does it. The fingerprints of a shard form a BK-tree (children
+keyed by their integer Hamming distance to the parent); each is searched following only the
+edges within the radius. Trees travel to their queries by shard key: all trees together grow
+with the corpus and may not pass through the driver, as a broadcast does. A shard of more than
+`MAX_TREE` fingerprints is cut into trees of about that size, and every pair of its parts is
+searched in a cell of its own, in any task.
 
 Equal fingerprints are one class from the start, so copies are never expanded into pairs, and
 the cells give back a spanning forest of their links instead of all links.
@@ -32,6 +35,10 @@ SEED = 42
 # Fingerprints in one BK-tree at most, about; larger shards are cut.
 MAX_TREE = 2_048
 
+# Fingerprints in a shard on average, about, and the blocks that a key is of at most.
+SHARD = 512
+MAX_BLOCKS = 3
+
 _BITS_OF_BYTE = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 _BYTE_ROW = np.arange(8) * 256
 
@@ -123,39 +130,51 @@ def cell_links(values: list[int], in_tree: list[bool], radius: int) -> list[tupl
         return i
 
     tree, links = BKTree(), []
-    for i, value in enumerate(values):
-        if in_tree[i]:
-            tree.add(value, i)
-    for i, value in enumerate(values):
-        for j in tree.within(value, radius):
+
+    def search(i: int) -> None:
+        for j in tree.within(values[i], radius):
             a, b = root(i), root(j)
             if a != b:
                 parent[max(a, b)] = min(a, b)
                 links.append((i, j))
+
+    for i, value in enumerate(values):
+        if in_tree[i]:  # the later value of a pair finds the earlier one
+            search(i)
+            tree.add(value, i)
+    for i, own in enumerate(in_tree):
+        if not own:
+            search(i)
     return links
 
 
-def _blocks(radius: int) -> list[tuple[int, int]]:
-    """(shift, width) of radius + 2 blocks that cover 64 bits."""
-    n = radius + 2
-    edges = [64 * i // n for i in range(n + 1)]
-    return [(a, b - a) for a, b in zip(edges, edges[1:])]
-
-
-def shard_keys(fingerprint: str, radius: int) -> Column:
-    """The keys, an array of longs, of the shards that a fingerprint belongs to."""
-    parts = [
-        F.shiftrightunsigned(fingerprint, shift).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
-        for shift, width in _blocks(radius)
-    ]
-    pairs = combinations(range(len(parts)), 2)
-    width = max(w for _, w in _blocks(radius))
-    keys = [
-        F.shiftleft(F.lit(k).cast("long"), 2 * width)
-        .bitwiseOR(F.shiftleft(parts[i], width))
-        .bitwiseOR(parts[j])
-        for k, (i, j) in enumerate(pairs)
-    ]
+def shard_plan(n: int, radius: int, shard: int = SHARD) -> tuple[int, int]:
+    """(blocks of a key, bits of each) for shards of about `shard` of n fingerprints.
+
+    Keys of one block are the fewest, but have few bits; of more, each fingerprint has more keys.
+    """
+    wanted = max(0, (n - 1) // shard).bit_length()
+    for k in range(1, MAX_BLOCKS + 1):
+        width = 64 // (radius + k)
+        if k * width >= wanted:
+            return k, -(-wanted // k)
+    return MAX_BLOCKS, width
+
+
+def shard_keys(fingerprint: str, radius: int, n: int, shard: int = SHARD) -> Column:
+    """The keys, an array of longs, of the shards that one of n fingerprints belongs to."""
+    k, bits = shard_plan(n, radius, shard)
+    if bits == 0:
+        return F.array(F.lit(0).cast("long"))
+    count = radius + k
+    mask = F.lit((1 << bits) - 1).cast("long")
+    parts = [F.shiftrightunsigned(fingerprint, 64 * i // count).bitwiseAND(mask) for i in range(count)]
+    keys = []
+    for number, chosen in enumerate(combinations(parts, k)):
+        key = F.lit(number).cast("long")
+        for part in chosen:
+            key = F.shiftleft(key, bits).bitwiseOR(part)
+        keys.append(key)
     return F.array(*keys)
 
 
@@ -200,12 +219,16 @@ def _links_of(values: np.ndarray, own: np.ndarray, edges: list[int], radius: int
     return pa.RecordBatch.from_arrays(columns, ["a", "b"])
 
 
-def links(fingerprints: DataFrame, radius: int = RADIUS, max_tree: int = MAX_TREE) -> DataFrame:
+def links(
+    fingerprints: DataFrame, radius: int = RADIUS, max_tree: int = MAX_TREE, shard: int = SHARD
+) -> DataFrame:
     """Pairs (a, b) of the distinct fingerprints at most radius bits apart.
 
-    Not all pairs, but enough of them to connect what is connected.
+    Not all pairs, but enough of them to connect what is connected. The result does not depend
+    on `shard`, the fingerprints of a shard on average, nor on `max_tree`.
     """
-    members = fingerprints.select("fingerprint", F.explode(shard_keys("fingerprint", radius)).alias("key"))
+    keys = shard_keys("fingerprint", radius, fingerprints.count(), shard)
+    members = fingerprints.select("fingerprint", F.explode(keys).alias("key"))
     # Shards beyond one tree are cut into `parts`; the other ones are not in this table.
     large = (
         members.groupBy("key")
