@@ -1,32 +1,22 @@
-"""A data source of segment files that plans its files from the segment times wanted.
+"""Segment files of a window of time, planned from their names.
 
 The names of segment files tell their time. Where both ends of a window are given, the names in
 it are looked up one by one and nothing is listed; where one is open, the folder is listed once
-and names outside are left out. Either way only the files planned are opened.
-
-The window is given when the source is loaded. Filters are not taken from Spark: it keeps those
-that were pushed last with the loaded relation, for all scans of it, so that a table used twice
-with different filters would lose rows.
-
-This module imports nothing from the package and is pickled by value, so that executors need no
-copy of the package. It reaches any file system that Arrow knows by a URI.
+and names outside are left out. Either way Spark gets the paths wanted and opens no others.
 """
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator
+import re
+from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
-import pyarrow as pa
 from pyarrow import fs
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from ..functions.text import drop_malformed_utf8
+from ..functions.times import parse_record_time
 
-FORMAT = "timed_segments"
 SCHEMA = "value string, file_name string, segment timestamp"
 
 # How a segment is named, and its minutes.
@@ -36,120 +26,66 @@ MINUTES = 15
 
 # Names looked up one by one at most; a longer window is listed.
 LOOKED_UP = 10_000
-BLOCK = 4 << 20
 UTC = timezone.utc
 ZERO = datetime(1970, 1, 1, tzinfo=UTC)
 
 
-def _file_system(path: str) -> tuple[fs.FileSystem, str]:
-    found = fs.FileSystem.from_uri(path) if ":" in path.split("/")[0] else (fs.LocalFileSystem(), path)
-    return found[0], found[1].rstrip("/")
-
-
-class TimedReader(DataSourceReader):
-    """Segments that begin at `since` or later and before `until`; None leaves an end open."""
-
-    def __init__(self, path: str, name: str, minutes: int, since: datetime | None, until: datetime | None):
-        self.path, self.minutes = path, minutes
-        self.before, _, self.after = name.partition("{}")
-        self.since, self.until = since, until
-        self.listed = 0  # folders listed while planning
-
-    def _wanted(self, at: datetime) -> bool:
-        return (self.since is None or at >= self.since) and (self.until is None or at < self.until)
-
-    def _candidates(self) -> list[datetime] | None:
-        """The segments of the window, or None if it is open or holds too many to look up."""
-        if self.since is None or self.until is None:
-            return None
-        step = timedelta(minutes=self.minutes)
-        first = ZERO - ((ZERO - self.since) // step) * step
-        n = max(0, -((first - self.until) // step))
-        return [first + i * step for i in range(n)] if n <= LOOKED_UP else None
-
-    def _begins(self, at: datetime) -> bool:
-        """Whether a segment begins at a time."""
-        return not (at - ZERO) % timedelta(minutes=self.minutes)
-
-    def _time_of(self, name: str) -> datetime | None:
-        if not (name.startswith(self.before) and name.endswith(self.after)):
-            return None
-        stamp = name[len(self.before) : len(name) - len(self.after)]
-        try:
-            at = datetime.strptime(stamp, STAMP).replace(tzinfo=UTC)
-        except ValueError:
-            return None
-        return at if at.strftime(STAMP) == stamp and self._begins(at) else None
-
-    def _segments(self, system: fs.FileSystem, root: str) -> list[tuple[datetime, fs.FileInfo]]:
-        candidates = self._candidates()
-        if candidates is None:
-            self.listed += 1
-            infos = system.get_file_info(fs.FileSelector(root))
-            timed = [(self._time_of(i.base_name), i) for i in infos]
-            return [(at, i) for at, i in timed if at is not None and self._wanted(at)]
-        paths = [f"{root}/{self.before}{at.strftime(STAMP)}{self.after}" for at in candidates]
-        infos = system.get_file_info(paths) if paths else []
-        return [(at, i) for at, i in zip(candidates, infos) if i.type != fs.FileType.NotFound]
-
-    def partitions(self) -> list[InputPartition]:
-        """One for every file, a segment being a file or a folder of files."""
-        system, root = _file_system(self.path)
-        found = []
-        for at, info in sorted(self._segments(system, root), key=lambda s: s[0]):
-            files = [info]
-            if info.type == fs.FileType.Directory:
-                files = system.get_file_info(fs.FileSelector(info.path, recursive=True))
-            paths = sorted(f.path for f in files if f.type == fs.FileType.File and f.size and f.base_name[0] not in "._")
-            found += [InputPartition((path, info.base_name, at)) for path in paths]
-        # Without any, Spark would read one partition of its own.
-        return found or [InputPartition(None)]
-
-    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
-        """Lines, in blocks of bounded size; bytes that are no UTF-8 are left out."""
-        if partition.value is None:
-            return
-        path, name, at = partition.value
-        system, _ = _file_system(self.path)
-        with system.open_input_stream(path) as file:
-            rest = []
-            while block := file.read(BLOCK):
-                head, newline, tail = block.rpartition(b"\n")
-                if newline:
-                    yield self._rows(b"".join([*rest, head]).split(b"\n"), name, at)
-                    rest = []
-                rest.append(tail)
-            if last := b"".join(rest):
-                yield self._rows([last], name, at)
-
-    def _rows(self, lines: list[bytes], name: str, at: datetime) -> pa.RecordBatch:
-        values = [line.removesuffix(b"\r").decode("utf-8", "ignore") for line in lines]
-        n = len(values)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(values, pa.string()), pa.repeat(name, n), pa.repeat(pa.scalar(at, pa.timestamp("us", "UTC")), n)],
-            ["value", "file_name", "segment"],
-        )
-
-
-class TimedSegments(DataSource):
-    """Options: path; name, with `{}` for the time; minutes of a segment; since and until, in ISO form."""
-
-    @classmethod
-    def name(cls) -> str:
-        return FORMAT
-
-    def schema(self) -> str:
-        return SCHEMA
-
-    def reader(self, schema) -> TimedReader:
-        minutes = int(self.options.get("minutes", MINUTES))
-        ends = [self.options.get(end) for end in ("since", "until")]
-        times = [datetime.fromisoformat(end) if end else None for end in ends]
-        return TimedReader(self.options["path"], self.options.get("name", NAME), minutes, *times)
-
-
-def _utc(at: datetime) -> str:
-    return (at.replace(tzinfo=UTC) if at.tzinfo is None else at.astimezone(UTC)).isoformat()
+@dataclass
+class Plan:
+    """Paths of the segments, each a file or a folder of files, and how many folders were listed."""
+
+    paths: list[str]
+    listed: int
+
+
+def _utc(at: datetime | None) -> datetime | None:
+    """Times without a zone are UTC."""
+    return at and (at.replace(tzinfo=UTC) if at.tzinfo is None else at.astimezone(UTC))
+
+
+def _begins(at: datetime, minutes: int) -> bool:
+    """Whether a segment begins at a time."""
+    return not (at - ZERO) % timedelta(minutes=minutes)
+
+
+def _candidates(since: datetime | None, until: datetime | None, minutes: int) -> list[datetime] | None:
+    """The segments of the window, or None if it is open or holds too many to look up."""
+    if since is None or until is None:
+        return None
+    step = timedelta(minutes=minutes)
+    first = ZERO - ((ZERO - since) // step) * step
+    n = max(0, -((first - until) // step))
+    return [first + i * step for i in range(n)] if n <= LOOKED_UP else None
+
+
+def _time_of(file_name: str, name: str, minutes: int) -> datetime | None:
+    before, _, after = name.partition("{}")
+    if not (file_name.startswith(before) and file_name.endswith(after)):
+        return None
+    stamp = file_name[len(before) : len(file_name) - len(after)]
+    try:
+        at = datetime.strptime(stamp, STAMP).replace(tzinfo=UTC)
+    except ValueError:
+        return None
+    return at if at.strftime(STAMP) == stamp and _begins(at, minutes) else None
+
+
+def plan(
+    path: str, since: datetime | None = None, until: datetime | None = None, name: str = NAME, minutes: int = MINUTES
+) -> Plan:
+    """The segments below a path that begin from `since` on and before `until`; None is open."""
+    since, until, path = _utc(since), _utc(until), path.rstrip("/")
+    system, root = fs.FileSystem.from_uri(path) if ":" in path.split("/")[0] else (fs.LocalFileSystem(), path)
+    candidates = _candidates(since, until, minutes)
+    if candidates is not None:
+        names = [name.replace("{}", at.strftime(STAMP)) for at in candidates]
+        infos = system.get_file_info([f"{root}/{n}" for n in names]) if names else []
+        return Plan([f"{path}/{n}" for n, i in zip(names, infos) if i.type != fs.FileType.NotFound], 0)
+    found = [(_time_of(i.base_name, name, minutes), i.base_name) for i in system.get_file_info(fs.FileSelector(root))]
+    wanted = [
+        n for at, n in found if at is not None and (since is None or at >= since) and (until is None or at < until)
+    ]
+    return Plan([f"{path}/{n}" for n in sorted(wanted)], 1)
 
 
 def read_timed(
@@ -163,9 +99,16 @@ def read_timed(
     """(value, file_name, segment) of the segments that begin from `since` on and before `until`.
 
     Times without a zone are UTC. Files whose names tell no time at which a segment begins are
-    left out. A segment is a file or a folder of files.
+    left out. Bytes that are no UTF-8 are left out of their lines.
     """
-    spark.dataSource.register(TimedSegments)
-    reader = spark.read.format(FORMAT).option("name", name).option("minutes", minutes)
-    ends = {"since": since, "until": until}
-    return reader.options(**{end: _utc(at) for end, at in ends.items() if at is not None}).load(path)
+    paths = plan(path, since, until, name, minutes).paths
+    if not paths:
+        return spark.createDataFrame([], SCHEMA)
+    before, _, after = name.partition("{}")
+    pattern = f"/{re.escape(before)}([0-9]{{14}}){re.escape(after)}(/|$)"
+    stamp = F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
+    return spark.read.text(paths).select(
+        drop_malformed_utf8("value").alias("value"),
+        F.concat(F.lit(before), stamp, F.lit(after)).alias("file_name"),
+        parse_record_time(stamp).alias("segment"),
+    )
