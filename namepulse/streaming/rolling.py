@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .. import schemas
 from ..functions import times
 from ..operators import daily
-from ..operators.rolling import complete
+from ..operators.rolling import ADD, EXPIRE, complete
 from ..sources.records import positional_records
 from . import state
 
@@ -49,10 +48,26 @@ def rolling_changes(
         F.lit(1).cast("bigint").alias("n"),
         F.timestamp_seconds(sec).alias("timestamp"),
     ).mapInArrow(state.combine_buckets, state.BUCKET_COLUMNS)
-    return (
+    runs = (
         buckets.withWatermark("timestamp", f"{delay} seconds")
         .groupBy("name")
-        .transformWithState(
-            state.RollingCount(window, delay), schemas.COUNT_CHANGES, mode, "EventTime"
-        )
+        .transformWithState(state.RollingCount(window, delay), state.RUN_COLUMNS, mode, "EventTime")
     )
+    return changes_of(runs)
+
+
+def changes_of(runs: DataFrame) -> DataFrame:
+    """One row per change of the runs that `state.RollingCount` gives."""
+
+    def change(sec: Column, at: Column) -> Column:
+        before = F.coalesce(F.col("before") + F.get("counts", at - 1), "before")
+        after = F.coalesce(F.col("before") + F.get("counts", at), "after")
+        return F.struct(
+            (F.col("sec") + sec).alias("event_sec"),
+            F.when(after > before, ADD).otherwise(EXPIRE).alias("op"),
+            before.alias("prev_count"),
+            after.alias("count"),
+            (F.col("seq") + at).alias("seq"),
+        )
+
+    return runs.select("name", F.inline(F.transform("secs", change)))

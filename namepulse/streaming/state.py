@@ -8,9 +8,12 @@ from __future__ import annotations
 
 import heapq
 import sys
+from array import array
 from bisect import insort
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Row
@@ -18,10 +21,23 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-CHANGE = Row("name", "event_sec", "op", "prev_count", "count", "seq")
+RUN = Row("name", "seq", "sec", "before", "after", "secs", "counts")
+RUN_COLUMNS = (
+    "name string, seq long, sec long, before long, after long, secs array<int>, counts array<int>"
+)
 TOP = Row("shard", "name", "count")
 BUCKET_COLUMNS = "name string, sec long, n long, timestamp timestamp"
 
+# Changes of a name that one row holds.
+RUN_CHANGES = 1 << 12
+
+# A name's buckets that wait to be added up with those that came before, at least.
+WAITING = 1 << 16
+
+# Bits of a packed bucket that hold mentions; the others hold any second of a timestamp.
+MENTION_BITS = 19
+MENTIONS = (1 << MENTION_BITS) - 1
+
 # Changes of a name in one second that leave its seq ahead of what came before.
 SEQ_PER_SECOND = 1 << 20
 
@@ -43,6 +59,76 @@ def combine_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             yield from summed.to_batches()
 
 
+def in_time_order(rows: Iterable[Row]) -> Iterator[tuple[int, int]]:
+    """(second, mentions) of a name's buckets, each second once.
+
+    A bucket is kept as one number, for a batch may hold all that a name has ever had.
+    """
+    packed, limit = array("q"), WAITING
+    for row in rows:
+        sec, n = row[1], row[2]
+        while n > 0:
+            part = min(n, MENTIONS)
+            packed.append(sec << MENTION_BITS | part)
+            n -= part
+        if len(packed) >= limit:
+            packed = _merged(packed)
+            limit = len(packed) + max(len(packed) // 2, WAITING)
+    ordered = np.frombuffer(packed, np.int64)
+    ordered.sort()
+    for start in range(0, len(ordered), RUN_CHANGES):
+        part = ordered[start : start + RUN_CHANGES]
+        if not start:
+            last, total = int(part[0]) >> MENTION_BITS, 0
+        for sec, n in zip((part >> MENTION_BITS).tolist(), (part & MENTIONS).tolist()):
+            if sec != last:
+                yield last, total
+                last, total = sec, 0
+            total += n
+    if len(ordered):
+        yield last, total
+
+
+def _merged(packed: array) -> array:
+    """The same mentions in as few numbers as they need."""
+    merged = array("q")
+    ordered = np.frombuffer(packed, np.int64)
+    ordered.sort()
+    for start in range(0, len(ordered), WAITING):
+        part = ordered[start : start + WAITING]
+        secs = part >> MENTION_BITS
+        first = np.flatnonzero(np.diff(secs, prepend=secs[0] - 1))
+        sums = np.add.reduceat(part & MENTIONS, first)
+        more = (sums - 1) // MENTIONS
+        n = np.full(len(sums) + more.sum(), MENTIONS)
+        n[np.cumsum(more + 1) - 1] = sums - more * MENTIONS
+        merged.frombytes((np.repeat(secs[first], more + 1) << MENTION_BITS | n).tobytes())
+    return merged
+
+
+def runs(changes: Iterator[tuple]) -> Iterator[Row]:
+    """Changes of one call of `RollingCount._advance`, as few rows of short numbers.
+
+    Spark holds all rows of a name until its batch is through. In a run the seq rises by one
+    from `seq`, `secs` count from `sec` and `counts` from `before`, the count before the first
+    change; they give the count after each change but the last, which is `after`.
+    """
+    while part := list(islice(changes, RUN_CHANGES)):
+        yield from _runs(part)
+
+
+def _runs(part: list[tuple]) -> Iterator[Row]:
+    name, sec, _, before, _, seq = part[0]
+    secs = np.array([c[1] for c in part], np.int64) - sec
+    counts = np.array([c[4] for c in part[:-1]], np.int64) - before
+    if len(part) > 1 and max(np.abs(secs).max(), np.abs(counts).max()) > np.iinfo(np.int32).max:
+        half = len(part) // 2
+        yield from _runs(part[:half])
+        yield from _runs(part[half:])
+    else:
+        yield RUN(name, seq, sec, before, part[-1][4], secs.astype(np.int32), counts.astype(np.int32))
+
+
 class RollingCount(StatefulProcessor):
     """Count of a name's mentions in the last `window` seconds of event time.
 
@@ -77,21 +163,26 @@ class RollingCount(StatefulProcessor):
         return timerValues.getCurrentWatermarkInMs() // 1000 + self.delay
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        added: dict[int, int] = {}
-        for row in rows:
-            added[row[1]] = added.get(row[1], 0) + row[2]
-        return self._advance(key[0], added, self._newest(timerValues))
+        return runs(self._advance(key[0], in_time_order(rows), self._newest(timerValues)))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        return self._advance(key[0], {}, self._newest(timerValues), fired=True)
+        return runs(self._advance(key[0], {}, self._newest(timerValues), fired=True))
 
     def _advance(
-        self, name: str, added: dict[int, int], newest: int, fired: bool = False
-    ) -> Iterator[Row]:
+        self,
+        name: str,
+        added: dict[int, int] | Iterator[tuple[int, int]],
+        newest: int,
+        fired: bool = False,
+    ) -> Iterator[tuple]:
         """Apply new mentions in time order and what expires before them.
 
-        When the timer has fired, also what has expired by the newest time.
+        `added`: mentions by second, or (second, mentions) in time order. When the timer has
+        fired, also what has expired by the newest time. Gives (name, event_sec, op,
+        prev_count, count, seq) per change.
         """
+        if isinstance(added, dict):
+            added = iter(sorted(added.items()))
         seconds = LiveSeconds(self.blocks, self.width)
         head = self.head.get() if self.head.exists() else None
         latest, seq, total = head[:3] if head else (None, newest * SEQ_PER_SECOND, 0)
@@ -100,25 +191,25 @@ class RollingCount(StatefulProcessor):
         due = self._due(latest, seconds.oldest)
         changed = False
 
-        def change(sec: int, op: str, delta: int) -> Row:
+        def change(sec: int, op: str, delta: int) -> tuple:
             nonlocal total, changed, seq
             total, changed, seq = total + delta, True, seq + 1
-            return CHANGE(name, sec, op, total - delta, total, seq)
+            return name, sec, op, total - delta, total, seq
 
-        def expired(now: int) -> Iterator[Row]:
+        def expired(now: int) -> Iterator[tuple]:
             while seconds.oldest is not None and seconds.oldest <= now - self.window:
                 sec = seconds.oldest
                 yield change(sec + self.window, "expire", -seconds.pop_oldest())
 
-        for sec in sorted(added):
+        for sec, n in added:
             latest = sec if latest is None else max(latest, sec)
             yield from expired(latest)
             if sec <= latest - self.window:  # it came and went before
-                yield change(sec, "add", added[sec])
-                yield change(sec + self.window, "expire", -added[sec])
+                yield change(sec, "add", n)
+                yield change(sec + self.window, "expire", -n)
                 continue
-            seconds.add(sec, added[sec])
-            yield change(sec, "add", added[sec])
+            seconds.add(sec, n)
+            yield change(sec, "add", n)
         if fired:
             yield from expired(newest)
 
@@ -159,7 +250,7 @@ class LiveSeconds:
         self.stored, self.width = stored, width
         self.oldest: int | None = None
         self.live: list[int] = []  # numbers of the blocks that hold a second, ascending
-        self.known: frozenset[int] = frozenset()  # those that are in the map
+        self.known: set[int] = set()  # those that are in the map
         self.read: dict[int, dict[int, int]] = {}
         self.touched: set[int] = set()
 
@@ -167,7 +258,7 @@ class LiveSeconds:
         """Go on from what `end` gave."""
         self.oldest = oldest
         self.live = [base + i for i in range(live.bit_length()) if live >> i & 1]
-        self.known = frozenset(self.live)
+        self.known = set(self.live)
 
     def end(self) -> tuple[int | None, int, int]:
         base = self.live[0] if self.live else 0
@@ -195,20 +286,25 @@ class LiveSeconds:
         n = block.pop(self.oldest)
         self.touched.add(number)
         if not block:
-            del self.live[0]
+            self._drop(number)
         first = self._block(self.live[0]) if self.live else None
         self.oldest = min(first) if first else None
         return n
 
+    def _drop(self, number: int) -> None:
+        """Forget the oldest block, which is empty: a batch holds no more blocks than are live."""
+        del self.live[0], self.read[number]
+        self.touched.remove(number)
+        if number in self.known:
+            self.known.remove(number)
+            self.stored.removeKey((number,))
+
     def save(self) -> None:
-        """Write the blocks that changed, and drop those that are empty."""
+        """Write the blocks that changed."""
         for number in self.touched:
             block = self.read[number]
-            if block:
-                secs = sorted(block)
-                self.stored.updateValue((number,), (secs, [block[s] for s in secs]))
-            elif number in self.known:
-                self.stored.removeKey((number,))
+            secs = sorted(block)
+            self.stored.updateValue((number,), (secs, [block[s] for s in secs]))
 
 
 def newest_in_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,6 +2,7 @@
 
 import os
 import random
+import tracemalloc
 from pathlib import Path
 
 import pytest
@@ -9,6 +10,7 @@ import pytest
 from namepulse import schemas
 from namepulse.operators import changelog
 from namepulse.streaming import lifecycle, published, state, storage, topk
+from namepulse.streaming import rolling as stream_rolling
 
 
 class Map:
@@ -122,6 +124,76 @@ def test_state_leaves_in_two_steps():
     assert advance(processor, {}, 17_200, fired=True) == [] and processor.head.held is None
 
 
+class Clock:
+    def getCurrentWatermarkInMs(self):
+        return 0
+
+
+def plain(row):
+    """The changes of a run, as `streaming.rolling.changes_of` gives them."""
+    counts = [row["before"], *(row["before"] + c for c in row["counts"].tolist()), row["after"]]
+    secs = (row["sec"] + s for s in row["secs"].tolist())
+    return [(s, *counts[i : i + 2], row["seq"] + i) for i, s in enumerate(secs)]
+
+
+def test_a_batch_of_one_name_is_held_as_short_numbers():
+    """All rows of a name are held at once, so what a mention takes there bounds a task's memory."""
+    mentions = 60_000
+    processor = rolling()
+    buckets = ((("a", 1_000_000 + 9 * (i * 7919 % mentions), 1 + i % 3, None)) for i in range(mentions))
+    tracemalloc.start()
+    held = [row.asDict(True) for row in processor.handleInputRows(("a",), buckets, Clock())]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 * mentions
+    added = {1_000_000 + 9 * (i * 7919 % mentions): 1 + i % 3 for i in range(mentions)}
+    want = [(c[0], *c[2:]) for c in advance(rolling(), added, newest=processor.delay)]
+    assert [c for row in held for c in plain(row)] == want and len(want) > 1.9 * mentions
+
+
+def test_a_batch_holds_the_blocks_that_are_live():
+    blocks = state.LiveSeconds(Map(), 60)
+    for sec in range(0, 600_000, 30):
+        while blocks.oldest is not None and blocks.oldest <= sec - 3600:
+            blocks.pop_oldest()
+        blocks.add(sec, 1)
+    assert len(blocks.read) <= 62 and len(blocks.touched) <= 62
+
+
+def test_a_block_that_emptied_begins_anew():
+    processor = rolling(window=600)
+    advance(processor, {600: 1, 601: 2})
+    changes = advance(processor, {609: 1, 1205: 5, 1300: 1})
+    assert [c[3] for c in changes] == [4, 3, 1, 6, 5, 6]
+    stored = {s: n for secs, counts in processor.blocks.held.values() for s, n in zip(secs, counts)}
+    assert stored == {1205: 5, 1300: 1}
+
+
+def test_buckets_come_in_order_and_added_up(monkeypatch):
+    monkeypatch.setattr(state, "WAITING", 50)
+    monkeypatch.setattr(state, "RUN_CHANGES", 7)
+    r = random.Random(1)
+    rows = [("a", r.randrange(-300, 300), r.choice([1, 2, 400_000, 600_000, 3_000_000]), None) for _ in range(2000)]
+    rows += [("a", 9_223_372_036_854, 1, None), ("a", -9_223_372_036_855, 2, None)]
+    want = {}
+    for _, sec, n, _ in rows:
+        want[sec] = want.get(sec, 0) + n
+    assert list(state.in_time_order(iter(rows))) == sorted(want.items())
+    assert list(state.in_time_order(iter([]))) == []
+
+
+def test_runs_are_read_back_as_changes(spark):
+    """Also where seconds or counts of a run lie far apart."""
+    far = 1 << 40
+    changes = [("a", 5, "add", 0, 2, 10), ("a", 9, "add", 2, far, 11), ("a", far, "expire", far, 3, 12)]
+    changes += [("a", far - 7, "add", 3, 4, 13), ("a", far, "expire", 4, 0, 14)]
+    given = [tuple(x.tolist() if hasattr(x, "tolist") else x for x in row) for row in state.runs(iter(changes))]
+    found = stream_rolling.changes_of(spark.createDataFrame(given, state.RUN_COLUMNS))
+    assert found.columns == schemas.COUNT_CHANGES.names
+    assert [f.dataType for f in found.schema] == [f.dataType for f in schemas.COUNT_CHANGES]
+    assert sorted((tuple(r) for r in found.collect()), key=lambda c: c[5]) == changes
+
+
 def top(k):
     processor = state.ShardTop(k)
     processor.init(Handle())
