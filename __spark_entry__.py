@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import os
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta
 from pathlib import Path
 
@@ -445,13 +445,35 @@ def _stream_changes(spark: SparkSession, sf: str, name: str, folder: str) -> Dat
 SLICES = (1704931200, 1705795200, AS_OF_TICK + 5 * 86_400)
 
 
-def _slice_of(sec: Column) -> Column:
-    """The slice of a second: it ends with SLICES[k], the last one does not end."""
-    return sum(((sec > end).cast("int") for end in sorted(SLICES)), F.lit(0))
+# Rows of a slice, about, where more slices change no result: what a batch holds in a task is bounded.
+SLICE_ROWS = 2_000_000
+
+
+def _slice_of(sec: Column, ends: Sequence[int] = SLICES) -> Column:
+    """The slice of a second: it ends with ends[k], the last one does not end."""
+    passed = F.filter(F.lit(sorted(ends)), lambda end: sec > end)
+    return F.when(sec.isNotNull(), F.size(passed))
+
+
+def _bounded_ends(df: DataFrame, second: Column) -> list[int]:
+    """SLICES and as many ends between them as slices of SLICE_ROWS rows need.
+
+    Only a second that has more rows makes a larger slice: such rows are added up by name first.
+    """
+    parts = -(-df.count() // SLICE_ROWS)
+    if parts <= 1:
+        return sorted(SLICES)
+    at = [k / parts for k in range(1, parts)]
+    found = df.agg(F.percentile_approx(second, at, max(10_000, 100 * parts))).first()[0]
+    return sorted({*SLICES, *(found or [])})
 
 
 def _in_slices(
-    df: DataFrame, folder: str, second: Column, start: Callable[[DataFrame], DataStreamWriter]
+    df: DataFrame,
+    folder: str,
+    second: Column,
+    start: Callable[[DataFrame], DataStreamWriter],
+    ends: Sequence[int] = SLICES,
 ) -> None:
     """Run one query over a table whose slices, by a second, are published one after the other.
 
@@ -466,7 +488,7 @@ def _in_slices(
         running[0].processAllAvailable()
 
     try:
-        storage.publish_slices(df, f"{folder}/in", _slice_of(second), len(SLICES) + 1, run)
+        storage.publish_slices(df, f"{folder}/in", _slice_of(second, ends), len(ends) + 1, run)
     finally:
         for query in running:
             lifecycle.stop(query)
@@ -475,7 +497,7 @@ def _in_slices(
 def _sliced_changes(
     spark: SparkSession, sf: str, name: str, folder: str, arrives: Column
 ) -> DataFrame:
-    """Rolling counts of events that come in slices by their time of arrival."""
+    """Rolling counts of events that come in slices of bounded size by their time of arrival."""
     events = tables.events(spark, sf).select("event_id", "ts", "user_id", "event_type")
     configure(spark, streaming=True)
 
@@ -483,7 +505,7 @@ def _sliced_changes(
         changes = stream_rolling.rolling_changes(tables.event_mentions(source, name))
         return lifecycle.file_writer(changes, f"{folder}/changes", f"{folder}/changes-state")
 
-    _in_slices(events, folder, arrives, start)
+    _in_slices(events, folder, arrives, start, _bounded_ends(events, arrives))
     return _changes_of(spark, folder)
 
 
